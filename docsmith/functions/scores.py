@@ -36,9 +36,9 @@ def one_decimal(score: Column | str) -> Column:
     n = (a * F.pow(F.lit(2.0), s)).cast("bigint")
     t = n * 10
     # t / 2**s and its remainder, in integer arithmetic only
-    q = F.shiftright(t, s)
-    r = t - F.shiftleft(q, s)
-    half = F.shiftleft(F.lit(1).cast("bigint"), s - 1)
+    q = F.call_function("shiftright", t, s)
+    r = t - F.call_function("shiftleft", q, s)
+    half = F.call_function("shiftleft", F.lit(1).cast("bigint"), s - 1)
     up = (r > half) | ((r == half) & ((q % 2) == 1))
     q2 = q + F.when(up, 1).otherwise(0)
     sign = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))

@@ -132,7 +132,7 @@ def spark_view(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
     return spark.sql(render(VIEW_SQL[name], "spark", sf_dir))
 
 
-def duck_with(*names: str) -> str:
+def duck_with(*names: str, recursive: bool = False) -> str:
     """``WITH`` clause defining the named views for DuckDB."""
     parts = [f"{n} as ({render(VIEW_SQL[n], 'duckdb')})" for n in names]
-    return "with " + ",\n".join(parts) + "\n"
+    return ("with recursive " if recursive else "with ") + ",\n".join(parts) + "\n"

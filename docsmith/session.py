@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
@@ -20,6 +21,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -46,3 +48,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="docsmith-ckpt-", dir=os.environ.get("DOCSMITH_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the session's checkpoint directory and
+    read it back: the returned DataFrame's lineage starts at those files, so a
+    lost executor re-reads them instead of recomputing everything upstream.
+    The checkpoint directory is the cluster's shared one when configured."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
