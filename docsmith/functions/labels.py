@@ -9,7 +9,7 @@ read with typed ``try_variant_get`` calls, so no Python runs per row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsmith.functions.text import col_, py_strip, truncate_doc
@@ -83,9 +83,10 @@ def _truthy(v: Column) -> Column:
     )
 
 
-def parse_label(content: Column | str) -> Column:
-    """SCL4-SCL6: raw labeller text -> ``struct(is_label, synopsis,
-    action_phrase, visibility_score)``.
+def parse_label(df: DataFrame, content: str = "content") -> DataFrame:
+    """SCL4-SCL6: add ``is_label, synopsis, action_phrase, visibility_score,
+    has_synopsis, has_action`` parsed from the raw labeller text in
+    ``content``.
 
     * empty text, bad JSON or a JSON value that is not an object: no label;
     * ``synopsis`` present but not a string: no label; a string is stripped,
@@ -93,48 +94,56 @@ def parse_label(content: Column | str) -> Column:
     * ``visibility`` wins over ``visibility_score`` when truthy; a number or
       boolean is clamped to [0, 1]; anything else gives 0.3;
     * ``action_phrase`` is copied (absent -> ``""``).
+
+    Built as successive projections so the JSON is parsed once per row and
+    each extracted value is computed once (Spark does not merge projections
+    that would duplicate a non-trivial expression).
     """
-    raw = col_(content)
-    j = F.try_parse_json(strip_code_fence(raw))
-    is_object = F.coalesce(_kind(j).startswith("OBJECT"), F.lit(False))
-
-    syn_v = F.try_variant_get(j, "$.synopsis", "variant")
-    syn_kind = _kind(syn_v)
-    syn_raw = F.try_variant_get(syn_v, "$", "string")
-    syn_clean = F.regexp_replace(py_strip(syn_raw), r"""\A["']+|["']+\z""", "")
+    raw = F.col(content)
+    j = df.withColumn("_j", F.try_parse_json(strip_code_fence(raw)))
+    v = j.select(
+        "*",
+        F.try_variant_get("_j", "$.synopsis", "variant").alias("_syn"),
+        F.try_variant_get("_j", "$.visibility", "variant").alias("_vis"),
+        F.try_variant_get("_j", "$.visibility_score", "variant").alias("_vsc"),
+        F.try_variant_get("_j", "$.action_phrase", "variant").alias("_act"),
+        F.coalesce(_kind(F.col("_j")).startswith("OBJECT"), F.lit(False)).alias("_obj"),
+    )
+    k = v.select(
+        "*",
+        _kind(F.col("_syn")).alias("_syn_k"),
+        _kind(F.col("_act")).alias("_act_k"),
+        F.when(_truthy(F.col("_vis")), F.col("_vis")).otherwise(F.col("_vsc")).alias("_ch"),
+        F.regexp_replace(py_strip(F.try_variant_get("_syn", "$", "string")), r"""\A["']+|["']+\z""", "")
+        .alias("_syn_c"),
+    )
+    is_label = raw.isNotNull() & (raw != "") & F.col("_j").isNotNull() & F.col("_obj") & (
+        F.col("_syn").isNull() | (F.col("_syn_k") == "STRING"))
+    syn_c = F.col("_syn_c")
     synopsis = (
-        F.when(syn_v.isNull(), F.lit(None).cast("string"))
-        .when((syn_clean != "") & ~syn_clean.endswith("."), F.concat(syn_clean, F.lit(".")))
-        .otherwise(syn_clean)
+        F.when(F.col("_syn").isNull(), F.lit(None).cast("string"))
+        .when((syn_c != "") & ~syn_c.endswith("."), F.concat(syn_c, F.lit(".")))
+        .otherwise(syn_c)
     )
-    synopsis_ok = syn_v.isNull() | (syn_kind == "STRING")
-
-    vis = F.try_variant_get(j, "$.visibility", "variant")
-    vis_score = F.try_variant_get(j, "$.visibility_score", "variant")
-    chosen = F.when(_truthy(vis), vis).otherwise(vis_score)
-    chosen_kind = _kind(chosen)
+    ch = F.col("_ch")
     score = F.when(
-        chosen.isNotNull() & _is_number_kind(chosen_kind),
-        F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.try_variant_get(chosen, "$", "double"))),
+        ch.isNotNull() & _is_number_kind(_kind(ch)),
+        F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.try_variant_get(ch, "$", "double"))),
     ).otherwise(F.lit(DEFAULT_VISIBILITY))
-
-    act_v = F.try_variant_get(j, "$.action_phrase", "variant")
-    act_kind = _kind(act_v)
+    act, act_k = F.col("_act"), F.col("_act_k")
     action = (
-        F.when(act_v.isNull(), F.lit(None).cast("string"))
-        .when(act_kind == "VOID", F.lit(None).cast("string"))
-        .when(act_kind == "STRING", F.try_variant_get(act_v, "$", "string"))
-        .otherwise(F.to_json(act_v))
-    )
-
-    is_label = (
-        raw.isNotNull() & (raw != "") & j.isNotNull() & is_object & synopsis_ok
+        F.when(act.isNull() | (act_k == "VOID"), F.lit(None).cast("string"))
+        .when(act_k == "STRING", F.try_variant_get(act, "$", "string"))
+        .otherwise(F.to_json(act))
     )
-    return F.struct(
-        is_label.alias("is_label"),
-        F.when(is_label, synopsis).alias("synopsis"),
-        F.when(is_label, action).alias("action_phrase"),
-        F.when(is_label, score).alias("visibility_score"),
-        F.when(is_label, syn_v.isNotNull()).alias("has_synopsis"),
-        F.when(is_label, act_v.isNotNull()).alias("has_action"),
+    out = k.withColumn("is_label", is_label)
+    lab = F.col("is_label")
+    return out.select(
+        *df.columns,
+        "is_label",
+        F.when(lab, synopsis).alias("synopsis"),
+        F.when(lab, action).alias("action_phrase"),
+        F.when(lab, score).alias("visibility_score"),
+        F.when(lab, F.col("_syn").isNotNull()).alias("has_synopsis"),
+        F.when(lab, act.isNotNull()).alias("has_action"),
     )

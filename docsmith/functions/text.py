@@ -13,12 +13,10 @@ from pyspark.sql import functions as F
 from docsmith.schema import (
     MAX_DOC_CHARS,
     NO_METHOD_DOC,
-    PY_WHITESPACE_CLASS,
+    PY_WHITESPACE_CHARS,
     TRUNCATION_SUFFIX,
 )
 
-_STRIP_RE = rf"\A{PY_WHITESPACE_CLASS}+|{PY_WHITESPACE_CLASS}+\z"
-_LSTRIP_RE = rf"\A{PY_WHITESPACE_CLASS}+"
 
 
 def col_(c: Column | str) -> Column:
@@ -26,12 +24,14 @@ def col_(c: Column | str) -> Column:
 
 
 def py_strip(c: Column | str) -> Column:
-    """Python ``str.strip()``: removes every Unicode whitespace at both ends."""
-    return F.regexp_replace(col_(c), _STRIP_RE, "")
+    """Python ``str.strip()``: removes every Unicode whitespace at both ends.
+    ``btrim`` with an explicit character set: a code-point scan, no regex."""
+    return F.btrim(col_(c), F.lit(PY_WHITESPACE_CHARS))
 
 
 def py_lstrip(c: Column | str) -> Column:
-    return F.regexp_replace(col_(c), _LSTRIP_RE, "")
+    """Python ``str.lstrip()`` (SQL ``ltrim(trimStr, str)`` argument order)."""
+    return F.call_function("ltrim", F.lit(PY_WHITESPACE_CHARS), col_(c))
 
 
 def is_blank(c: Column | str) -> Column:

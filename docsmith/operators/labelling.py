@@ -162,14 +162,20 @@ def run_labeller(misses: DataFrame, labeller: Labeller, concurrency: int | None
 def parse_responses(responses: DataFrame) -> DataFrame:
     """SCL3-SCL6 over ``(class_name, content)``: rows that yield a label, as
     ``(class_name, synopsis, action_phrase, visibility_score)`` (absent fields
-    null; :func:`apply_labels` fills the defaults)."""
-    p = responses.select("class_name", parse_label("content").alias("p"))
-    return p.filter(F.col("p.is_label")).select(
-        "class_name",
-        F.col("p.synopsis").alias("synopsis"),
-        F.when(F.col("p.has_action"), F.col("p.action_phrase")).otherwise(F.lit("")).alias("action_phrase"),
-        F.col("p.visibility_score").alias("visibility_score"),
+    null; :func:`apply_labels` fills the defaults).
+
+    Rows without a label are dropped by exploding a zero-or-one element
+    array instead of a ``Filter``: a filter would be pushed below the parse
+    projections with the whole parse inlined into its condition (evaluated
+    twice, and too large for one generated method)."""
+    p = parse_label(responses.select("class_name", "content"), "content")
+    label = F.struct(
+        F.col("synopsis").alias("synopsis"),
+        F.when(F.col("has_action"), F.col("action_phrase")).otherwise(F.lit("")).alias("action_phrase"),
+        F.col("visibility_score").alias("visibility_score"),
     )
+    return p.select("class_name", F.explode(F.when(F.col("is_label"), F.array(label))).alias("l")).select(
+        "class_name", "l.synopsis", "l.action_phrase", "l.visibility_score")
 
 
 def unique_requests(requests: DataFrame, order_col: str | None = None) -> DataFrame:

@@ -307,7 +307,7 @@ def scl3(spark, sf):
 
 @query("scl4_json_parse", _RESP_PARSED + "select class_name, is_label from parsed")
 def scl4(spark, sf):
-    return V(spark, sf, "v_resp").select("class_name", LB.parse_label("content")["is_label"].alias("is_label"))
+    return LB.parse_label(V(spark, sf, "v_resp")).select("class_name", "is_label")
 
 
 @query("scl5_synopsis", _RESP_PARSED + "select class_name, synopsis, action_phrase from parsed where is_label")

@@ -64,7 +64,13 @@ NO_METHOD_DOC = "*No documentation available.*"
 STAR = "⭐"
 SEARCH_DEFAULT_LIMIT = 10
 
-# Characters Python's str.strip() removes (str.isspace() is true for them).
+# Characters Python's str.strip() removes (str.isspace() is true for them),
+# as a string for Spark's trim functions and as a regex class for DuckDB.
+PY_WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 PY_WHITESPACE_CLASS = (
     r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
