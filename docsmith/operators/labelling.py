@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from docsmith.functions.labels import parse_label, prompt
 from docsmith.functions.text import truncate_doc
 from docsmith.operators.filters import is_labelable
-from docsmith.schema import DEFAULT_VISIBILITY
+from docsmith.schema import DEFAULT_VISIBILITY, LABEL
 
 LABEL_COLS = ("synopsis", "action_phrase", "visibility_score")
 
@@ -210,6 +210,8 @@ def label_classes(requests: DataFrame, cache: DataFrame | None,
         parts.append(parse_responses(run_labeller(todo, labeller, concurrency)))
     elif responses is not None:
         parts.append(parse_responses(responses.join(todo.select("class_name"), "class_name", "left_semi")))
+    if not parts:
+        return requests.sparkSession.createDataFrame([], LABEL)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -81,8 +81,17 @@ def method_section_lines(sections: Column, sem: Column) -> Column:
                                 F.flatten(F.transform(F.map_entries(secs), one_section)))).otherwise(_empty())
 
 
+_PAGE_FIELDS = {"class_doc": "string", "synopsis": "string", "role": "string", "action_phrase": "string",
+                "visibility_score": "double", "input_datatype": "string", "output_datatype": "string",
+                "semantic_methods": "array<string>"}
+
+
 def class_page(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """JOB4: ``(module_name, class_name, path, content, *keep)`` per record."""
+    """JOB4: ``(module_name, class_name, path, content, *keep)`` per record.
+    Record fields the table lacks read as absent (null)."""
+    for c, t in _PAGE_FIELDS.items():
+        if c not in records.columns:
+            records = records.withColumn(c, F.lit(None).cast(t))
     name, module = F.col("class_name"), F.col("module_name")
     syn, doc = F.col("synopsis"), F.col("class_doc")
     sem = F.coalesce(F.col("semantic_methods"), _empty())

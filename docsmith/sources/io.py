@@ -72,6 +72,20 @@ def read_label_cache(spark: SparkSession, path: str, missing_ok: bool = True) ->
     return dedupe_label_cache(df, "seq")
 
 
+def _whole_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """One row per file: ``(file_path, file_name, text)``, the bytes decoded as
+    UTF-8 exactly (the text source's whole-file mode drops a final newline)."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    df = reader.load(path)
+    return df.select(
+        F.col("path").alias("file_path"),
+        F.regexp_extract(F.col("path"), r"([^/]*)$", 1).alias("file_name"),
+        F.decode(F.col("content"), "UTF-8").alias("text"),
+    )
+
+
 def read_help_dump(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """SRC4: help dump ``(module_name, class_name, help_text)``.
 
@@ -79,12 +93,11 @@ def read_help_dump(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     one file per class laid out as ``<module>/<class>.txt`` (whole file = one
     text; module and class from the path)."""
     if fmt == "text":
-        df = spark.read.option("wholetext", "true").text(path)
-        p = F.col("_metadata.file_path")
+        df = _whole_files(spark, path)
         return df.select(
-            bare_module(F.regexp_extract(p, r"([^/]+)/[^/]+$", 1)).alias("module_name"),
-            F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1).alias("class_name"),
-            F.col("value").alias("help_text"),
+            bare_module(F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1)).alias("module_name"),
+            F.regexp_extract("file_name", r"^(.*?)(\.[^.]*)?$", 1).alias("class_name"),
+            F.col("text").alias("help_text"),
         )
     df = spark.read.schema(HELP_DUMP).parquet(path)
     return df.withColumn("module_name", bare_module("module_name"))
@@ -93,16 +106,15 @@ def read_help_dump(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 def read_stubs(spark: SparkSession, path: str, missing_ok: bool = True) -> DataFrame:
     """SRC5: every ``*.pyi`` directly in ``path``; module = file stem."""
     try:
-        df = (spark.read.option("wholetext", "true").option("pathGlobFilter", "*.pyi")
-              .option("recursiveFileLookup", "false").text(path))
+        df = _whole_files(spark, path, glob="*.pyi")
         df.schema  # noqa: B018
     except AnalysisException as e:
         if missing_ok and _missing(e):
             return _empty(spark, STUBS)
         raise
     return df.select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.pyi$", 1).alias("module_name"),
-        F.col("value").alias("content"),
+        F.regexp_extract("file_name", r"^(.*)\.pyi$", 1).alias("module_name"),
+        F.col("text").alias("content"),
     )
 
 
