@@ -106,40 +106,51 @@ def isa_closure(classes: DataFrame, class_bases: DataFrame, max_rounds: int = 64
 
     Semi-naive path doubling over the base edges: after round k every pair
     joined by a path of length <= 2**k is known, so the number of rounds is
-    about log2 of the hierarchy depth.  A pair first reachable in round k+1
-    splits its shortest path into two halves, one of which was new in round k,
-    so each round joins only the previous round's new pairs (``delta``) with
-    all pairs found so far, on both sides.  Every round's new pairs are written
-    once under the checkpoint directory; the pair set is the union of them.
+    about log2 of the hierarchy depth.  The shortest path of a pair first
+    reachable in round k splits after exactly 2**(k-1) steps into a pair new
+    in round k-1 and a known pair, so each round joins only the previous
+    round's new pairs (``delta``) with the pairs found so far.  Pairs carry their shortest
+    distance: when no pair of length 2**k exists after round k, no longer
+    path exists either, and the loop stops without an extra empty round.
+    Every round's new pairs are written once under the checkpoint directory;
+    the pair set is the union of them.
     """
     edges = materialize(
         class_bases.select("class_name", F.col("base_name").alias("ancestor"))
-        .filter(F.col("class_name").isNotNull() & F.col("ancestor").isNotNull())
-        .distinct(),
+        .filter(F.col("class_name").isNotNull() & F.col("ancestor").isNotNull()
+                & (F.col("class_name") != F.col("ancestor")))
+        .distinct()
+        .withColumn("dist", F.lit(1)),
         "isa-edges",
     )
     parts = [edges]
     delta = edges
+    reach = 1  # every pair at distance <= reach is known
     for _ in range(max_rounds):
+        longest = delta.agg(F.max("dist")).first()[0]
+        if longest is None or longest < reach:
+            break
         paths = reduce(DataFrame.unionByName, parts)
-        right = (delta.alias("d").join(paths.alias("p"), F.col("d.ancestor") == F.col("p.class_name"))
-                 .select(F.col("d.class_name").alias("class_name"), F.col("p.ancestor").alias("ancestor")))
-        left = (paths.alias("p").join(delta.alias("d"), F.col("p.ancestor") == F.col("d.class_name"))
-                .select(F.col("p.class_name").alias("class_name"), F.col("d.ancestor").alias("ancestor")))
+        # a pair at distance d in (reach, 2*reach] = a pair at distance exactly
+        # `reach` (new in the previous round) followed by a known pair
+        step = (delta.alias("d").join(paths.alias("p"), F.col("d.ancestor") == F.col("p.class_name"))
+                .select(F.col("d.class_name").alias("class_name"), F.col("p.ancestor").alias("ancestor"),
+                        (F.col("d.dist") + F.col("p.dist")).alias("dist")))
         new = materialize(
-            right.unionByName(left).distinct().join(paths, ["class_name", "ancestor"], "left_anti"),
+            step.filter(F.col("class_name") != F.col("ancestor"))
+            .groupBy("class_name", "ancestor").agg(F.min("dist").alias("dist"))
+            .join(paths, ["class_name", "ancestor"], "left_anti"),
             "isa-step",
         )
-        if new.isEmpty():
-            break
         parts.append(new)
         delta = new
+        reach *= 2
     else:
         raise RuntimeError(f"IsA closure did not converge in {max_rounds} rounds")
-    paths = reduce(DataFrame.unionByName, parts)
+    paths = reduce(DataFrame.unionByName, parts).select("class_name", "ancestor")
     names = classes.select("class_name").distinct()
     seed = names.select("class_name", F.col("class_name").alias("ancestor"))
-    inherited = paths.join(names, "class_name", "left_semi").join(seed, ["class_name", "ancestor"], "left_anti")
+    inherited = paths.join(names, "class_name", "left_semi")
     return seed.unionByName(inherited)
 
 
