@@ -45,11 +45,16 @@ def attach_profile(records: DataFrame, prof: DataFrame) -> DataFrame:
     )
 
 
-def build_catalog(help_dump: DataFrame, profile: DataFrame, labels: DataFrame | None = None,
+def build_catalog(help_dump: DataFrame, profile: DataFrame | None, labels: DataFrame | None = None,
                   num_partitions: int | None = None) -> DataFrame:
-    """JOB1: help dump -> catalog records (RECORD schema, plus ``matched``)."""
+    """JOB1: help dump -> catalog records (RECORD schema, plus ``matched``).
+    Without a profile every class gets the unknown-class defaults."""
     hd = help_dump.withColumn("module_name", bare_module("module_name"))
     docs = hp.structured_docs(hd, num_partitions)
+    if profile is None:
+        profile = docs.sparkSession.createDataFrame(
+            [], "class_name string, role string, input_datatype string, output_datatype string, "
+                "semantic_methods array<string>")
     recs = attach_profile(docs, profile)
     if labels is None:
         recs = (recs.withColumn("synopsis", F.lit("")).withColumn("action_phrase", F.lit(""))

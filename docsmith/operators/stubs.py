@@ -10,9 +10,9 @@ Plan: stubs are hash-partitioned by module once and exploded into lines.
 Declarations and their insertion points come from one descending running
 window over a module's lines (the next non-blank line below each line); only
 the declaration rows (one per class) are joined with the docstrings, by
-``(module, class)``.  The files are rebuilt with one ordered ``listagg`` per
-module; a module's file is one input row already, so the group is bounded by
-its own output.
+``(module, class)``.  Each file is rebuilt in its own row: the docstrings to
+insert are joined back by module and spliced in with ``transform`` over the
+file's lines, so the file text is not shuffled line by line.
 """
 
 from __future__ import annotations
@@ -65,24 +65,36 @@ def declarations(lines: DataFrame) -> DataFrame:
 
 
 def annotate_stubs(stubs: DataFrame, records: DataFrame, order_col: str | None = None) -> DataFrame:
-    """JOB3: ``(module_name, path, content, inserted)`` per stub file."""
+    """JOB3: ``(module_name, path, content, inserted)`` per stub file.
+
+    The declarations found in the exploded lines are joined with the
+    docstrings (one small row per inserted docstring), gathered per module
+    (bounded by what that file gains) and joined back to the file row, where a
+    higher-order function splices them in before their insertion lines.  The
+    file text itself is never regrouped line by line."""
     docs = records.select("module_name", "class_name", "class_doc", *([order_col] if order_col else []))
     docs = latest_per_key(docs, ["module_name", "class_name"], order_col) if order_col else docs
     src = stubs.select("module_name", "content").repartition("module_name")
-    lines = stub_lines(src)
     inserts = (
-        declarations(lines)
+        declarations(stub_lines(src))
         .filter(~F.col("has_docstring"))
         .join(annotatable(docs).select("module_name", "class_name", "class_doc"),
               ["module_name", "class_name"])
-        .select("module_name", F.col("insert_pos").alias("pos"), F.lit(0).alias("sub"),
-                F.concat(F.lit('    """'), F.col("class_doc"), F.lit('"""')).alias("line"))
+        .groupBy("module_name")
+        .agg(F.map_from_entries(F.collect_list(F.struct(
+            F.col("insert_pos").cast("int"),
+            F.concat(F.lit('    """'), F.col("class_doc"), F.lit('"""'))))).alias("ins"))
+    )
+    lines = F.split(F.coalesce(F.col("content"), F.lit("")), "\n", -1)
+    ins = F.col("ins")
+    rebuilt = F.array_join(F.transform(lines, lambda ln, i: F.when(
+        F.element_at(ins, i).isNotNull(), F.concat(F.element_at(ins, i), F.lit("\n"), ln)).otherwise(ln)), "\n")
+    return src.join(inserts, "module_name", "left").select(
+        "module_name",
+        F.concat(F.col("module_name"), F.lit(".pyi")).alias("path"),
+        F.when(ins.isNull(), F.col("content")).otherwise(rebuilt).alias("content"),
+        F.coalesce(F.size(ins), F.lit(0)).cast("bigint").alias("inserted"),
     )
-    all_lines = lines.select("module_name", "pos", F.lit(1).alias("sub"), "line").unionByName(inserts)
-    return all_lines.groupBy("module_name").agg(
-        F.expr("listagg(line, '\\n') within group (order by pos, sub)").alias("content"),
-        F.count_if(F.col("sub") == 0).alias("inserted"),
-    ).select("module_name", F.concat(F.col("module_name"), F.lit(".pyi")).alias("path"), "content", "inserted")
 
 
 def stub_summary(annotated: DataFrame) -> DataFrame:

@@ -86,11 +86,24 @@ def job1(spark, sf):
     )
 
 
-@query("agg4_stats", _CATALOG_SQL + """
+_STATS_SQL = "with " + _views("v_help") + "," + O.parse_ctes("v_help") + """
 select cast(count(*) as bigint) as total_records, cast(count(distinct module_name) as bigint) as modules,
-  cast(sum(n_methods) as bigint) as total_methods from catalog""")
+  cast((select count(*) from resolved) as bigint) as total_methods from cdocs"""
+
+
+def _stats(spark, sf):
+    # statistics need no class profile: records straight from the parse
+    return CT.stats(CT.build_catalog(V(spark, sf, "v_help"), profile=None))
+
+
+@query("agg4_stats", _STATS_SQL)
 def agg4(spark, sf):
-    return CT.stats(_catalog(spark, sf))
+    return _stats(spark, sf)
+
+
+@query("job8_stats", _STATS_SQL)
+def job8(spark, sf):
+    return _stats(spark, sf)
 
 
 @query("jn7_section_semantic_semi", "with " + _views("v_help", "v_help_methods") + "," + O.parse_ctes("v_help") + """
@@ -340,6 +353,15 @@ def job7(spark, sf):
     return CT.search(V(spark, sf, "v_records"), "en", field="synopsis", limit=10, order_col="seq")
 
 
+@query("ord3_search_page", duck_with("v_records") + """,
+hits as (select * from v_records where contains(lower(class_name), 'vtkdoc1'))
+select seq, class_name, module_name, synopsis, (select count(*) from hits) as total_hits
+from hits order by seq limit 25""")
+def ord3(spark, sf):
+    # default search field (class name), a longer page
+    return CT.search(V(spark, sf, "v_records"), "VTKDOC1", limit=25, order_col="seq")
+
+
 @query("job9_export_label_cache", duck_with("v_records") + """
 select class_name, seq, synopsis, action_phrase, coalesce(visibility_score, 0.3) as visibility_score
 from v_records where synopsis <> '' or action_phrase <> ''""")
@@ -372,3 +394,54 @@ def set2(spark, sf):
 def agg5(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     return CT.database_size_mib(docs)
+
+
+@query("ord4_module_index_page", _INDEX_SQL + """,
+lines as (
+  select module_name, 0 as kind, '00' as sort_key, '# ' || module_name as line from counts
+  union all select module_name, 0, '01', '' from counts
+  union all select module_name, 0, '02', '**' || n || ' classes**' from counts
+  union all select module_name, 0, '03', '' from counts
+  union all select module_name, 0, '04', '## Classes' from counts
+  union all select module_name, 0, '05', '' from counts
+  union all select module_name, 1, class_name, '- [`' || class_name || '`](' || class_name || '.md)'
+    || case when synopsis <> '' then ' - ' || synopsis else '' end from latest)
+select module_name, string_agg(line, chr(10) order by kind, sort_key) as content from lines group by module_name""")
+def ord4(spark, sf):
+    # index pages assembled per module (bounded here: a module of the test view)
+    return PG.assemble(PG.module_index_lines(V(spark, sf, "v_records"), "seq"), ["module_name"])
+
+
+@query("src4_help_dump_profile", "with " + _views("v_help") + f""",
+lines as (select module_name, class_name, unnest(string_split(help_text, {NL})) as line from v_help)
+select module_name, class_name, cast(count(*) as bigint) as n_lines,
+  cast(sum(length(line)) as bigint) as n_chars,
+  cast(count(*) filter (where starts_with(line, ' |  ')) as bigint) as n_body_lines
+from lines group by module_name, class_name""")
+def src4(spark, sf):
+    # the ingest profile of a help dump: lines, characters, bar-prefixed lines per text
+    lines = hp.explode_lines(V(spark, sf, "v_help"))
+    return lines.groupBy(*hp.DOC_KEYS).agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(F.length("line")).cast("bigint").alias("n_chars"),
+        F.count_if(F.col("line").startswith(" |  ")).alias("n_body_lines"),
+    )
+
+
+@query("src5_stub_declarations", _STUB_SQL + """
+select module_name, cast(count(*) as bigint) as n_declarations,
+  cast(count(*) filter (where has_docstring) as bigint) as n_with_docstring from decls group by module_name""")
+def src5(spark, sf):
+    decls = SB.declarations(SB.stub_lines(V(spark, sf, "v_stubs").repartition("module_name")))
+    return decls.groupBy("module_name").agg(
+        F.count(F.lit(1)).alias("n_declarations"), F.count_if("has_docstring").alias("n_with_docstring"))
+
+
+@query("snk4_page_rows", _PAGES_SQL + """
+select module_name, cast(count(*) as bigint) as pages, cast(sum(length(content)) as bigint) as chars
+from pages group by module_name""")
+def snk4(spark, sf):
+    # what the page sink writes per module partition
+    pages = PG.class_page(_catalog(spark, sf))
+    return pages.groupBy("module_name").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum(F.length("content")).cast("bigint").alias("chars"))
