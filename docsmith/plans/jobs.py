@@ -3,12 +3,18 @@
 Each stage writes its output under ``out_dir`` (a shared filesystem path on a
 cluster) and the next stage reads it back, so a stage never recomputes the
 previous ones and a lost executor only repeats work of the running stage.
+Stages: ``catalog`` (parse, written; IsA closure and profile computed
+alongside), ``labels`` (cache + labeller over the parsed docs, written),
+``records`` (parsed docs + profile + labels, written as JSON), ``stubs``,
+``pages`` (class pages, module results, index line rows).
 A failing stage stops the build (the exception propagates after the stage
 name is recorded), like the reference's stop-at-first-failure sequence.
 """
 
 from __future__ import annotations
 
+import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +30,7 @@ from docsmith.sources import io as IO
 class BuildResult:
     ok: bool = False
     stages: list[str] = field(default_factory=list)
+    seconds: dict = field(default_factory=dict)
     failed_stage: str | None = None
     summary: dict = field(default_factory=dict)
 
@@ -46,26 +53,39 @@ def build_all(
     res = BuildResult()
     out = out_dir.rstrip("/")
 
+    clock = {"t": time.perf_counter()}
+
     def stage(name):
+        now = time.perf_counter()
+        if res.stages:
+            res.seconds[res.stages[-1]] = round(now - clock["t"], 3)
+        clock["t"] = now
         res.failed_stage = name
         return name
 
     try:
         stage("catalog")
-        profile = CT.catalog_profile(classes, class_bases, ports, class_methods)
-        unlabelled = CT.build_catalog(help_dump, profile, labels=None)
-        unlabelled.drop("matched").write.mode("overwrite").parquet(f"{out}/stage/records_unlabelled")
+        # The parse and the IsA closure are independent: the parse's job runs
+        # from a second thread while the closure's small rounds run here, so
+        # the cluster's slots are shared by both (concurrent jobs, one context).
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            parsed = pool.submit(
+                lambda: CT.build_catalog(help_dump, profile=None, labels=None).drop("matched")
+                .write.mode("overwrite").parquet(f"{out}/stage/parsed"))
+            profile = CT.catalog_profile(classes, class_bases, ports, class_methods)
+            parsed.result()
         res.stages.append("catalog")
 
         stage("labels")
-        base = spark.read.parquet(f"{out}/stage/records_unlabelled")
+        base = spark.read.parquet(f"{out}/stage/parsed").drop(
+            "role", "input_datatype", "output_datatype", "semantic_methods")
         labels = LL.label_classes(base, label_cache, labeller=labeller, concurrency=label_concurrency)
         labels.write.mode("overwrite").parquet(f"{out}/stage/labels")
         res.stages.append("labels")
 
         stage("records")
         labels = spark.read.parquet(f"{out}/stage/labels")
-        records = LL.apply_labels(base, labels)
+        records = LL.apply_labels(CT.attach_profile(base, profile), labels)
         IO.write_records(records, f"{out}/records")
         res.stages.append("records")
         recs = IO.read_records(spark, f"{out}/records")
@@ -88,8 +108,9 @@ def build_all(
         IO.write_lines(PG.main_index_lines(results, version), f"{out}/main_index", ["kind", "sort_key"])
         res.summary["pages"] = PG.build_summary(results).first().asDict()
         res.summary["catalog"] = CT.stats(recs).first().asDict()
-        res.summary["labels"] = LL.label_coverage(LL.apply_labels(base, labels)).first().asDict()
+        res.summary["labels"] = LL.label_coverage(LL.apply_labels(base.select("class_name"), labels)).first().asDict()
         res.stages.append("pages")
+        res.seconds["pages"] = round(time.perf_counter() - clock["t"], 3)
         res.failed_stage = None
         res.ok = True
     except Exception:

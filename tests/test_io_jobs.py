@@ -116,3 +116,14 @@ def test_streaming_catalog(spark, tmp_out):
     out = read_catalog(spark, f"{tmp_out}/cat")
     assert out.count() == 2
     assert {r.role for r in out.collect()} <= {"input", "utility"}
+
+
+def test_label_cache_export_round_trip(spark, tmp_out):
+    recs = spark.createDataFrame([
+        ("vtkA", "m", "Syn A.", "", 0.4), ("vtkB", "m", "", "", 0.9), ("vtkC", "m", "", "act", None),
+    ], "class_name string, module_name string, synopsis string, action_phrase string, visibility_score double")
+    exported = CT.export_label_cache(recs)
+    IO.write_label_cache(exported, f"{tmp_out}/cache")
+    back = {r.class_name: (r.synopsis, r.action_phrase, r.visibility_score)
+            for r in IO.read_label_cache(spark, f"{tmp_out}/cache").collect()}
+    assert back == {"vtkA": ("Syn A.", "", 0.4), "vtkC": ("", "act", 0.3)}
