@@ -60,3 +60,25 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     path = f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input on ``cores``
+    executor cores.  Shuffle partitions are sized so a partition holds about
+    ``partition_bytes`` (AQE coalesces smaller ones and splits skewed ones);
+    scan splits are kept at the same size so a task's window buffers (one
+    document's lines at a time) and sort spills stay small.  The checkpoint
+    directory is not set here: it is the cluster's shared folder."""
+    shuffle = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.sources.bucketing.enabled": "true",
+    }

@@ -146,3 +146,13 @@ def write_lines(lines: DataFrame, path: str, sort_cols: list[str]) -> None:
     """Index pages as line rows, globally sorted (range-partitioned), so
     reading the parts in order yields the page text."""
     lines.orderBy(*sort_cols).write.mode("overwrite").parquet(path)
+
+
+def write_help_dump_bucketed(help_dump: DataFrame, table: str, buckets: int) -> None:
+    """Store a help dump as a table bucketed (and sorted) on the document key.
+    Reading it back gives scans that are already hash-partitioned on
+    ``(module_name, class_name)``, so :func:`docsmith.operators.helpparse.
+    structured_docs` with ``prepartitioned=True`` parses with no shuffle."""
+    (help_dump.select("module_name", "class_name", "help_text")
+     .write.mode("overwrite").bucketBy(buckets, "module_name", "class_name")
+     .sortBy("module_name", "class_name").saveAsTable(table))
