@@ -190,9 +190,6 @@ port0 as (
 """
 
 
-BOILER = None
-
-
 def boilerplate_sql(x: str) -> str:
     from docsmith.schema import BOILERPLATE_METHODS
     return f"(starts_with({x}, '_') or {x} in (" + ", ".join(f"'{m}'" for m in BOILERPLATE_METHODS) + "))"

@@ -13,8 +13,6 @@ from docsmith.operators import filters as FL
 from docsmith.operators import helpparse as hp
 from docsmith.operators import hierarchy as HY
 from docsmith.operators import labelling as LL
-from docsmith.operators import pages as PG
-from docsmith.operators import stubs as SB
 from docsmith.plans import oracle as O
 from docsmith.plans.queries import _PARSE, _help, query
 from docsmith.plans.views import duck_with, spark_view
