@@ -83,18 +83,19 @@ def mark_lines(lines: DataFrame) -> DataFrame:
     stripped = py_strip(line)
     is_cls = stripped.startswith(F.concat(F.lit("class "), F.col("class_name")))
     w = _running()
-    return (
-        lines.withColumn("is_p", line.startswith(HELP_PREFIX))
-        .withColumn("is_cls", F.coalesce(is_cls, F.lit(False)))
-        .withColumn("is_mro", line.contains(MRO_MARKER) & ~F.col("is_cls"))
-        .withColumn("is_hdr", is_section_header(line))
-        .withColumn("cls_seen", F.max(F.col("is_cls").cast("int")).over(w))
-        .withColumn("mro_seen", F.max(F.col("is_mro").cast("int")).over(w))
-        .withColumn("sec", F.sum(F.col("is_hdr").cast("int")).over(w))
-        .withColumn(
-            "sec_name",
-            F.last(F.when(F.col("is_hdr"), header_name(line)), ignorenulls=True).over(w),
-        )
+    flagged = lines.select(
+        "*",
+        line.startswith(HELP_PREFIX).alias("is_p"),
+        F.coalesce(is_cls, F.lit(False)).alias("is_cls"),
+        is_section_header(line).alias("is_hdr"),
+    ).withColumn("is_mro", line.contains(MRO_MARKER) & ~F.col("is_cls"))
+    # one select: the four running aggregates share one Window operator
+    return flagged.select(
+        "*",
+        F.max(F.col("is_cls").cast("int")).over(w).alias("cls_seen"),
+        F.max(F.col("is_mro").cast("int")).over(w).alias("mro_seen"),
+        F.sum(F.col("is_hdr").cast("int")).over(w).alias("sec"),
+        F.last(F.when(F.col("is_hdr"), header_name(line)), ignorenulls=True).over(w).alias("sec_name"),
     )
 
 
@@ -121,35 +122,21 @@ def mark_methods(marked: DataFrame) -> DataFrame:
     line = F.col("line")
     stripped = py_strip(line)
     is_content = ~F.col("is_hdr") & F.col("is_p") & (F.col("sec") > 0)
-    is_sig = (
-        is_content
-        & (stripped != "")
-        & line.contains("(")
-        & ~line.startswith(HELP_DOC_INDENT)
-        & ~stripped.startswith("------")
-    )
     mline = F.replace(line, F.lit(HELP_PREFIX), F.lit(""))
     w = _running()
-    return (
-        marked.withColumn("is_content", is_content)
-        .withColumn("is_sig", is_sig)
-        .withColumn("mline", mline)
-        .withColumn("mid", F.sum(F.col("is_sig").cast("int")).over(w))
-        .withColumn("sig_sec", F.max(F.when(F.col("is_sig"), F.col("sec"))).over(w))
-        .withColumn(
-            "mname",
-            F.last(
-                F.when(F.col("is_sig"), py_strip(F.substring_index(F.col("mline"), "(", 1))),
-                ignorenulls=True,
-            ).over(w),
-        )
-        .withColumn(
-            "in_block",
-            F.col("is_content")
-            & (F.col("mid") > 0)
-            & (F.col("sig_sec") == F.col("sec"))
-            & (F.col("mname") != ""),
-        )
+    flagged = marked.select("*", is_content.alias("is_content"), mline.alias("mline")).withColumn(
+        "is_sig", F.col("is_content") & (stripped != "") & line.contains("(")
+        & ~line.startswith(HELP_DOC_INDENT) & ~stripped.startswith("------"))
+    # one select: the three running aggregates share one Window operator
+    return flagged.select(
+        "*",
+        F.sum(F.col("is_sig").cast("int")).over(w).alias("mid"),
+        F.max(F.when(F.col("is_sig"), F.col("sec"))).over(w).alias("sig_sec"),
+        F.last(F.when(F.col("is_sig"), py_strip(F.substring_index(F.col("mline"), "(", 1))),
+               ignorenulls=True).over(w).alias("mname"),
+    ).withColumn(
+        "in_block",
+        F.col("is_content") & (F.col("mid") > 0) & (F.col("sig_sec") == F.col("sec")) & (F.col("mname") != ""),
     )
 
 
