@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsmith.functions.scores import one_decimal, stars
-from docsmith.functions.text import format_method_doc, section_label, thousands
+from docsmith.functions.text import format_method_doc, section_label, thousands  # noqa: F401
 from docsmith.operators.labelling import latest_per_key
 from docsmith.schema import KEY_METHODS_SHOWN, PAGE_DEFAULT_VISIBILITY
 

@@ -396,20 +396,23 @@ def agg5(spark, sf):
     return CT.database_size_mib(docs)
 
 
-@query("ord4_module_index_page", _INDEX_SQL + """,
-lines as (
-  select module_name, 0 as kind, '00' as sort_key, '# ' || module_name as line from counts
-  union all select module_name, 0, '01', '' from counts
-  union all select module_name, 0, '02', '**' || n || ' classes**' from counts
-  union all select module_name, 0, '03', '' from counts
-  union all select module_name, 0, '04', '## Classes' from counts
-  union all select module_name, 0, '05', '' from counts
-  union all select module_name, 1, class_name, '- [`' || class_name || '`](' || class_name || '.md)'
-    || case when synopsis <> '' then ' - ' || synopsis else '' end from latest)
-select module_name, string_agg(line, chr(10) order by kind, sort_key) as content from lines group by module_name""")
+@query("ord4_page_method_order", _PAGES_SQL + """
+select module_name, class_name, {sec} as section_label,
+  string_agg(method, ',' order by method) as methods_in_page_order
+from key_methods group by module_name, class_name, section, sec_ord""".format(
+    sec=O.strip("replace(section, '|', '')")))
 def ord4(spark, sf):
-    # index pages assembled per module (bounded here: a module of the test view)
-    return PG.assemble(PG.module_index_lines(V(spark, sf, "v_records"), "seq"), ["module_name"])
+    # ORD4 on class pages: per section, the key methods in name order, as rendered.
+    # (Index orderings are the sort keys of the index line rows, see job5/job6.)
+    recs = _catalog(spark, sf)
+    secs = F.explode(F.map_entries(F.col("structured_docs.sections"))).alias("s")
+    return recs.select("module_name", "class_name", "semantic_methods", secs).select(
+        "module_name", "class_name",
+        PG.section_label(F.col("s.key")).alias("section_label"),
+        F.array_join(F.array_sort(F.filter(F.map_keys(F.col("s.value.methods")),
+                                           lambda m: F.array_contains(F.col("semantic_methods"), m))), ",")
+        .alias("methods_in_page_order"),
+    ).filter(F.col("methods_in_page_order") != "")
 
 
 @query("src4_help_dump_profile", "with " + _views("v_help") + f""",
