@@ -46,11 +46,16 @@ def attach_profile(records: DataFrame, prof: DataFrame) -> DataFrame:
 
 
 def build_catalog(help_dump: DataFrame, profile: DataFrame | None, labels: DataFrame | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, prepartitioned: bool = False) -> DataFrame:
     """JOB1: help dump -> catalog records (RECORD schema, plus ``matched``).
-    Without a profile every class gets the unknown-class defaults."""
-    hd = help_dump.withColumn("module_name", bare_module("module_name"))
-    docs = hp.structured_docs(hd, num_partitions)
+    Without a profile every class gets the unknown-class defaults.
+    ``prepartitioned``: the dump is bucketed on the document key and its
+    module names are already bare (see ``io.write_help_dump_bucketed``)."""
+    if prepartitioned:
+        docs = hp.structured_docs(help_dump, prepartitioned=True)
+    else:
+        hd = help_dump.withColumn("module_name", bare_module("module_name"))
+        docs = hp.structured_docs(hd, num_partitions)
     if profile is None:
         profile = docs.sparkSession.createDataFrame(
             [], "class_name string, role string, input_datatype string, output_datatype string, "

@@ -48,6 +48,7 @@ def build_all(
     labeller: LL.Labeller | None = None,
     label_concurrency: int | None = None,
     version: str = "VTK (version unknown)",
+    prepartitioned: bool = False,
 ) -> BuildResult:
     """Run every stage; returns which stages finished and summary counts."""
     res = BuildResult()
@@ -70,7 +71,8 @@ def build_all(
         # the cluster's slots are shared by both (concurrent jobs, one context).
         with ThreadPoolExecutor(max_workers=1) as pool:
             parsed = pool.submit(
-                lambda: CT.build_catalog(help_dump, profile=None, labels=None).drop("matched")
+                lambda: CT.build_catalog(help_dump, profile=None, labels=None, prepartitioned=prepartitioned)
+                .drop("matched")
                 .write.mode("overwrite").parquet(f"{out}/stage/parsed"))
             profile = CT.catalog_profile(classes, class_bases, ports, class_methods)
             parsed.result()

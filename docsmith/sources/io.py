@@ -153,6 +153,6 @@ def write_help_dump_bucketed(help_dump: DataFrame, table: str, buckets: int) ->
     Reading it back gives scans that are already hash-partitioned on
     ``(module_name, class_name)``, so :func:`docsmith.operators.helpparse.
     structured_docs` with ``prepartitioned=True`` parses with no shuffle."""
-    (help_dump.select("module_name", "class_name", "help_text")
+    (help_dump.select(bare_module("module_name").alias("module_name"), "class_name", "help_text")
      .write.mode("overwrite").bucketBy(buckets, "module_name", "class_name")
      .sortBy("module_name", "class_name").saveAsTable(table))
