@@ -127,3 +127,21 @@ def test_label_cache_export_round_trip(spark, tmp_out):
     back = {r.class_name: (r.synopsis, r.action_phrase, r.visibility_score)
             for r in IO.read_label_cache(spark, f"{tmp_out}/cache").collect()}
     assert back == {"vtkA": ("Syn A.", "", 0.4), "vtkC": ("", "act", 0.3)}
+
+
+def test_labeller_failures_are_isolated(spark):
+    def flaky(batch):
+        out = []
+        for name in batch["class_name"]:
+            if name.endswith("3"):
+                raise RuntimeError("model error")
+            out.append('{"synopsis": "ok", "visibility_score": 0.5}' if not name.endswith("5")
+                       else "not json")
+        return out
+
+    reqs = spark.createDataFrame([(f"vtkC{i}", "doc" if i != 7 else "  ") for i in range(10)],
+                                 "class_name string, class_doc string")
+    labels = {r.class_name: r.synopsis for r in LL.label_classes(reqs, None, labeller=flaky, concurrency=3).collect()}
+    # raising rows and unparsable replies get no label; blank docs never reach the labeller
+    assert set(labels) == {f"vtkC{i}" for i in range(10)} - {"vtkC3", "vtkC5", "vtkC7"}
+    assert set(labels.values()) == {"ok."}
