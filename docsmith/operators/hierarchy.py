@@ -150,7 +150,9 @@ def isa_closure(classes: DataFrame, class_bases: DataFrame, max_rounds: int = 64
     paths = reduce(DataFrame.unionByName, parts).select("class_name", "ancestor")
     names = classes.select("class_name").distinct()
     seed = names.select("class_name", F.col("class_name").alias("ancestor"))
-    inherited = paths.join(names, "class_name", "left_semi")
+    # inner join with the distinct names (= a semi join): a semi join would be
+    # pushed below the union and shuffle the names once per round
+    inherited = paths.join(names, "class_name", "inner")
     return seed.unionByName(inherited)
 
 
