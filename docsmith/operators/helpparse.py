@@ -28,10 +28,23 @@ from docsmith.functions.text import finish_cleaned_lines, is_cpp_line, py_strip
 from docsmith.schema import HELP_DOC_INDENT, HELP_PREFIX, MRO_MARKER, SECTION_HEADERS
 
 DOC_KEYS = ("module_name", "class_name")
+# Internal document identity: one id per input row, so that several rows with
+# the same (module, class) -- copies -- are parsed apart (their lines never mix
+# in one window) and spread over tasks instead of piling onto one key.
+DOC_ID = "_doc"
+_KEYS = DOC_KEYS + (DOC_ID,)
 _NL = "\n"
 
 
-def _running(keys=DOC_KEYS):
+def with_doc_id(help_df: DataFrame) -> DataFrame:
+    """Tag every input row with a document id (deterministic per input split,
+    so a retried task reproduces it)."""
+    if DOC_ID in help_df.columns:
+        return help_df
+    return help_df.withColumn(DOC_ID, F.monotonically_increasing_id())
+
+
+def _running(keys=_KEYS):
     return (
         Window.partitionBy(*keys)
         .orderBy("pos")
@@ -44,16 +57,19 @@ def _listagg_ordered(col_name: str, order_by: str = "pos") -> Column:
 
 
 def partition_by_doc(help_df: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Co-locate each document's text on the document key (the one shuffle)."""
+    """Co-locate each document's text on the document key (the one shuffle).
+    The key includes the per-row document id, so copies of one class spread
+    over partitions."""
+    tagged = with_doc_id(help_df)
     if num_partitions:
-        return help_df.repartition(num_partitions, *DOC_KEYS)
-    return help_df.repartition(*DOC_KEYS)
+        return tagged.repartition(num_partitions, *_KEYS)
+    return tagged.repartition(*_KEYS)
 
 
 def explode_lines(help_df: DataFrame) -> DataFrame:
     """TXT1: one row per line, ``pos`` from 0, empty lines and order kept."""
-    return help_df.select(
-        *DOC_KEYS,
+    return with_doc_id(help_df).select(
+        *_KEYS,
         F.posexplode(F.split(F.coalesce(F.col("help_text"), F.lit("")), _NL, -1)).alias("pos", "line"),
     ).withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -146,7 +162,7 @@ def class_docs(marked: DataFrame) -> DataFrame:
     kept = F.when(class_doc_lines(marked) & ~is_cpp_line(sub), py_strip(sub))
     return (
         marked.withColumn("cdoc_line", kept)
-        .groupBy(*DOC_KEYS)
+        .groupBy(*_KEYS)
         .agg(_listagg_ordered("cdoc_line").alias("cdoc_raw"))
         .select(*DOC_KEYS, finish_cleaned_lines("cdoc_raw").alias("class_doc"))
     )
@@ -180,7 +196,7 @@ def islands(methods_marked: DataFrame) -> DataFrame:
         methods_marked.filter(is_cdoc_line | (F.col("pos") == 0) | F.col("in_block"))
         .withColumn("t", F.explode(tags))
         .withColumn("kept_line", text)
-        .groupBy(*DOC_KEYS, F.col("t.sec").alias("sec"), F.col("t.mid").alias("mid"))
+        .groupBy(*_KEYS, F.col("t.sec").alias("sec"), F.col("t.mid").alias("mid"))
         .agg(
             F.first("t.is_cdoc").alias("is_cdoc"),
             F.first("mname").alias("method"),
@@ -206,8 +222,8 @@ def resolve_duplicates(blocks: DataFrame) -> DataFrame:
     it, the last island per method name wins.  ``sec_ord``/``ord`` keep the
     first-appearance order of section and method names.  Class-doc islands
     (section null, sec = mid = -1) pass through unchanged."""
-    by_section = Window.partitionBy(*DOC_KEYS, "section")
-    by_method = Window.partitionBy(*DOC_KEYS, "sec", "method")
+    by_section = Window.partitionBy(*_KEYS, "section")
+    by_method = Window.partitionBy(*_KEYS, "sec", "method")
     return (
         blocks.withColumn("last_sec", F.max("sec").over(by_section))
         .withColumn("sec_ord", F.min("sec").over(by_section))
@@ -223,7 +239,7 @@ def parse_unified(help_df: DataFrame, num_partitions: int | None = None,
                   prepartitioned: bool = False) -> DataFrame:
     """TXT9 as one lineage: class-doc rows (``is_cdoc``) and surviving method
     rows ``(section, method, ord, doc, sec_ord)`` of every text."""
-    src = help_df if prepartitioned else partition_by_doc(help_df, num_partitions)
+    src = with_doc_id(help_df) if prepartitioned else partition_by_doc(help_df, num_partitions)
     marked = mark_methods(mark_lines(explode_lines(src)))
     return resolve_duplicates(islands(marked))
 
@@ -232,14 +248,14 @@ def parse_help(help_df: DataFrame, num_partitions: int | None = None,
                prepartitioned: bool = False) -> tuple[DataFrame, DataFrame]:
     """TXT9: help dump -> ``(class_docs, methods)``.
 
-    ``methods`` is the flat form ``(module_name, class_name, section, method,
-    ord, doc, sec_ord)``.  Both come from one parse; use
+    ``methods`` is the flat form ``(module_name, class_name, _doc, section,
+    method, ord, doc, sec_ord)``; ``_doc`` tells copies of a class apart.  Both come from one parse; use
     :func:`structured_docs` when both are needed together, which keeps them in
     one lineage (one scan, one shuffle).
     """
     u = parse_unified(help_df, num_partitions, prepartitioned)
-    docs = u.filter("is_cdoc").select(*DOC_KEYS, F.col("doc").alias("class_doc"))
-    methods = u.filter("not is_cdoc").select(*DOC_KEYS, "section", "method", "ord", "doc", "sec_ord")
+    docs = u.filter("is_cdoc").select(*_KEYS, F.col("doc").alias("class_doc"))
+    methods = u.filter("not is_cdoc").select(*_KEYS, "section", "method", "ord", "doc", "sec_ord")
     return docs, methods
 
 
@@ -251,7 +267,7 @@ def nest_sections(unified: DataFrame) -> DataFrame:
     where ``sections`` is ``map<section, struct<methods map, method_count>>``
     in first-appearance order.  Both group-bys are keyed by the document key,
     so they reuse the parse's partitioning (no exchange)."""
-    per_section = unified.groupBy(*DOC_KEYS, "is_cdoc", "section", "sec_ord").agg(
+    per_section = unified.groupBy(*_KEYS, "is_cdoc", "section", "sec_ord").agg(
         F.map_from_entries(
             F.transform(
                 F.array_sort(F.collect_list(
@@ -269,7 +285,7 @@ def nest_sections(unified: DataFrame) -> DataFrame:
         ),
         lambda x: ~x["is_cdoc"],
     )
-    return per_section.groupBy(*DOC_KEYS).agg(
+    return per_section.groupBy(*_KEYS).agg(
         F.coalesce(F.max("class_doc"), F.lit("")).alias("class_doc"),
         F.map_from_entries(
             F.transform(F.array_sort(entries, by_sec_ord), lambda x: F.struct(x["section"], x["v"]))
@@ -290,5 +306,6 @@ def structured_docs(help_df: DataFrame, num_partitions: int | None = None,
 
 
 def methods_per_section(methods: DataFrame) -> DataFrame:
-    """AGG3: method count of every surviving section."""
-    return methods.groupBy(*DOC_KEYS, "section").agg(F.count(F.lit(1)).alias("method_count"))
+    """AGG3: method count of every surviving section (per parsed document)."""
+    keys = [k for k in _KEYS if k in methods.columns]
+    return methods.groupBy(*keys, "section").agg(F.count(F.lit(1)).alias("method_count")).drop(DOC_ID)

@@ -48,7 +48,7 @@ _PARSE = duck_with("v_help") + "," + O.parse_ctes("v_help")
 
 @query("txt1_line_explode", _PARSE + "select module_name, class_name, pos, line from lines")
 def txt1_line_explode(spark, sf):
-    return hp.explode_lines(_help(spark, sf))
+    return hp.explode_lines(_help(spark, sf)).drop(hp.DOC_ID)
 
 
 @query("txt2_class_doc_span", _PARSE + """
@@ -73,8 +73,8 @@ select module_name, class_name, cast(sec as bigint) as sec, any_value(sec_name)
 from m3 where is_content group by module_name, class_name, sec""")
 def txt4_section_islands(spark, sf):
     m = hp.mark_methods(_marked(spark, sf))
-    return m.filter("is_content").groupBy(*hp.DOC_KEYS, "sec").agg(
-        F.first("sec_name").alias("section"), F.count(F.lit(1)).alias("content_lines"))
+    return m.filter("is_content").groupBy(*hp._KEYS, "sec").agg(
+        F.first("sec_name").alias("section"), F.count(F.lit(1)).alias("content_lines")).drop(hp.DOC_ID)
 
 
 @query("txt5_method_islands", _PARSE + """
@@ -84,9 +84,9 @@ from m4 where is_content and mid > 0 and sig_sec = sec and mname <> ''
 group by module_name, class_name, sec, mid""")
 def txt5_method_islands(spark, sf):
     m = hp.mark_methods(_marked(spark, sf))
-    return m.filter("in_block").groupBy(*hp.DOC_KEYS, "sec", "mid").agg(
+    return m.filter("in_block").groupBy(*hp._KEYS, "sec", "mid").agg(
         F.first("mname").alias("method"), F.min("pos").alias("start"),
-        F.count(F.lit(1)).alias("n_lines"))
+        F.count(F.lit(1)).alias("n_lines")).drop(hp.DOC_ID)
 
 
 @query("txt6_method_docs", _PARSE + """
@@ -123,7 +123,7 @@ def txt9_help_parse(spark, sf):
 @query("txt9_class_docs", _PARSE + "select module_name, class_name, class_doc from cdocs")
 def txt9_class_docs(spark, sf):
     docs, _ = hp.parse_help(_help(spark, sf))
-    return docs
+    return docs.select(*hp.DOC_KEYS, "class_doc")
 
 
 @query("txt10_nested_assembly", _PARSE + f""",

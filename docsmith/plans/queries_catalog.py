@@ -45,13 +45,13 @@ def flt2(spark, sf):
 @query("flt3_doc_line_filter", _PARSE + f"select module_name, class_name, pos, line from lines where not {O.cpp('line')}")
 def flt3(spark, sf):
     from docsmith.functions.text import is_cpp_line
-    return hp.explode_lines(_help(spark, sf)).filter(~is_cpp_line("line"))
+    return hp.explode_lines(_help(spark, sf)).filter(~is_cpp_line("line")).drop(hp.DOC_ID)
 
 
 @query("flt4_page_line_filter", _PARSE + f"select module_name, class_name, pos, line from lines where not {O.page_noise('line')}")
 def flt4(spark, sf):
     from docsmith.functions.text import is_page_noise_line
-    return hp.explode_lines(_help(spark, sf)).filter(~is_page_noise_line("line"))
+    return hp.explode_lines(_help(spark, sf)).filter(~is_page_noise_line("line")).drop(hp.DOC_ID)
 
 
 @query("flt5_cacheable", duck_with("v_records") + """

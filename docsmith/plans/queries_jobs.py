@@ -424,11 +424,11 @@ from lines group by module_name, class_name""")
 def src4(spark, sf):
     # the ingest profile of a help dump: lines, characters, bar-prefixed lines per text
     lines = hp.explode_lines(V(spark, sf, "v_help"))
-    return lines.groupBy(*hp.DOC_KEYS).agg(
+    return lines.groupBy(*hp._KEYS).agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.length("line")).cast("bigint").alias("n_chars"),
         F.count_if(F.col("line").startswith(" |  ")).alias("n_body_lines"),
-    )
+    ).drop(hp.DOC_ID)
 
 
 @query("src5_stub_declarations", _STUB_SQL + """

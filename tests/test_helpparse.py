@@ -163,3 +163,17 @@ def test_one_exchange_in_parse_plan(spark):
     df = spark.createDataFrame([("m", "vtkFoo", FOO)], "module_name string, class_name string, help_text string")
     plan = hp.structured_docs(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_copies_of_one_class_are_parsed_apart(spark):
+    # a group of copies of one key: each copy parses as its own document
+    rows = [("m", "vtkDup", DUP)] * 40 + [("m", "vtkFoo", FOO)]
+    df = spark.createDataFrame(rows, "module_name string, class_name string, help_text string").repartition(5)
+    got = hp.structured_docs(df).collect()
+    dups = [r for r in got if r.class_name == "vtkDup"]
+    assert len(dups) == 40
+    assert all(dict(r.structured_docs.sections["|  Methods defined here:"].methods) == {
+        "GetX": "GetX(self, y)\nsecond.", "SetX": "SetX(self)\nset.", "Odd": "Odd(x)\nodd doc."} for r in dups)
+    counts = hp.methods_per_section(hp.parse_help(df)[1]).collect()
+    assert {r.method_count for r in counts if r.class_name == "vtkDup"} == {3}
+    assert len([r for r in counts if r.class_name == "vtkDup"]) == 40
