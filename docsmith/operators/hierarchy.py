@@ -229,8 +229,9 @@ def role_expr() -> Column:
 def class_facts(names: DataFrame, classes: DataFrame, isa: DataFrame) -> DataFrame:
     """``names(class_name)`` enriched with catalog facts and IsA flags; classes
     absent from ``classes`` get ``known = false``."""
+    # one fact row per class even if the table repeats a class (partial aggregation)
     c = classes.select("class_name", "instantiable", "has_isa", "n_in", "n_out",
-                       F.lit(True).alias("known"))
+                       F.lit(True).alias("known")).dropDuplicates(["class_name"])
     return (
         names.select("class_name").distinct()
         .join(c, "class_name", "left")

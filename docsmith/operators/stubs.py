@@ -29,10 +29,18 @@ from docsmith.operators.labelling import latest_per_key
 DECL_RE = r"(?U)class (\w+)\b[^:]*:\s*$"
 
 
+# One id per stub row, so two files of one module are never mixed line by line.
+FILE_ID = "_file"
+
+
+def with_file_id(stubs: DataFrame) -> DataFrame:
+    return stubs if FILE_ID in stubs.columns else stubs.withColumn(FILE_ID, F.monotonically_increasing_id())
+
+
 def stub_lines(stubs: DataFrame) -> DataFrame:
-    """``(module_name, pos, line)`` of every stub, order and empties kept."""
-    return stubs.select(
-        "module_name",
+    """``(module_name, _file, pos, line)`` of every stub, order and empties kept."""
+    return with_file_id(stubs).select(
+        "module_name", FILE_ID,
         F.posexplode(F.split(F.coalesce(F.col("content"), F.lit("")), "\n", -1)).alias("pos", "line"),
     ).withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -40,9 +48,9 @@ def stub_lines(stubs: DataFrame) -> DataFrame:
 def declarations(lines: DataFrame) -> DataFrame:
     """JN6 input: first declaration line per ``(module, class)`` with its
     insertion point and whether a docstring is already there."""
-    below = Window.partitionBy("module_name").orderBy(F.col("pos").desc()).rowsBetween(
+    below = Window.partitionBy("module_name", FILE_ID).orderBy(F.col("pos").desc()).rowsBetween(
         Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("module_name")
+    whole = Window.partitionBy("module_name", FILE_ID)
     decl_name = F.regexp_extract(F.col("line"), DECL_RE, 1)
     marked = (
         lines.withColumn("next_text", F.min(F.when(~is_blank("line"), F.struct("pos", "line"))).over(below))
@@ -50,11 +58,11 @@ def declarations(lines: DataFrame) -> DataFrame:
         .withColumn("decl", F.when(decl_name != "", decl_name))
     )
     decls = marked.filter(F.col("decl").isNotNull() & (F.col("pos") < F.col("last_pos")))
-    first = decls.groupBy("module_name", F.col("decl").alias("class_name")).agg(
+    first = decls.groupBy("module_name", FILE_ID, F.col("decl").alias("class_name")).agg(
         F.min_by(F.struct("pos", "next_text", "last_pos"), F.col("pos")).alias("d"))
     nxt = F.col("d.next_text")
     return first.select(
-        "module_name", "class_name",
+        "module_name", FILE_ID, "class_name",
         F.col("d.pos").alias("decl_pos"),
         F.coalesce(nxt["pos"], F.col("d.last_pos")).alias("insert_pos"),
         F.coalesce(
@@ -74,13 +82,13 @@ def annotate_stubs(stubs: DataFrame, records: DataFrame, order_col: str | None =
     file text itself is never regrouped line by line."""
     docs = records.select("module_name", "class_name", "class_doc", *([order_col] if order_col else []))
     docs = latest_per_key(docs, ["module_name", "class_name"], order_col) if order_col else docs
-    src = stubs.select("module_name", "content").repartition("module_name")
+    src = with_file_id(stubs.select("module_name", "content")).repartition("module_name", FILE_ID)
     inserts = (
         declarations(stub_lines(src))
         .filter(~F.col("has_docstring"))
         .join(annotatable(docs).select("module_name", "class_name", "class_doc"),
               ["module_name", "class_name"])
-        .groupBy("module_name")
+        .groupBy("module_name", FILE_ID)
         .agg(F.map_from_entries(F.collect_list(F.struct(
             F.col("insert_pos").cast("int"),
             F.concat(F.lit('    """'), F.col("class_doc"), F.lit('"""'))))).alias("ins"))
@@ -89,7 +97,7 @@ def annotate_stubs(stubs: DataFrame, records: DataFrame, order_col: str | None =
     ins = F.col("ins")
     rebuilt = F.array_join(F.transform(lines, lambda ln, i: F.when(
         F.element_at(ins, i).isNotNull(), F.concat(F.element_at(ins, i), F.lit("\n"), ln)).otherwise(ln)), "\n")
-    return src.join(inserts, "module_name", "left").select(
+    return src.join(inserts, ["module_name", FILE_ID], "left").select(
         "module_name",
         F.concat(F.col("module_name"), F.lit(".pyi")).alias("path"),
         F.when(ins.isNull(), F.col("content")).otherwise(rebuilt).alias("content"),

@@ -313,7 +313,7 @@ annotated as (
 select module_name, class_name, decl_pos, insert_pos, has_docstring from decls""")
 def jn6(spark, sf):
     lines = SB.stub_lines(V(spark, sf, "v_stubs").repartition("module_name"))
-    return SB.declarations(lines)
+    return SB.declarations(lines).drop(SB.FILE_ID)
 
 
 @query("jn5_stub_docs_join", _STUB_SQL + """

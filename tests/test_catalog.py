@@ -221,3 +221,20 @@ def test_search_and_stats(spark):
     assert {r.total_hits for r in page} == {11}
     assert CT.search(recs, "x", field="seq").count() == 0
     assert CT.search(recs, "", field="missing").first().total_hits == 30
+
+
+def test_two_files_of_one_module_stay_apart(spark):
+    stubs = spark.createDataFrame([("vtkMod", STUB), ("vtkMod", "class vtkB:\n    y: int\n")],
+                                  "module_name string, content string")
+    recs = spark.createDataFrame([("vtkMod", "vtkA", "A doc."), ("vtkMod", "vtkB", "B doc.")],
+                                 "module_name string, class_name string, class_doc string")
+    out = sorted(r.content for r in SB.annotate_stubs(stubs, recs).collect())
+    assert out == sorted([STUB_EXPECTED, 'class vtkB:\n    """B doc."""\n    y: int\n'])
+
+
+def test_repeated_class_rows_give_one_profile_row(spark):
+    classes, bases = _catalog(spark)
+    doubled = classes.unionByName(classes)
+    isa = HY.isa_closure(doubled, bases)
+    names = spark.createDataFrame([("vtkActor",)], "class_name string")
+    assert [r.role for r in HY.roles(names, doubled, isa).collect()] == ["properties"]
