@@ -145,3 +145,16 @@ def test_labeller_failures_are_isolated(spark):
     # raising rows and unparsable replies get no label; blank docs never reach the labeller
     assert set(labels) == {f"vtkC{i}" for i in range(10)} - {"vtkC3", "vtkC5", "vtkC7"}
     assert set(labels.values()) == {"ok."}
+
+
+def test_read_records_file_order(spark, tmp_out):
+    os.makedirs(f"{tmp_out}/ordered")
+    for f, names in (("a.json", ["vtkZ", "vtkA", "vtkM"]), ("b.json", ["vtkB", "vtkA"])):
+        with open(f"{tmp_out}/ordered/{f}", "w") as fh:
+            fh.writelines(json.dumps({"class_name": n, "module_name": "m", "synopsis": f + n}) + "\n" for n in names)
+    recs = IO.read_records(spark, f"{tmp_out}/ordered", with_seq=True)
+    ordered = [r.synopsis for r in recs.orderBy("seq").collect()]
+    assert ordered == ["a.jsonvtkZ", "a.jsonvtkA", "a.jsonvtkM", "b.jsonvtkB", "b.jsonvtkA"]
+    # last wins in file order
+    latest = LL.latest_per_key(recs.select("class_name", "synopsis", "seq"), ["class_name"], "seq")
+    assert {r.class_name: r.synopsis for r in latest.collect()}["vtkA"] == "b.jsonvtkA"
