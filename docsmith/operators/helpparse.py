@@ -28,20 +28,20 @@ from docsmith.functions.text import finish_cleaned_lines, is_cpp_line, py_strip
 from docsmith.schema import HELP_DOC_INDENT, HELP_PREFIX, MRO_MARKER, SECTION_HEADERS
 
 DOC_KEYS = ("module_name", "class_name")
-# Internal document identity: one id per input row, so that several rows with
-# the same (module, class) -- copies -- are parsed apart (their lines never mix
-# in one window) and spread over tasks instead of piling onto one key.
+# Internal document identity: a hash of the text.  It is deterministic (a
+# retried task reproduces it whatever the row order of its input), it keeps
+# rows that share (module, class) but differ in text apart (their lines never
+# mix in one window), and exact copies of a row collapse into one document.
 DOC_ID = "_doc"
 _KEYS = DOC_KEYS + (DOC_ID,)
 _NL = "\n"
 
 
 def with_doc_id(help_df: DataFrame) -> DataFrame:
-    """Tag every input row with a document id (deterministic per input split,
-    so a retried task reproduces it)."""
+    """Tag every input row with its document id (hash of the help text)."""
     if DOC_ID in help_df.columns:
         return help_df
-    return help_df.withColumn(DOC_ID, F.monotonically_increasing_id())
+    return help_df.withColumn(DOC_ID, F.xxhash64(F.coalesce(F.col("help_text"), F.lit(""))))
 
 
 def _running(keys=_KEYS):
@@ -57,13 +57,17 @@ def _listagg_ordered(col_name: str, order_by: str = "pos") -> Column:
 
 
 def partition_by_doc(help_df: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Co-locate each document's text on the document key (the one shuffle).
-    The key includes the per-row document id, so copies of one class spread
-    over partitions."""
+    """Co-locate each document's text on the document key: the one shuffle.
+
+    Exact copies (same module, class and text) collapse into one document by
+    an aggregation whose partial step runs before the shuffle, so a group of
+    copies holding a third of all rows shrinks map-side instead of landing on
+    one reducer.  Its output is hash-partitioned on the document key, which
+    every later window and group-by of the parse reuses."""
     tagged = with_doc_id(help_df)
     if num_partitions:
-        return tagged.repartition(num_partitions, *_KEYS)
-    return tagged.repartition(*_KEYS)
+        tagged = tagged.repartition(num_partitions, *_KEYS)
+    return tagged.dropDuplicates(list(_KEYS))
 
 
 def explode_lines(help_df: DataFrame) -> DataFrame:
@@ -239,7 +243,8 @@ def parse_unified(help_df: DataFrame, num_partitions: int | None = None,
                   prepartitioned: bool = False) -> DataFrame:
     """TXT9 as one lineage: class-doc rows (``is_cdoc``) and surviving method
     rows ``(section, method, ord, doc, sec_ord)`` of every text."""
-    src = with_doc_id(help_df) if prepartitioned else partition_by_doc(help_df, num_partitions)
+    src = with_doc_id(help_df).dropDuplicates(list(_KEYS)) if prepartitioned \
+        else partition_by_doc(help_df, num_partitions)
     marked = mark_methods(mark_lines(explode_lines(src)))
     return resolve_duplicates(islands(marked))
 
@@ -249,7 +254,8 @@ def parse_help(help_df: DataFrame, num_partitions: int | None = None,
     """TXT9: help dump -> ``(class_docs, methods)``.
 
     ``methods`` is the flat form ``(module_name, class_name, _doc, section,
-    method, ord, doc, sec_ord)``; ``_doc`` tells copies of a class apart.  Both come from one parse; use
+    method, ord, doc, sec_ord)``; ``_doc`` tells apart rows of one class with
+    different texts.  Both come from one parse; use
     :func:`structured_docs` when both are needed together, which keeps them in
     one lineage (one scan, one shuffle).
     """

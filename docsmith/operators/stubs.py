@@ -29,12 +29,16 @@ from docsmith.operators.labelling import latest_per_key
 DECL_RE = r"(?U)class (\w+)\b[^:]*:\s*$"
 
 
-# One id per stub row, so two files of one module are never mixed line by line.
+# File identity: a hash of the text (deterministic under task retries), so two
+# different files of one module are never mixed line by line; exact copies
+# of a file collapse into one.
 FILE_ID = "_file"
 
 
 def with_file_id(stubs: DataFrame) -> DataFrame:
-    return stubs if FILE_ID in stubs.columns else stubs.withColumn(FILE_ID, F.monotonically_increasing_id())
+    if FILE_ID in stubs.columns:
+        return stubs
+    return stubs.withColumn(FILE_ID, F.xxhash64(F.coalesce(F.col("content"), F.lit(""))))
 
 
 def stub_lines(stubs: DataFrame) -> DataFrame:
@@ -82,7 +86,7 @@ def annotate_stubs(stubs: DataFrame, records: DataFrame, order_col: str | None =
     file text itself is never regrouped line by line."""
     docs = records.select("module_name", "class_name", "class_doc", *([order_col] if order_col else []))
     docs = latest_per_key(docs, ["module_name", "class_name"], order_col) if order_col else docs
-    src = with_file_id(stubs.select("module_name", "content")).repartition("module_name", FILE_ID)
+    src = with_file_id(stubs.select("module_name", "content")).dropDuplicates(["module_name", FILE_ID])
     inserts = (
         declarations(stub_lines(src))
         .filter(~F.col("has_docstring"))
