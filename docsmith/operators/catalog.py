@@ -56,11 +56,12 @@ def build_catalog(help_dump: DataFrame, profile: DataFrame | None, labels: DataF
     else:
         hd = help_dump.withColumn("module_name", bare_module("module_name"))
         docs = hp.structured_docs(hd, num_partitions)
-    if profile is None:
-        profile = docs.sparkSession.createDataFrame(
-            [], "class_name string, role string, input_datatype string, output_datatype string, "
-                "semantic_methods array<string>")
-    recs = attach_profile(docs, profile)
+    if profile is None:  # no join: every class gets the unknown-class defaults
+        recs = docs.select(
+            "*", F.lit(hy.DEFAULT_ROLE).alias("role"), F.lit("").alias("input_datatype"),
+            F.lit("").alias("output_datatype"), F.array().cast("array<string>").alias("semantic_methods"))
+    else:
+        recs = attach_profile(docs, profile)
     if labels is None:
         recs = (recs.withColumn("synopsis", F.lit("")).withColumn("action_phrase", F.lit(""))
                 .withColumn("visibility_score", F.lit(DEFAULT_VISIBILITY)).withColumn("matched", F.lit(False)))
