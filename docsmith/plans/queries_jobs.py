@@ -14,17 +14,16 @@ from docsmith.operators import pages as PG
 from docsmith.operators import stubs as SB
 from docsmith.plans import oracle as O
 from docsmith.plans.queries import query
-from docsmith.plans.views import VIEW_SQL, duck_with, render
+from docsmith.plans.views import VIEW_SQL, duck_with, render, spark_view
 
 NL = O.NL
 
 
 def V(spark, sf, name):
-    from docsmith.plans.views import spark_view
     return spark_view(spark, name, sf)
 
 
-def _views(*names, recursive=False):
+def _views(*names):
     """View definitions to continue an existing WITH list."""
     return ",\n".join(f"{n} as ({render(VIEW_SQL[n], 'duckdb')})" for n in names)
 
