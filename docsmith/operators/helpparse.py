@@ -12,11 +12,14 @@ Parsing explodes each text into numbered lines and finds
 and assembles the nested ``structured_docs`` value (TXT10).
 
 Physical plan: the dump is hash-partitioned once on the document key
-(``module_name, class_name``) *before* the explode, so the shuffle moves each
-text once and not one row per line.  Every later window and group-by is keyed
-by the document key plus more columns, which that partitioning already
-satisfies: the whole parse has exactly one Exchange.  The running windows all
-share one ordering (document key, line number), so Spark sorts once.
+(``module_name, class_name`` and a hash of the text) *before* the explode, so
+the shuffle moves each text once and not one row per line.  That shuffle is
+the exchange of an aggregation that drops exact copies (its partial step runs
+map-side).  Every later window and group-by is keyed by the document key plus
+more columns, which that partitioning already satisfies: the whole parse has
+exactly one Exchange.  Each running-window pass is one Window operator, and
+both passes share one ordering (document key, line number), so Spark sorts
+once.
 """
 
 from __future__ import annotations
