@@ -134,12 +134,24 @@ def _call_safely(labeller: Labeller, pdf: pd.DataFrame) -> list:
     return out
 
 
+def _ship_by_value() -> None:
+    """Pickle this library's functions by value when they are sent to Python
+    workers, so a labeller batch runs on executors that do not have the
+    package installed (the caller's own labeller module is theirs to ship)."""
+    from pyspark import cloudpickle
+
+    import docsmith
+
+    cloudpickle.register_pickle_by_value(docsmith)
+
+
 def run_labeller(misses: DataFrame, labeller: Labeller, concurrency: int | None = None) -> DataFrame:
     """UDF1: ``misses(class_name, class_doc)`` -> ``(class_name, content)``.
 
     Docstrings are truncated (SCL1) and the prompt built (SCL2) JVM-side; the
     labeller sees Arrow batches.  ``concurrency`` bounds how many batches run
     at once (one per partition)."""
+    _ship_by_value()
     req = misses.select(
         "class_name",
         truncate_doc("class_doc").alias("class_doc"),
