@@ -115,17 +115,25 @@ def isa_closure(classes: DataFrame, class_bases: DataFrame, max_rounds: int = 64
     Every round's new pairs are written once under the checkpoint directory;
     the pair set is the union of them.
     """
-    edges = materialize(
+    edges = (
         class_bases.select("class_name", F.col("base_name").alias("ancestor"))
         .filter(F.col("class_name").isNotNull() & F.col("ancestor").isNotNull()
                 & (F.col("class_name") != F.col("ancestor")))
         .distinct()
-        .withColumn("dist", F.lit(1)),
+    )
+    # the first part holds every pair at distance 1 or 2 (edges and their
+    # compositions), written in one job
+    two = (edges.alias("a").join(edges.alias("b"), F.col("a.ancestor") == F.col("b.class_name"))
+           .select(F.col("a.class_name").alias("class_name"), F.col("b.ancestor").alias("ancestor"))
+           .filter(F.col("class_name") != F.col("ancestor")))
+    first = materialize(
+        edges.withColumn("dist", F.lit(1)).unionByName(two.withColumn("dist", F.lit(2)))
+        .groupBy("class_name", "ancestor").agg(F.min("dist").alias("dist")),
         "isa-edges",
     )
-    parts = [edges]
-    delta = edges
-    reach = 1  # every pair at distance <= reach is known
+    parts = [first]
+    delta = first.filter(F.col("dist") == 2)
+    reach = 2  # every pair at distance <= reach is known
     for _ in range(max_rounds):
         longest = delta.agg(F.max("dist")).first()[0]
         if longest is None or longest < reach:
