@@ -104,9 +104,10 @@ def isa_closure(classes: DataFrame, class_bases: DataFrame, max_rounds: int = 64
     and all its transitive bases.  Diamonds and cycles are handled (a pair is
     emitted once; iteration stops when a round finds no new pair).
 
-    Semi-naive path doubling over the base edges: after round k every pair
-    joined by a path of length <= 2**k is known, so the number of rounds is
-    about log2 of the hierarchy depth.  The shortest path of a pair first
+    Semi-naive path doubling over the base edges: the first job writes every
+    pair at distance 1 or 2, and after round k every pair joined by a path of
+    length <= 2**(k+1) is known, so the number of rounds is about log2 of the
+    hierarchy depth.  The shortest path of a pair first
     reachable in round k splits after exactly 2**(k-1) steps into a pair new
     in round k-1 and a known pair, so each round joins only the previous
     round's new pairs (``delta``) with the pairs found so far.  Pairs carry their shortest

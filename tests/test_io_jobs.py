@@ -7,6 +7,7 @@ import pytest
 
 from docsmith.operators import catalog as CT
 from docsmith.operators import labelling as LL
+from docsmith.operators import pages as PG
 from docsmith.plans.jobs import build_all
 from docsmith.sources import io as IO
 from docsmith.streaming.incremental import catalog_stream, read_catalog
@@ -158,3 +159,22 @@ def test_read_records_file_order(spark, tmp_out):
     # last wins in file order
     latest = LL.latest_per_key(recs.select("class_name", "synopsis", "seq"), ["class_name"], "seq")
     assert {r.class_name: r.synopsis for r in latest.collect()}["vtkA"] == "b.jsonvtkA"
+
+
+def test_build_with_a_hot_module_and_copies(spark, tmp_out):
+    # one module holds most classes, a third of the dump rows are copies of one
+    # class, and the same class name appears in many modules
+    hot = [("vtkHot", f"vtkH{i}", f"class vtkH{i}\n |  Hot {i}.\n") for i in range(60)]
+    copies = [("vtkHot", "vtkH0", "class vtkH0\n |  Hot 0.\n")] * 40
+    spread = [(f"vtkM{i}", "vtkShared", "class vtkShared\n |  Shared.\n") for i in range(20)]
+    dump = spark.createDataFrame(hot + copies + spread, "module_name string, class_name string, help_text string")
+    _, classes, bases, ports, methods = _catalog_inputs(spark)
+    res = build_all(spark, dump, classes, bases, ports, methods, f"{tmp_out}/hot")
+    assert res.ok
+    recs = IO.read_records(spark, f"{tmp_out}/hot/records")
+    assert recs.count() == 60 + 20
+    assert {r.class_doc for r in recs.filter("class_name = 'vtkH0'").collect()} == {"Hot 0."}
+    idx = {r.module_name: r.content for r in PG.assemble(spark.read.parquet(f"{tmp_out}/hot/module_index"),
+                                                         ["module_name"]).collect()}
+    assert idx["vtkHot"].startswith("# vtkHot\n\n**60 classes**")
+    assert res.summary["pages"] == {"modules_ok": 21, "modules_total": 21, "classes_total": 80}
