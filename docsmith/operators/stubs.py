@@ -117,3 +117,84 @@ def stub_summary(annotated: DataFrame) -> DataFrame:
         F.count_if(F.col("inserted") > 0).alias("files_annotated"),
         F.sum("inserted").cast("bigint").alias("docstrings_inserted"),
     )
+
+
+# --------------------------------------------------------------------------
+# Line-level variant for stub files too large for one task
+# --------------------------------------------------------------------------
+
+def annotate_stub_lines(lines: DataFrame, records: DataFrame) -> DataFrame:
+    """JOB3 over line rows ``(module_name, file, block, row, line, file_size)``
+    (see ``io.read_stub_lines``); returns the annotated files as line rows
+    ``(module_name, file, block, row, sub, line, nl)``: a file is its lines in
+    ``(block, row, sub)`` order, each followed by a newline where ``nl``.
+
+    Nothing gathers a file: the next non-blank line after a declaration is
+    found by a window within its split (bounded by the split size), and for a
+    declaration whose split ends in blank lines, in a per-split summary table
+    (one row per split) with a window per file over those few rows.  Whether
+    the file ends with a newline (which decides whether its last line can be
+    a declaration, and where text after trailing blank lines goes) comes from
+    the file size."""
+    blank = is_blank("line")
+    key = F.struct("block", "row")
+    in_block = Window.partitionBy("file", "block").orderBy(F.col("row").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    marked = (
+        lines.withColumn("decl", F.regexp_extract("line", DECL_RE, 1))
+        .withColumn("next_in_block", F.min(F.when(~blank, F.struct("row", "line"))).over(in_block))
+    )
+    # one row per split: its first non-blank line and its last line
+    splits = lines.groupBy("file", "block").agg(
+        F.min(F.when(~blank, F.struct("row", "line"))).alias("first_nb"),
+        F.max("row").alias("last_row"),
+    )
+    later = Window.partitionBy("file").orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn(
+        "next_split_nb",
+        F.min(F.when(F.col("first_nb").isNotNull(),
+                     F.struct("block", F.col("first_nb.row").alias("row"), F.col("first_nb.line").alias("line"))))
+        .over(later))
+    # one row per file: last line and whether a newline ends the file
+    files = lines.groupBy("file").agg(
+        F.max(key).alias("last"),
+        (F.first("file_size") - F.sum(F.octet_length("line")) - (F.count(F.lit(1)) - 1)).alias("tail_nl"),
+    )
+    decls = (
+        marked.filter(F.col("decl") != "")
+        .join(splits.select("file", "block", "next_split_nb"), ["file", "block"])
+        .join(files, "file")
+        .filter((F.col("tail_nl") == 1) | (key != F.col("last")))      # not the file's last piece
+        .groupBy("module_name", "file", F.col("decl").alias("class_name"))
+        .agg(F.min_by(F.struct("block", "row", "next_in_block", "next_split_nb", "last", "tail_nl"), key)
+             .alias("d"))
+    )
+    nb_block = F.coalesce(F.when(F.col("d.next_in_block").isNotNull(), F.col("d.block")),
+                          F.col("d.next_split_nb.block"))
+    nb_row = F.coalesce(F.col("d.next_in_block.row"), F.col("d.next_split_nb.row"))
+    nb_line = F.coalesce(F.col("d.next_in_block.line"), F.col("d.next_split_nb.line"))
+    # no non-blank line below: before the last piece -- after the last line when
+    # a newline ends the file (the last piece is then the empty text after it)
+    at_end = nb_block.isNull()
+    target_block = F.coalesce(nb_block, F.col("d.last.block"))
+    target_row = F.coalesce(nb_row, F.col("d.last.row"))
+    sub = F.when(at_end & (F.col("d.tail_nl") == 1), F.lit(2)).otherwise(F.lit(0))
+    has_doc = F.coalesce(py_lstrip(nb_line).startswith('"""') | py_lstrip(nb_line).startswith("'''"), F.lit(False))
+    docs = annotatable(records.select("module_name", "class_name", "class_doc"))
+    inserts = (
+        decls.filter(~has_doc)
+        .join(docs, ["module_name", "class_name"])
+        .select("module_name", "file", target_block.alias("block"), target_row.alias("row"), sub.alias("sub"),
+                F.concat(F.lit('    """'), F.col("class_doc"), F.lit('"""')).alias("line"))
+    )
+    originals = lines.join(files.select("file", "last", "tail_nl"), "file").select(
+        "module_name", "file", "block", "row", F.lit(1).alias("sub"), "line",
+        ((key != F.col("last")) | (F.col("tail_nl") == 1)).alias("nl"))
+    return originals.unionByName(inserts.withColumn("nl", F.lit(True)))
+
+
+def write_stub_lines(annotated_lines: DataFrame, path: str) -> None:
+    """Annotated stub line rows, globally sorted (range-partitioned), so the
+    parts read in order give each file's text; no file is gathered by one task."""
+    (annotated_lines.orderBy("module_name", "file", "block", "row", "sub")
+     .write.mode("overwrite").parquet(path))

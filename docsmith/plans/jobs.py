@@ -49,6 +49,7 @@ def build_all(
     label_concurrency: int | None = None,
     version: str = "VTK (version unknown)",
     prepartitioned: bool = False,
+    stub_lines: DataFrame | None = None,
 ) -> BuildResult:
     """Run every stage; returns which stages finished and summary counts."""
     res = BuildResult()
@@ -101,6 +102,12 @@ def build_all(
             res.summary["stubs"] = SB.stub_summary(annotated).first().asDict()
             res.stages.append("stubs")
 
+        if stub_lines is not None:
+            # line-level stubs (io.read_stub_lines): for stub files too large for a task
+            stage("stubs")
+            SB.write_stub_lines(SB.annotate_stub_lines(stub_lines, recs), f"{out}/stub_lines")
+            res.stages.append("stubs")
+
         stage("pages")
         IO.write_pages(PG.module_pages(recs), f"{out}/pages")
         results = PG.module_results(recs)

@@ -156,3 +156,21 @@ def write_help_dump_bucketed(help_dump: DataFrame, table: str, buckets: int) ->
     (help_dump.select(bare_module("module_name").alias("module_name"), "class_name", "help_text")
      .write.mode("overwrite").bucketBy(buckets, "module_name", "class_name")
      .sortBy("module_name", "class_name").saveAsTable(table))
+
+
+def read_stub_lines(spark: SparkSession, path: str) -> DataFrame:
+    """SRC5, line by line: every ``*.pyi`` directly in ``path`` as rows
+    ``(module_name, file, block, row, line, file_size)``.  Files are split
+    like any text input, so a huge stub file is read by many tasks;
+    ``(file, block, row)`` orders a file's lines (row ids grow within a split).
+    Lines are separated by ``\\n`` only, as ``str.split('\\n')`` does."""
+    df = (spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.pyi")
+          .option("recursiveFileLookup", "false").text(path))
+    return df.select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.pyi$", 1).alias("module_name"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").alias("line"),
+        F.col("_metadata.file_size").alias("file_size"),
+    )

@@ -238,3 +238,35 @@ def test_repeated_class_rows_give_one_profile_row(spark):
     isa = HY.isa_closure(doubled, bases)
     names = spark.createDataFrame([("vtkActor",)], "class_name string")
     assert [r.role for r in HY.roles(names, doubled, isa).collect()] == ["properties"]
+
+
+def test_line_level_stubs_match_whole_files(spark, tmp_path):
+    from docsmith.sources import io as IO
+
+    texts = {
+        "vtkMod": STUB + "\n",                       # trailing newline
+        "vtkEnd": "x = 1\nclass vtkA(vtkObject):\n\n  \n",   # decl followed by blank lines only
+        "vtkLast": "class vtkB:\n    pass\nclass vtkA(vtkObject):",  # decl is the last piece
+        "vtkNoNl": "class vtkA:\n   ",            # only a blank last piece after the decl
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.pyi").write_text(text)
+    recs = spark.createDataFrame(
+        [(m, c, f"{c} in {m}.") for m in texts for c in ("vtkA", "vtkB", "vtkC", "vtkD")],
+        "module_name string, class_name string, class_doc string")
+    whole = {r.module_name: r.content for r in SB.annotate_stubs(IO.read_stubs(spark, str(tmp_path)), recs).collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "48")   # many splits per file
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = IO.read_stub_lines(spark, str(tmp_path))
+        assert lines.select("file", "block").distinct().count() > len(texts)
+        rows = SB.annotate_stub_lines(lines, recs).orderBy("module_name", "file", "block", "row", "sub").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    rebuilt = {}
+    for r in rows:
+        rebuilt[r.module_name] = rebuilt.get(r.module_name, "") + r.line + ("\n" if r.nl else "")
+    assert rebuilt == whole
+    assert whole["vtkEnd"] == 'x = 1\nclass vtkA(vtkObject):\n\n  \n    """vtkA in vtkEnd."""\n'
+    assert whole["vtkNoNl"] == 'class vtkA:\n    """vtkA in vtkNoNl."""\n   '

@@ -1,5 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
+import re
+
 from docsmith.operators import helpparse as hp
 from docsmith.operators import pages as PG
 from docsmith.session import cluster_conf
@@ -45,3 +47,15 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 << 40, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
     assert conf["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_line_level_stubs_never_gather_a_file(spark, tmp_path):
+    from docsmith.operators import stubs as SB
+
+    (tmp_path / "vtkHot.pyi").write_text("\n".join(f"class vtkC{i}:\n    pass" for i in range(200)) + "\n")
+    recs = spark.createDataFrame([("vtkHot", "vtkC1", "d")], "module_name string, class_name string, class_doc string")
+    plan = _plan(SB.annotate_stub_lines(IO.read_stub_lines(spark, str(tmp_path)), recs))
+    assert "listagg" not in plan and "collect_list" not in plan
+    # the only windows are per split (file, block) and per file over the split summaries
+    for spec in re.findall(r"windowspecdefinition\(([^)]*)\)", plan):
+        assert "block" in spec
