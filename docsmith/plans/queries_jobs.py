@@ -447,3 +447,47 @@ def snk4(spark, sf):
     pages = PG.class_page(_catalog(spark, sf))
     return pages.groupBy("module_name").agg(
         F.count(F.lit(1)).alias("pages"), F.sum(F.length("content")).cast("bigint").alias("chars"))
+
+
+def _stub_line_rows(stubs, lines_per_split: int = 7):
+    """The line rows ``io.read_stub_lines`` gives for these texts, with each file
+    cut into splits of ``lines_per_split`` lines (a line reader yields no
+    empty last line after a final newline)."""
+    pieces = stubs.select(
+        "module_name", F.col("module_name").alias("file"), F.octet_length("content").cast("bigint").alias("file_size"),
+        F.posexplode(F.split(F.coalesce(F.col("content"), F.lit("")), "\n", -1)).alias("pos", "line"),
+        F.size(F.split(F.coalesce(F.col("content"), F.lit("")), "\n", -1)).alias("n"))
+    lines = pieces.filter(~((F.col("pos") == F.col("n") - 1) & (F.col("line") == "")))
+    return lines.select(
+        "module_name", "file", F.floor(F.col("pos") / lines_per_split).cast("bigint").alias("block"),
+        F.col("pos").cast("bigint").alias("row"), "line", "file_size")
+
+
+@query("job3_annotate_stub_lines", _STUB_SQL + """,
+meta as (select module_name, max(pos) as last_pos, arg_max(line, pos) = '' as tail_nl from sl group by module_name),
+m2 as (select module_name, last_pos, tail_nl, case when tail_nl then last_pos - 1 else last_pos end as last_h from meta),
+originals as (
+  select s.module_name, cast(s.pos // 7 as bigint) as block, s.pos as row, 1 as sub, s.line,
+    (s.pos < m.last_h or m.tail_nl) as nl
+  from sl s join m2 m on m.module_name = s.module_name
+  where not (m.tail_nl and s.pos = m.last_pos)),
+ins_rows as (
+  select d.module_name,
+    case when n.pos is null and m.tail_nl then m.last_h else d.insert_pos end as target,
+    case when n.pos is null and m.tail_nl then 2 else 0 end as sub,
+    '    \"\"\"' || o.class_doc || '\"\"\"' as line
+  from decls d join docs o on o.module_name = d.module_name and o.class_name = d.class_name
+  join m2 m on m.module_name = d.module_name
+  left join (select module_name, pos from sl where """ + O.strip("line") + """ <> '') n
+    on n.module_name = d.module_name and n.pos = d.insert_pos
+  where not d.has_docstring and o.class_doc is not null and o.class_doc <> '')
+select module_name, block, row, sub, line, nl from originals
+union all
+select module_name, cast(target // 7 as bigint), target, sub, line, true from ins_rows""")
+def job3_lines(spark, sf):
+    # the line-level stub path (for stub files too large for one task), on the
+    # whole V-stubs view cut into 7-line splits
+    recs = LL.latest_per_key(V(spark, sf, "v_records").select("module_name", "class_name", "class_doc", "seq"),
+                             ["module_name", "class_name"], "seq")
+    out = SB.annotate_stub_lines(_stub_line_rows(V(spark, sf, "v_stubs")), recs)
+    return out.select("module_name", "block", "row", "sub", "line", "nl")
