@@ -76,6 +76,16 @@ def declarations(lines: DataFrame) -> DataFrame:
     )
 
 
+def stub_docs(records: DataFrame, order_col: str | None = None) -> DataFrame:
+    """One docstring per ``(module, class)``: the last record by ``order_col``,
+    or (no order) the greatest docstring, so repeated records never insert
+    two docstrings at one declaration."""
+    if order_col:
+        return latest_per_key(records.select("module_name", "class_name", "class_doc", order_col),
+                              ["module_name", "class_name"], order_col)
+    return records.groupBy("module_name", "class_name").agg(F.max("class_doc").alias("class_doc"))
+
+
 def annotate_stubs(stubs: DataFrame, records: DataFrame, order_col: str | None = None) -> DataFrame:
     """JOB3: ``(module_name, path, content, inserted)`` per stub file.
 
@@ -84,8 +94,7 @@ def annotate_stubs(stubs: DataFrame, records: DataFrame, order_col: str | None =
     (bounded by what that file gains) and joined back to the file row, where a
     higher-order function splices them in before their insertion lines.  The
     file text itself is never regrouped line by line."""
-    docs = records.select("module_name", "class_name", "class_doc", *([order_col] if order_col else []))
-    docs = latest_per_key(docs, ["module_name", "class_name"], order_col) if order_col else docs
+    docs = stub_docs(records, order_col)
     src = with_file_id(stubs.select("module_name", "content")).dropDuplicates(["module_name", FILE_ID])
     inserts = (
         declarations(stub_lines(src))
@@ -123,7 +132,7 @@ def stub_summary(annotated: DataFrame) -> DataFrame:
 # Line-level variant for stub files too large for one task
 # --------------------------------------------------------------------------
 
-def annotate_stub_lines(lines: DataFrame, records: DataFrame) -> DataFrame:
+def annotate_stub_lines(lines: DataFrame, records: DataFrame, order_col: str | None = None) -> DataFrame:
     """JOB3 over line rows ``(module_name, file, block, row, line, file_size)``
     (see ``io.read_stub_lines``); returns the annotated files as line rows
     ``(module_name, file, block, row, sub, line, nl)``: a file is its lines in
@@ -180,7 +189,7 @@ def annotate_stub_lines(lines: DataFrame, records: DataFrame) -> DataFrame:
     target_row = F.coalesce(nb_row, F.col("d.last.row"))
     sub = F.when(at_end & (F.col("d.tail_nl") == 1), F.lit(2)).otherwise(F.lit(0))
     has_doc = F.coalesce(py_lstrip(nb_line).startswith('"""') | py_lstrip(nb_line).startswith("'''"), F.lit(False))
-    docs = annotatable(records.select("module_name", "class_name", "class_doc"))
+    docs = annotatable(stub_docs(records, order_col).select("module_name", "class_name", "class_doc"))
     inserts = (
         decls.filter(~has_doc)
         .join(docs, ["module_name", "class_name"])

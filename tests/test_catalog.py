@@ -270,3 +270,11 @@ def test_line_level_stubs_match_whole_files(spark, tmp_path):
     assert rebuilt == whole
     assert whole["vtkEnd"] == 'x = 1\nclass vtkA(vtkObject):\n\n  \n    """vtkA in vtkEnd."""\n'
     assert whole["vtkNoNl"] == 'class vtkA:\n    """vtkA in vtkNoNl."""\n   '
+
+
+def test_repeated_records_insert_one_docstring(spark):
+    stubs = spark.createDataFrame([("vtkMod", "class vtkA:\n    pass\n")], "module_name string, content string")
+    recs = spark.createDataFrame([("vtkMod", "vtkA", "first"), ("vtkMod", "vtkA", "second")],
+                                 "module_name string, class_name string, class_doc string")
+    out = SB.annotate_stubs(stubs, recs).first()
+    assert out.content == 'class vtkA:\n    """second"""\n    pass\n' and out.inserted == 1
