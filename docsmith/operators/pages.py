@@ -142,9 +142,11 @@ def build_summary(results: DataFrame) -> DataFrame:
 
 
 def module_pages(records: DataFrame, order_col: str | None = None) -> DataFrame:
-    """JOB4 for the build: class pages of modules without failures (AGG2 last
-    wins per class first when ``order_col`` is given)."""
-    recs = latest_per_key(records, ["module_name", "class_name"], order_col) if order_col else records
+    """JOB4 for the build: class pages of modules without failures, one per
+    class (AGG2: last record by ``order_col`` wins)."""
+    # one page per class: the last record by order_col, else (no order) a fixed
+    # choice -- the one with the greatest docstring
+    recs = latest_per_key(records, ["module_name", "class_name"], order_col or "class_doc")
     bad = recs.filter(page_failures(recs)).select("module_name").distinct()
     return class_page(recs.join(bad, "module_name", "left_anti"))
 
@@ -155,7 +157,7 @@ def module_index_lines(records: DataFrame, order_col: str | None = None) -> Data
     synopsis if any).  Last record per ``(module, class)`` wins."""
     recs = latest_per_key(records.select("module_name", "class_name", "synopsis", *([order_col] if order_col else [])),
                           ["module_name", "class_name"], order_col) if order_col else \
-        records.select("module_name", "class_name", "synopsis").dropDuplicates(["module_name", "class_name"])
+        records.groupBy("module_name", "class_name").agg(F.max("synopsis").alias("synopsis"))
     counts = recs.groupBy("module_name").agg(F.count(F.lit(1)).alias("n"))
     header = counts.select(
         "module_name",
