@@ -238,9 +238,11 @@ def role_expr() -> Column:
 def class_facts(names: DataFrame, classes: DataFrame, isa: DataFrame) -> DataFrame:
     """``names(class_name)`` enriched with catalog facts and IsA flags; classes
     absent from ``classes`` get ``known = false``."""
-    # one fact row per class even if the table repeats a class (partial aggregation)
-    c = classes.select("class_name", "instantiable", "has_isa", "n_in", "n_out",
-                       F.lit(True).alias("known")).dropDuplicates(["class_name"])
+    # one fact row per class even if the table repeats a class: a partial
+    # aggregation with a fixed choice (any true flag, the largest port count)
+    c = classes.groupBy("class_name").agg(
+        F.max("instantiable").alias("instantiable"), F.max("has_isa").alias("has_isa"),
+        F.max("n_in").alias("n_in"), F.max("n_out").alias("n_out"), F.lit(True).alias("known"))
     return (
         names.select("class_name").distinct()
         .join(c, "class_name", "left")
