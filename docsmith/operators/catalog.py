@@ -106,11 +106,14 @@ def search(records: DataFrame, query: str, field: str = "class_name",
            limit: int = SEARCH_DEFAULT_LIMIT, order_col: str = "seq") -> DataFrame:
     """JOB7/ORD3: hits of FLT7, the first ``limit`` in file order, each with
     the total hit count.  The total is a scalar subquery (a global count with
-    partial aggregation); the page is a per-task top-k merged once."""
+    partial aggregation); the page is a per-task top-k merged once.  File
+    order is ``order_col`` (see ``io.read_records(with_seq=True)``); records
+    without it are paged in (module, class) order."""
     hits = records.filter(search_predicate(records, field, query))
     total = hits.select(F.count(F.lit(1))).scalar()
+    order = [order_col] if order_col in records.columns else ["module_name", "class_name"]
     cols = [c for c in (order_col, "class_name", "module_name", "synopsis") if c in records.columns]
-    return hits.orderBy(order_col).limit(limit).select(*cols, total.alias("total_hits"))
+    return hits.orderBy(*order).limit(limit).select(*cols, total.alias("total_hits"))
 
 
 def export_label_cache(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

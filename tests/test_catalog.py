@@ -278,3 +278,11 @@ def test_repeated_records_insert_one_docstring(spark):
                                  "module_name string, class_name string, class_doc string")
     out = SB.annotate_stubs(stubs, recs).first()
     assert out.content == 'class vtkA:\n    """second"""\n    pass\n' and out.inserted == 1
+
+
+def test_search_without_order_column(spark):
+    recs = spark.createDataFrame([("m2", "vtkB", "b"), ("m1", "vtkA", "a"), ("m1", "vtkC", "c")],
+                                 "module_name string, class_name string, synopsis string")
+    page = CT.search(recs, "vtk", limit=2).collect()
+    assert [(r.module_name, r.class_name) for r in page] == [("m1", "vtkA"), ("m1", "vtkC")]
+    assert {r.total_hits for r in page} == {3}
