@@ -178,3 +178,20 @@ def test_build_with_a_hot_module_and_copies(spark, tmp_out):
                                                          ["module_name"]).collect()}
     assert idx["vtkHot"].startswith("# vtkHot\n\n**60 classes**")
     assert res.summary["pages"] == {"modules_ok": 21, "modules_total": 21, "classes_total": 80}
+
+
+def test_streaming_epochs_and_restart(spark, tmp_out):
+    help_dump, classes, bases, ports, methods = _catalog_inputs(spark)
+    help_dump.filter("class_name = 'vtkFoo'").write.parquet(f"{tmp_out}/in2/a")
+    help_dump.filter("class_name != 'vtkFoo'").coalesce(1).write.parquet(f"{tmp_out}/in2/b")
+    profile = CT.catalog_profile(classes, bases, ports, methods)
+    args = (spark, f"{tmp_out}/in2/*", profile, f"{tmp_out}/cat2", f"{tmp_out}/ckpt2")
+    q = catalog_stream(*args, max_files_per_trigger=1)
+    q.awaitTermination(180)
+    out = read_catalog(spark, f"{tmp_out}/cat2")
+    assert out.count() == 3
+    assert out.select("epoch").distinct().count() == 2          # one file per micro-batch
+    # a restart on the same checkpoint finds nothing new: no epoch is redone
+    q2 = catalog_stream(*args, max_files_per_trigger=1)
+    q2.awaitTermination(180)
+    assert read_catalog(spark, f"{tmp_out}/cat2").count() == 3
