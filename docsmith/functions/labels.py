@@ -88,7 +88,8 @@ def parse_label(df: DataFrame, content: str = "content") -> DataFrame:
     has_synopsis, has_action`` parsed from the raw labeller text in
     ``content``.
 
-    * empty text, bad JSON or a JSON value that is not an object: no label;
+    * empty text, bad JSON (including text after the value) or a JSON value
+      that is not an object: no label;
     * ``synopsis`` present but not a string: no label; a string is stripped,
       its surrounding quote characters removed, and a period added if missing;
     * ``visibility`` wins over ``visibility_score`` when truthy; a number or
@@ -100,7 +101,12 @@ def parse_label(df: DataFrame, content: str = "content") -> DataFrame:
     that would duplicate a non-trivial expression).
     """
     raw = F.col(content)
-    j = df.withColumn("_j", F.try_parse_json(strip_code_fence(raw)))
+    # the whole body must be exactly one JSON value: parsed inside brackets,
+    # text after the value makes the array invalid or longer than one
+    wrapped = F.try_parse_json(F.concat(F.lit("["), strip_code_fence(raw), F.lit("]")))
+    j = df.withColumn("_w", wrapped).withColumn(
+        "_j", F.when(F.try_variant_get("_w", "$[1]", "variant").isNull(),
+                     F.try_variant_get("_w", "$[0]", "variant"))).drop("_w")
     v = j.select(
         "*",
         F.try_variant_get("_j", "$.synopsis", "variant").alias("_syn"),

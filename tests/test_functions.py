@@ -95,6 +95,10 @@ LABEL_CASES = [
     ("```", None),
     ('  {"synopsis": "Tab\\tbed", "visibility": 1}  ', ("Tab\tbed.", "", 1.0)),
     ('{"synopsis": "ok.", "action_phrase": 7, "visibility": [1], "visibility_score": 0.2}', ("ok.", "7", 0.3)),
+    ('{"synopsis": "x"} Hope this helps!', None),
+    ('{"synopsis": "x"}{"synopsis": "y"}', None),
+    ('{"synopsis": "x"}, {"synopsis": "y"}', None),
+    ('```json\n{"synopsis": "x"}\n```\nMore text', None),
 ]
 
 
