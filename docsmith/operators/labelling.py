@@ -42,8 +42,14 @@ def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], order_col:
 
 
 def dedupe_label_cache(cache: DataFrame, order_col: str = "seq") -> DataFrame:
-    """SRC3: one cache row per class, the last one in file order."""
-    return latest_per_key(cache, ["class_name"], order_col).select("class_name", *LABEL_COLS)
+    """SRC3: one cache row per class, the last one in file order; a field the
+    row lacks (or holds as null) takes its default."""
+    return latest_per_key(cache, ["class_name"], order_col).select(
+        "class_name",
+        F.coalesce(F.col("synopsis"), F.lit("")).alias("synopsis"),
+        F.coalesce(F.col("action_phrase"), F.lit("")).alias("action_phrase"),
+        F.coalesce(F.col("visibility_score"), F.lit(DEFAULT_VISIBILITY)).alias("visibility_score"),
+    )
 
 
 def cache_hits(requests: DataFrame, cache: DataFrame) -> DataFrame:
@@ -66,13 +72,16 @@ def apply_labels(records: DataFrame, labels: DataFrame) -> DataFrame:
         F.lit(True).alias("_l_hit"),
     )
     base = records.drop(*[c for c in LABEL_COLS if c in records.columns])
+    hit = F.col("matched")
     return (
         base.join(lab, "class_name", "left")
         .withColumn("matched", F.coalesce(F.col("_l_hit"), F.lit(False)))
-        .withColumn("synopsis", F.coalesce(F.col("_l_synopsis"), F.lit("")))
-        .withColumn("action_phrase", F.coalesce(F.col("_l_action_phrase"), F.lit("")))
+        # a label's fields are copied as they are (its producer applied the
+        # defaults for absent fields); records without a label get the defaults
+        .withColumn("synopsis", F.when(hit, F.col("_l_synopsis")).otherwise(F.lit("")))
+        .withColumn("action_phrase", F.when(hit, F.col("_l_action_phrase")).otherwise(F.lit("")))
         .withColumn("visibility_score",
-                    F.coalesce(F.col("_l_visibility_score"), F.lit(DEFAULT_VISIBILITY)))
+                    F.when(hit, F.col("_l_visibility_score")).otherwise(F.lit(DEFAULT_VISIBILITY)))
         .drop("_l_hit", *["_l_" + c for c in LABEL_COLS])
     )
 
@@ -187,7 +196,8 @@ def parse_responses(responses: DataFrame) -> DataFrame:
         F.col("visibility_score").alias("visibility_score"),
     )
     return p.select("class_name", F.explode(F.when(F.col("is_label"), F.array(label))).alias("l")).select(
-        "class_name", "l.synopsis", "l.action_phrase", "l.visibility_score")
+        "class_name", F.coalesce("l.synopsis", F.lit("")).alias("synopsis"), "l.action_phrase",
+        "l.visibility_score")
 
 
 def unique_requests(requests: DataFrame, order_col: str | None = None) -> DataFrame:

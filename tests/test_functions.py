@@ -70,7 +70,8 @@ def test_strip_code_fence(spark):
     assert got == ["{}", "", "", "plain", '{"a": 1}', "x"]
 
 
-# (content, expected label or None); label = (synopsis, action_phrase, score)
+# (content, expected label or None); label = (synopsis, action_phrase, score), absent
+# fields already at their defaults
 LABEL_CASES = [
     ('```json\n{"synopsis": "Reads files", "action_phrase": "file reading", "visibility_score": 0.9}\n```',
      ("Reads files.", "file reading", 0.9)),
@@ -84,12 +85,12 @@ LABEL_CASES = [
     ('{"synopsis": "x", "visibility": 0, "visibility_score": 0.4}', ("x.", "", 0.4)),
     ('{"synopsis": 5, "visibility": 0.6}', None),
     ('{"synopsis": null}', None),
-    ("{}", (None, "", 0.3)),
+    ("{}", ("", "", 0.3)),
     ("", None),
     (None, None),
-    ('{"visibility": -2}', (None, "", 0.0)),
-    ('{"visibility": "yes", "visibility_score": 0.8}', (None, "", 0.3)),
-    ('{"visibility_score": false}', (None, "", 0.0)),
+    ('{"visibility": -2}', ("", "", 0.0)),
+    ('{"visibility": "yes", "visibility_score": 0.8}', ("", "", 0.3)),
+    ('{"visibility_score": false}', ("", "", 0.0)),
     ('{"synopsis": ""}', ("", "", 0.3)),
     ('```\n{"synopsis": "a"}```', ("a.", "", 0.3)),
     ("```", None),

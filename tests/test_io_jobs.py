@@ -195,3 +195,16 @@ def test_streaming_epochs_and_restart(spark, tmp_out):
     q2 = catalog_stream(*args, max_files_per_trigger=1)
     q2.awaitTermination(180)
     assert read_catalog(spark, f"{tmp_out}/cat2").count() == 3
+
+
+def test_label_fields_copied_as_given(spark):
+    reqs = spark.createDataFrame([("vtkA", "doc"), ("vtkB", "doc"), ("vtkC", "doc")],
+                                 "class_name string, class_doc string")
+    replies = spark.createDataFrame([
+        ("vtkA", '{"synopsis": "a", "action_phrase": null}'),   # present but null: copied as null
+        ("vtkB", '{"visibility_score": 0.7}'),                   # absent fields: defaults
+    ], "class_name string, content string")
+    labels = LL.label_classes(reqs, None, responses=replies)
+    got = {r.class_name: (r.synopsis, r.action_phrase, r.visibility_score, r.matched)
+           for r in LL.apply_labels(reqs, labels).collect()}
+    assert got == {"vtkA": ("a.", None, 0.3, True), "vtkB": ("", "", 0.7, True), "vtkC": ("", "", 0.3, False)}
