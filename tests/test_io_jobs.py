@@ -208,3 +208,12 @@ def test_label_fields_copied_as_given(spark):
     got = {r.class_name: (r.synopsis, r.action_phrase, r.visibility_score, r.matched)
            for r in LL.apply_labels(reqs, labels).collect()}
     assert got == {"vtkA": ("a.", None, 0.3, True), "vtkB": ("", "", 0.7, True), "vtkC": ("", "", 0.3, False)}
+
+
+def test_help_dump_parquet_source(spark, tmp_out):
+    spark.createDataFrame([("vtkmodules.vtkCommonCore", "vtkFoo", FOO, 1)],
+                          "module_name string, class_name string, help_text string, extra int") \
+        .write.parquet(f"{tmp_out}/dump")
+    h = IO.read_help_dump(spark, f"{tmp_out}/dump")
+    assert h.columns == ["module_name", "class_name", "help_text"]
+    assert h.first().module_name == "vtkCommonCore"
