@@ -491,3 +491,32 @@ def job3_lines(spark, sf):
                              ["module_name", "class_name"], "seq")
     out = SB.annotate_stub_lines(_stub_line_rows(V(spark, sf, "v_stubs")), recs)
     return out.select("module_name", "block", "row", "sub", "line", "nl")
+
+
+@query("job10_build_all", _CATALOG_SQL + """
+select module_name, class_name, class_doc, role, input_datatype, output_datatype, semantic_methods,
+  synopsis, action_phrase, visibility_score, n_sections, n_methods from catalog""")
+def job10(spark, sf):
+    # the staged build end to end: every stage is written under the session's
+    # checkpoint folder, and the records are read back from the JSON sink
+    import uuid
+
+    from docsmith.plans.jobs import build_all
+    from docsmith.session import ensure_checkpoint_dir
+    from docsmith.sources import io as IO
+
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/job10-{uuid.uuid4().hex}"
+    res = build_all(spark, V(spark, sf, "v_help"), V(spark, sf, "v_classes"), V(spark, sf, "v_bases"),
+                    HY.ports_from_text(V(spark, sf, "v_ports")), V(spark, sf, "v_help_methods"), out,
+                    stubs=V(spark, sf, "v_stubs"),
+                    label_cache=LL.dedupe_label_cache(V(spark, sf, "v_cache"), "seq"))
+    assert res.ok, res.failed_stage
+    recs = IO.read_records(spark, f"{out}/records")
+    secs = F.col("structured_docs.sections")
+    return recs.select(
+        "module_name", "class_name", "class_doc", "role", "input_datatype", "output_datatype",
+        F.array_join("semantic_methods", ",").alias("semantic_methods"),
+        "synopsis", "action_phrase", "visibility_score",
+        F.size(F.map_keys(secs)).cast("bigint").alias("n_sections"),
+        CT.record_method_count().alias("n_methods"),
+    )

@@ -24,7 +24,7 @@ def test_every_query_has_an_oracle_or_is_rows_only(spark):
 
     qs, osql = E.queries(), E.oracle_sql()
     assert set(osql) <= set(qs)
-    assert len(qs) >= 78
+    assert len(qs) >= 79
     assert set(qs) - set(osql) == {"agg5_database_size"}
 
 
