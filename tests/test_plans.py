@@ -59,3 +59,13 @@ def test_line_level_stubs_never_gather_a_file(spark, tmp_path):
     # the only windows are per split (file, block) and per file over the split summaries
     for spec in re.findall(r"windowspecdefinition\(([^)]*)\)", plan):
         assert "block" in spec
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from docsmith.session import ensure_checkpoint_dir, materialize
+
+    named = spark.sparkContext.getCheckpointDir()
+    assert named and ensure_checkpoint_dir(spark) == named      # never replaced once set
+    back = materialize(spark.range(5), "probe")
+    assert back.count() == 5
+    assert any(named.rstrip("/") in f for f in back.inputFiles())
