@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from docsmith.plans.registry import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF_SMALL), reason="test data not present")
@@ -22,15 +23,15 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle_or_is_rows_only(spark):
     import __spark_entry__ as E
 
-    qs, osql = E.queries(), E.oracle_sql()
-    assert set(osql) <= set(qs)
-    assert len(qs) >= 79
-    assert set(qs) - set(osql) == {"agg5_database_size"}
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) <= set(E.queries())
+    assert len(QUERIES) >= 79
+    assert set(QUERIES) - set(ORACLE) == {"agg5_database_size"}
 
 
 def test_all_queries_match_oracle_sf0001(spark):
     from tools.oracle_check import check
 
-    results = check(spark, SF_SMALL, verbose=False)
+    results = check(spark, SF_SMALL, names=list(QUERIES), verbose=False)
     bad = {n: r for n, r in results.items() if r[0] not in ("OK", "rows-only")}
     assert not bad
