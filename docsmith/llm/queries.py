@@ -128,13 +128,13 @@ def _op4_sql() -> str:
     patterns = ", ".join(f"v_{r}" for r in votes.RULES)
     names = list(votes.start_parameters())
     parts = [
-        f"t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '{space}+'), x -> x <> '') AS w, "
-        f"list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM documents)",
-        "g AS (SELECT r, unnest(list_transform(range(1, len(w) - 1), i -> {'i': i, 'x': w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]})) AS s FROM t)",
+        f"t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '{space}+'), lambda x: x <> '') AS w, "
+        f"list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM documents)",
+        "g AS (SELECT r, unnest(list_transform(range(1, len(w) - 1), lambda i: {'i': i, 'x': w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]})) AS s FROM t)",
         "again AS (SELECT r, s.i AS i FROM (SELECT r, s, count(*) OVER (PARTITION BY r, s.x) AS n FROM g) WHERE n > 1)",
         "rep AS (SELECT r, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) AS d(k) GROUP BY r)",
-        f"f AS MATERIALIZED (SELECT doc_id, len(w)::BIGINT AS n_words, len(list_filter(w, x -> regexp_matches(x, {_text(votes.PLAIN_WORD)})))::BIGINT AS n_plain_words, "
-        f"len(list_filter(w, x -> x IN ({stop})))::BIGINT AS n_stop_words, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines, "
+        f"f AS MATERIALIZED (SELECT doc_id, len(w)::BIGINT AS n_words, len(list_filter(w, lambda x: regexp_matches(x, {_text(votes.PLAIN_WORD)})))::BIGINT AS n_plain_words, "
+        f"len(list_filter(w, lambda x: x IN ({stop})))::BIGINT AS n_stop_words, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines, "
         f"(len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, length(regexp_replace(text, '{space}+', '', 'g'))::BIGINT AS word_chars, "
         "(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_upper "
         "FROM t LEFT JOIN rep USING (r))",
@@ -155,12 +155,12 @@ def _op5_sql() -> str:
     size = f"{len(preferences.START) + 1 + len(preferences.END)} + length(t.role) + length(t.text)"
 
     def text(x: str) -> str:
-        return f"coalesce(array_to_string(list_transform({x}, t -> {render}), ''), '')"
+        return f"coalesce(array_to_string(list_transform({x}, lambda t: {render}), ''), '')"
 
     def mask(x: str) -> str:
-        at = f"coalesce(list_sum(list_transform({x}[1:i - 1], t -> {size})), 0)::BIGINT"
+        at = f"coalesce(list_sum(list_transform({x}[1:i - 1], lambda t: {size})), 0)::BIGINT"
         first = f"({at} + {len(preferences.START) + 1} + length({x}[i].role))"
-        spans = f"list_transform(list_filter(range(1, len({x}) + 1), i -> {x}[i].role = 'assistant'), i -> {first}::VARCHAR || ':' || ({first} + length({x}[i].text) + {len(preferences.END)})::VARCHAR)"
+        spans = f"list_transform(list_filter(range(1, len({x}) + 1), lambda i: {x}[i].role = 'assistant'), lambda i: {first}::VARCHAR || ':' || ({first} + length({x}[i].text) + {len(preferences.END)})::VARCHAR)"
         return f"coalesce(array_to_string({spans}, ','), '')"
 
     return f"""WITH own AS (SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
@@ -172,7 +172,7 @@ pairs AS (
  UNION ALL SELECT last.pair_id, 'rejected', last.last, m.role, m.text FROM m JOIN last ON xor(m.pair_id, 1) = last.pair_id WHERE m.turn = m.last),
 sides AS (SELECT pair_id, side, list_sort(list_distinct(list({{'turn': turn, 'role': role, 'text': text}}))) AS turns FROM pairs GROUP BY ALL),
 j AS (SELECT pair_id, coalesce(max(turns) FILTER (side = 'chosen'), []) AS c, coalesce(max(turns) FILTER (side = 'rejected'), []) AS r FROM sides GROUP BY 1),
-d AS (SELECT *, list_position(list_transform(range(1, greatest(len(c), len(r)) + 1), i -> coalesce(c[i].role = r[i].role AND c[i].text = r[i].text, false)), false) AS differs FROM j),
+d AS (SELECT *, list_position(list_transform(range(1, greatest(len(c), len(r)) + 1), lambda i: coalesce(c[i].role = r[i].role AND c[i].text = r[i].text, false)), false) AS differs FROM j),
 n AS (SELECT *, CASE WHEN len(c) = 0 OR len(r) = 0 THEN greatest(len(c), len(r)) WHEN differs > 0 THEN differs - 1 ELSE len(c) END AS n FROM d),
 s AS (SELECT pair_id, n, CASE WHEN len(c) > 0 THEN c[1:n] ELSE r[1:n] END AS p, c[n + 1:] AS c, r[n + 1:] AS r FROM n)
 SELECT pair_id, n::BIGINT AS n_prompt_turns, {text('p')} AS prompt, {text('c')} AS chosen, {mask('c')} AS chosen_mask,
