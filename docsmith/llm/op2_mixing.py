@@ -55,8 +55,8 @@ def topic_of(text: Column) -> Column:
 
 
 def tokens_of(text: Column) -> Column:
-    """Whitespace-separated words: spaces with a word right after them."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    """Number of whitespace-separated words."""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", -1), "")).cast("long")
 
 
 def flattened_targets(cells: DataFrame, powers: dict[str, float] = FLATTEN) -> dict[str, DataFrame]:
