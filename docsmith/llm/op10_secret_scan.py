@@ -9,8 +9,9 @@ samples in the corpus; they are at most 2 * (len(ALPHABET) + 1) ** 2 rows
 whatever the input, so the model is a small constant of the scoring expression.
 
 Labelled samples: values of the fixed patterns and generated random strings
-are random (1); all other candidate tokens of the corpus are ordinary (0).  The
-few undiscovered secrets among those hardly move the counts.
+are random (1); generated identifiers and the corpus's candidate tokens whose
+parts are all letters or all digits are ordinary (0).  Other candidates, among
+them any undiscovered secrets, are scored but not trained on.
 
 Defined results: null and empty texts have no spans; repeated rows are scanned
 row by row; an empty table gives an empty result; texts of any length are
@@ -39,6 +40,17 @@ MIN_TOKEN = 16
 CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_TOKEN
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 GENERATED_SAMPLES = 2000
+#: A token that counts as ordinary: its parts are all letters or all digits.
+ORDINARY = r"^(?:[A-Za-z]+|[0-9]+)(?:[+/_=-]+(?:[A-Za-z]+|[0-9]+))*[+/_=-]*$"
+#: Parts of generated identifiers.
+IDENTIFIER_WORDS = (
+    "account address array buffer cache client column config connection container content context count current data default "
+    "description directory document element error event field file filter format function global group handler header image index input "
+    "instance item label layout length level library list local manager message method model module name number object offset option "
+    "output package page parameter parent path pattern position process project property query range record reference request resource "
+    "response result sample schema server service session setting source state status stream string system table target template test "
+    "text thread time title type update user value variable version view width window"
+)
 SMOOTHING = 0.5
 #: Log odds of a candidate token being random before its characters are seen.
 PRIOR_LOG_ODDS = -10.0
@@ -103,9 +115,23 @@ def generated_samples(spark: SparkSession, n: int = GENERATED_SAMPLES) -> DataFr
     return spark.range(n).select(F.explode(forms).alias("value"), F.lit(1).alias("label"))
 
 
+def generated_identifiers(spark: SparkSession, n: int = GENERATED_SAMPLES) -> DataFrame:
+    """(value, label 0): words joined as identifiers are, with some numbers."""
+    words = F.split(F.lit(IDENTIFIER_WORDS), " ")
+    k = len(IDENTIFIER_WORDS.split())
+    one, two, three = (F.get(words, F.pmod(F.xxhash64(F.lit(i), "id"), F.lit(k)).cast("int")) for i in range(3))
+    number = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(3000)).cast("string")
+    forms = F.array(F.concat_ws("_", one, two, three), F.concat(one, F.initcap(two), F.initcap(three)), F.upper(F.concat_ws("_", one, two, number)),
+                    F.concat_ws("-", one, two, number), F.concat_ws("/", one, two, three), F.concat(one, two, three))
+    return spark.range(n).select(F.explode(forms).alias("value"), F.lit(0).alias("label"))
+
+
 def labelled_samples(found: DataFrame) -> DataFrame:
-    """(value, label) from the corpus: 1 for base spans, 0 for other tokens."""
-    return found.filter("kind IS NOT NULL").select("value", (F.col("kind") != MARKOV).cast("int").alias("label"))
+    """(value, label): 1 for base spans and generated random strings, 0 for
+    ordinary tokens and generated identifiers."""
+    spark, base = found.sparkSession, F.col("kind") != MARKOV
+    own = found.filter(base | F.col("value").rlike(ORDINARY)).filter("kind IS NOT NULL").select("value", base.cast("int").alias("label"))
+    return own.unionByName(generated_samples(spark)).unionByName(generated_identifiers(spark))
 
 
 def _index(char: Column) -> Column:
@@ -140,7 +166,7 @@ def log_odds(token: Column, model: list[float], prior: float = PRIOR_LOG_ODDS) -
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_<kind>, base_sha256, spans, n_markov."""
     found = materialize(found_tokens(docs, id_col, text_col), "secret-tokens")
-    model = fit_markov(labelled_samples(found).unionByName(generated_samples(docs.sparkSession)))
+    model = fit_markov(labelled_samples(found))
     secret = F.when(F.col("kind") == MARKOV, log_odds(F.col("value"), model) > 0).otherwise(F.col("kind").isNotNull())
     ranks = F.create_map(*[F.lit(x) for i, k in enumerate([*PATTERNS, MARKOV]) for x in (k, i)])
     span = F.struct("start", ranks[F.col("kind")].alias("rank"), "kind", "end")
@@ -156,7 +182,7 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK) -> DataFra
     """``docs`` with every secret replaced by ``mask``.  The model is fitted
     on all of ``docs`` first; texts are then rewritten in their own rows."""
     found = materialize(found_tokens(docs.select(F.lit(None).cast("long").alias("id"), F.col(text_col).alias("text")), "id", "text"), "secret-tokens")
-    model = fit_markov(labelled_samples(found).unionByName(generated_samples(docs.sparkSession)))
+    model = fit_markov(labelled_samples(found))
     clean = without_base(F.col(text_col), lambda m: F.lit(mask))
     clean = _replaced(clean, CANDIDATE, lambda m: F.when(log_odds(m, model) > 0, F.lit(mask)).otherwise(m))
     return docs.withColumn(text_col, clean)
