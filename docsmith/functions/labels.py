@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsmith.functions.text import col_, py_strip, truncate_doc
-from docsmith.schema import DEFAULT_VISIBILITY
+from docsmith.schema import DEFAULT_VISIBILITY, MAX_DOC_CHARS
 
 # Our own prompt wording; the labeller fills in the class and its docstring.
 PROMPT_HEAD = (
@@ -32,13 +32,13 @@ PROMPT_TAIL = "\n\nJSON object only:"
 _FENCE = "```"
 
 
-def prompt(class_name: Column | str, class_doc: Column | str) -> Column:
+def prompt(class_name: Column | str, class_doc: Column | str, max_doc_chars: int = MAX_DOC_CHARS) -> Column:
     """SCL2 (+SCL1): the request text.  Built with ``concat`` rather than
     placeholder replacement so a docstring that itself contains a placeholder
-    is left alone."""
+    is left alone.  ``max_doc_chars``: the docstring's length limit (SCL1)."""
     return F.concat(
         F.lit(PROMPT_HEAD), col_(class_name), F.lit(PROMPT_MID),
-        truncate_doc(col_(class_doc)), F.lit(PROMPT_TAIL),
+        truncate_doc(col_(class_doc), max_doc_chars), F.lit(PROMPT_TAIL),
     )
 
 
@@ -49,7 +49,7 @@ def strip_code_fence(content: Column | str) -> Column:
     nl = F.instr(s, "\n")
     no_head = F.when(
         s.startswith(_FENCE),
-        F.when(nl > 0, F.substring(s, nl + 1, 1 << 30)).otherwise(F.substring(s, 4, 1 << 30)),
+        F.when(nl > 0, F.substr(s, nl + 1)).otherwise(F.substr(s, F.lit(4))),
     ).otherwise(s)
     no_tail = F.when(
         no_head.endswith(_FENCE), F.substring(no_head, 1, F.length(no_head) - 3)

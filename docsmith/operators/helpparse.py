@@ -165,7 +165,7 @@ def mark_methods(marked: DataFrame) -> DataFrame:
 
 def class_docs(marked: DataFrame) -> DataFrame:
     """TXT2 + TXT8 alone: ``(module_name, class_name, class_doc)``."""
-    sub = F.substring(F.col("line"), 5, 1 << 30)
+    sub = F.substr(F.col("line"), F.lit(5))
     kept = F.when(class_doc_lines(marked) & ~is_cpp_line(sub), py_strip(sub))
     return (
         marked.withColumn("cdoc_line", kept)
@@ -185,7 +185,7 @@ def islands(methods_marked: DataFrame) -> DataFrame:
     Columns: keys, ``is_cdoc``, ``sec``, ``mid``, ``section``, ``method``,
     ``start``, ``doc``.  Method islands whose doc cleans to ``""`` are dropped.
     """
-    sub = F.substring(F.col("line"), 5, 1 << 30)
+    sub = F.substr(F.col("line"), F.lit(5))
     is_cdoc_line = class_doc_lines(methods_marked)
     tags = F.array_compact(F.array(
         F.when(is_cdoc_line | (F.col("pos") == 0),

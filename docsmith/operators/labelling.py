@@ -21,22 +21,27 @@ from pyspark.sql import functions as F
 from docsmith.functions.labels import parse_label, prompt
 from docsmith.functions.text import truncate_doc
 from docsmith.operators.filters import is_labelable
-from docsmith.schema import DEFAULT_VISIBILITY, LABEL
+from docsmith.schema import DEFAULT_VISIBILITY, LABEL, MAX_DOC_CHARS
 
 LABEL_COLS = ("synopsis", "action_phrase", "visibility_score")
 
 
-def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], order_col: str) -> DataFrame:
-    """Last row per key by ``order_col`` (SRC3, AGG2: "last wins").
+def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], order_col: str | None) -> DataFrame:
+    """Last row per key by ``order_col`` (SRC3, AGG2: "last wins").  A null
+    order is the earliest; ties (and no order column) go to the row with the
+    greatest hash, so the choice never depends on the row order.
 
     ``max_by`` over a struct of the other columns is a plain aggregate, so
     Spark pre-aggregates per partition before the shuffle: a hot key sends
     one partial row per map task, not all its rows."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
+    hashed = [c for c in rest if "map<" not in df.schema[c].dataType.simpleString()]
+    # a struct is never null: max_by would skip a row with a null order
+    order = F.struct(*([F.col(order_col)] if order_col else []), F.xxhash64(F.lit(0), *hashed))
     return (
         df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.col(order_col)).alias("_last"))
+        .agg(F.max_by(F.struct(*rest), order).alias("_last"))
         .select(*keys, *[F.col("_last." + c).alias(c) for c in rest])
     )
 
@@ -154,17 +159,18 @@ def _ship_by_value() -> None:
     cloudpickle.register_pickle_by_value(docsmith)
 
 
-def run_labeller(misses: DataFrame, labeller: Labeller, concurrency: int | None = None) -> DataFrame:
+def run_labeller(misses: DataFrame, labeller: Labeller, concurrency: int | None = None,
+                 max_doc_chars: int = MAX_DOC_CHARS) -> DataFrame:
     """UDF1: ``misses(class_name, class_doc)`` -> ``(class_name, content)``.
 
     Docstrings are truncated (SCL1) and the prompt built (SCL2) JVM-side; the
     labeller sees Arrow batches.  ``concurrency`` bounds how many batches run
-    at once (one per partition)."""
+    at once (one per partition); ``max_doc_chars`` is the docstring's limit."""
     _ship_by_value()
     req = misses.select(
         "class_name",
-        truncate_doc("class_doc").alias("class_doc"),
-        prompt("class_name", "class_doc").alias("prompt"),
+        truncate_doc("class_doc", max_doc_chars).alias("class_doc"),
+        prompt("class_name", "class_doc", max_doc_chars).alias("prompt"),
     )
     if concurrency:
         req = req.repartition(concurrency, "class_name")
@@ -211,7 +217,8 @@ def unique_requests(requests: DataFrame, order_col: str | None = None) -> DataFr
 
 def label_classes(requests: DataFrame, cache: DataFrame | None,
                   labeller: Labeller | None = None, responses: DataFrame | None = None,
-                  order_col: str | None = None, concurrency: int | None = None) -> DataFrame:
+                  order_col: str | None = None, concurrency: int | None = None,
+                  max_doc_chars: int = MAX_DOC_CHARS) -> DataFrame:
     """JOB2: labels for the requested classes: cache rows for cached classes
     (SET1) unioned with fresh labels for the rest.
 
@@ -229,7 +236,7 @@ def label_classes(requests: DataFrame, cache: DataFrame | None,
         misses = req
     todo = unique_requests(misses, order_col).filter(is_labelable("class_doc"))
     if labeller is not None:
-        parts.append(parse_responses(run_labeller(todo, labeller, concurrency)))
+        parts.append(parse_responses(run_labeller(todo, labeller, concurrency, max_doc_chars)))
     elif responses is not None:
         parts.append(parse_responses(responses.join(todo.select("class_name"), "class_name", "left_semi")))
     if not parts:

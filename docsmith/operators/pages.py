@@ -53,13 +53,13 @@ def metadata_lines(role="role", action="action_phrase", score="visibility_score"
     return F.when(F.size(rows) > 0, F.concat(_lines("| | |", "|---|---|"), rows, _lines(""))).otherwise(_empty())
 
 
-def key_method_lines(sem: Column) -> Column:
-    """First 20 semantic methods, and how many more (ORD2)."""
+def key_method_lines(sem: Column, shown_methods: int = KEY_METHODS_SHOWN) -> Column:
+    """First ``shown_methods`` semantic methods, and how many more (ORD2)."""
     n = F.size(sem)
-    shown = F.array_join(F.transform(F.slice(sem, 1, KEY_METHODS_SHOWN),
+    shown = F.array_join(F.transform(F.slice(sem, 1, shown_methods),
                                      lambda m: F.concat(F.lit("`"), m, F.lit("`"))), ", ")
-    more = F.when(n > KEY_METHODS_SHOWN, F.array(F.concat(
-        F.lit("\n*...and "), (n - KEY_METHODS_SHOWN).cast("string"), F.lit(" more*")))).otherwise(_empty())
+    more = F.when(n > shown_methods, F.array(F.concat(
+        F.lit("\n*...and "), (n - shown_methods).cast("string"), F.lit(" more*")))).otherwise(_empty())
     return F.when(n > 0, F.concat(_lines("## Key Methods", ""), F.array(shown), more, _lines(""))).otherwise(_empty())
 
 
@@ -86,7 +86,7 @@ _PAGE_FIELDS = {"class_doc": "string", "synopsis": "string", "role": "string", "
                 "semantic_methods": "array<string>"}
 
 
-def class_page(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def class_page(records: DataFrame, keep: tuple[str, ...] = (), shown_methods: int = KEY_METHODS_SHOWN) -> DataFrame:
     """JOB4: ``(module_name, class_name, path, content, *keep)`` per record.
     Record fields the table lacks read as absent (null)."""
     for c, t in _PAGE_FIELDS.items():
@@ -102,7 +102,7 @@ def class_page(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         metadata_lines(),
         F.when(_nonempty(syn), F.array(F.lit("## Synopsis"), F.lit(""), syn, F.lit(""))).otherwise(_empty()),
         F.when(_nonempty(doc), F.array(F.lit("## Description"), F.lit(""), doc, F.lit(""))).otherwise(_empty()),
-        key_method_lines(sem),
+        key_method_lines(sem, shown_methods),
         method_section_lines(sections, sem),
     )
     return records.select(
@@ -114,14 +114,25 @@ def class_page(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def page_failures(records: DataFrame) -> Column:
-    """A class page cannot be rendered when its score is null (the score is
-    multiplied for the star count)."""
-    return F.col("visibility_score").isNull()
+    """A class page cannot be rendered when its score was given as an explicit
+    null (the score is multiplied for the star count).  An absent score is
+    the default.  ``score_null`` tells the two apart where the reader set it
+    (``io.read_records(..., with_flags=True)``)."""
+    return F.coalesce(F.col("score_null"), F.lit(False)) if "score_null" in records.columns else F.lit(False)
 
 
-def module_results(records: DataFrame) -> DataFrame:
+def current_records(records: DataFrame, order_col: str | None = None) -> DataFrame:
+    """AGG2: one record per class of a module, the last by ``order_col``, else
+    the one with the greatest docstring.  Pages, results and indexes built
+    from these agree on one record."""
+    return latest_per_key(records, ["module_name", "class_name"], order_col or ("class_doc" if "class_doc" in records.columns else None))
+
+
+def module_results(records: DataFrame, order_col: str | None = None) -> DataFrame:
     """AGG8 per module: ``(module_name, status, class_count)``; a module with
-    a failing page is ``error`` with 0 classes, without affecting others."""
+    a failing page among its current records is ``error`` with 0 classes,
+    without affecting others."""
+    records = current_records(records, order_col)
     return records.groupBy("module_name").agg(
         F.count_distinct("class_name").alias("n"),
         F.count_if(page_failures(records)).alias("failed"),
@@ -141,14 +152,12 @@ def build_summary(results: DataFrame) -> DataFrame:
     )
 
 
-def module_pages(records: DataFrame, order_col: str | None = None) -> DataFrame:
+def module_pages(records: DataFrame, order_col: str | None = None, shown_methods: int = KEY_METHODS_SHOWN) -> DataFrame:
     """JOB4 for the build: class pages of modules without failures, one per
     class (AGG2: last record by ``order_col`` wins)."""
-    # one page per class: the last record by order_col, else (no order) a fixed
-    # choice -- the one with the greatest docstring
-    recs = latest_per_key(records, ["module_name", "class_name"], order_col or "class_doc")
+    recs = current_records(records, order_col)
     bad = recs.filter(page_failures(recs)).select("module_name").distinct()
-    return class_page(recs.join(bad, "module_name", "left_anti"))
+    return class_page(recs.join(bad, "module_name", "left_anti"), shown_methods=shown_methods)
 
 
 def module_index_lines(records: DataFrame, order_col: str | None = None) -> DataFrame:

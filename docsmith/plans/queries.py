@@ -57,7 +57,7 @@ where is_p and not is_cls and cls_seen = 1 and mro_seen = 0""")
 def txt2_class_doc_span(spark, sf):
     m = _marked(spark, sf)
     return m.filter(hp.class_doc_lines(m)).select(
-        *hp.DOC_KEYS, "pos", F.substring("line", 5, 1 << 30).alias("text"))
+        *hp.DOC_KEYS, "pos", F.substr(F.col("line"), F.lit(5)).alias("text"))
 
 
 @query("txt3_section_headers", _PARSE + """

@@ -36,14 +36,25 @@ def file_order():
 
 
 def read_records(spark: SparkSession, path: str, missing_ok: bool = False,
-                 with_seq: bool = False) -> DataFrame:
+                 with_seq: bool = False, with_flags: bool = False) -> DataFrame:
     """SRC1/SRC2: JSON-lines records with the catalog defaults for missing
     fields (``module_name`` -> ``unknown``, ``class_name`` -> ``""``).
     ``with_seq`` adds a file-order key ``seq``: (file path, start of the
     file split, row id).  Row ids grow within a task's scan, so the triple
-    orders rows as they appear in the files whatever the task layout."""
+    orders rows as they appear in the files whatever the task layout.
+    ``with_flags`` adds ``score_null``: the score is given, as null (an absent
+    one is not).  Blank lines are skipped; any other line that is not a JSON
+    object of this schema fails the read."""
     try:
-        df = spark.read.schema(RECORD).json(path)
+        if with_flags:
+            lines = spark.read.text(path).filter(F.btrim("value") != "")
+            row = F.from_json("value", RECORD, {"mode": "FAILFAST"})
+            df = lines.select(row.alias("r"), "value", *([file_order().alias("seq")] if with_seq else []))
+            flag = F.col("r.visibility_score").isNull() & F.array_contains(F.json_object_keys("value"), "visibility_score")
+            df = df.select("r.*", F.coalesce(flag, F.lit(False)).alias("score_null"), *(["seq"] if with_seq else []))
+        else:
+            df = spark.read.schema(RECORD).option("mode", "FAILFAST").json(path)
+            df = df.withColumn("seq", file_order()) if with_seq else df
         df.schema  # noqa: B018 - force path resolution
     except AnalysisException as e:
         if missing_ok and _missing(e):
@@ -51,24 +62,22 @@ def read_records(spark: SparkSession, path: str, missing_ok: bool = False,
         raise
     df = (df.withColumn("module_name", F.coalesce(F.col("module_name"), F.lit("unknown")))
           .withColumn("class_name", F.coalesce(F.col("class_name"), F.lit(""))))
-    if with_seq:
-        df = df.withColumn("seq", file_order())
     return df
 
 
 def read_label_cache(spark: SparkSession, path: str, missing_ok: bool = True) -> DataFrame:
     """SRC3: label cache JSON lines; blank lines are skipped by the JSON
-    reader; the last row per class (in file order) wins."""
-    schema = T.StructType(LABEL.fields + [T.StructField("_corrupt_record", T.StringType(), True)])
+    reader; the last row per class (in file order) wins.  A line that is not
+    JSON, or has no class name, fails the read."""
     try:
-        df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+        df = spark.read.schema(LABEL).option("mode", "FAILFAST").json(path)
         df.schema  # noqa: B018
     except AnalysisException as e:
         if missing_ok and _missing(e):
             return _empty(spark, LABEL)
         raise
-    df = df.filter(F.col("class_name").isNotNull()).drop("_corrupt_record")
-    df = df.withColumn("seq", file_order())
+    unnamed = F.raise_error(F.lit("a label cache line has no class_name")).cast("string")
+    df = df.withColumn("class_name", F.coalesce("class_name", unnamed)).withColumn("seq", file_order())
     return dedupe_label_cache(df, "seq")
 
 
@@ -137,8 +146,10 @@ def write_stubs(annotated: DataFrame, path: str) -> None:
 
 def write_pages(pages: DataFrame, path: str) -> None:
     """SNK4: pages as rows ``(module_name, path, content)``, partitioned by
-    module so a module's pages can be read back (or pruned) on their own."""
-    (pages.select("module_name", "path", "content").write.mode("overwrite")
+    module so a module's pages can be read back (or pruned) on their own.
+    Pages are dealt in ranges of (module, path) first: a task writes few
+    modules, and a hot module is split over several tasks."""
+    (pages.select("module_name", "path", "content").repartitionByRange("module_name", "path").write.mode("overwrite")
      .partitionBy("module_name").parquet(path))
 
 
