@@ -316,10 +316,13 @@ def datatypes(names: DataFrame, classes: DataFrame, isa: DataFrame, ports: DataF
 # CLS5: semantic methods
 # --------------------------------------------------------------------------
 
-def semantic_methods(class_methods: DataFrame) -> DataFrame:
+def semantic_methods(class_methods: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """CLS5 + ORD1: ``(class_name, semantic_methods)``: callable, non-boilerplate
     method names, distinct, in code-point order.  Classes with none are absent
-    (callers left-join and default to ``[]``)."""
+    (callers left-join and default to ``[]``), and so are classes that are not
+    in ``classes`` (None: all are known)."""
+    if classes is not None:
+        class_methods = class_methods.join(classes.select("class_name"), "class_name", "left_semi")
     return (
         class_methods.filter(F.col("is_callable") & ~is_boilerplate(F.col("method_name")))
         .groupBy("class_name")
@@ -340,7 +343,7 @@ def profile(names: DataFrame, classes: DataFrame, isa: DataFrame, ports: DataFra
     return (
         class_facts(names, classes, isa)
         .join(port0_types(ports), "class_name", "left")
-        .join(semantic_methods(class_methods), "class_name", "left")
+        .join(semantic_methods(class_methods, classes), "class_name", "left")
         .select(
             "class_name",
             role_expr().alias("role"),

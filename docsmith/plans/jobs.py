@@ -23,6 +23,7 @@ from docsmith.operators import catalog as CT
 from docsmith.operators import labelling as LL
 from docsmith.operators import pages as PG
 from docsmith.operators import stubs as SB
+from docsmith.schema import KEY_METHODS_SHOWN, MAX_DOC_CHARS
 from docsmith.sources import io as IO
 
 
@@ -50,6 +51,8 @@ def build_all(
     version: str = "VTK (version unknown)",
     prepartitioned: bool = False,
     stub_lines: DataFrame | None = None,
+    max_doc_chars: int = MAX_DOC_CHARS,
+    shown_methods: int = KEY_METHODS_SHOWN,
 ) -> BuildResult:
     """Run every stage; returns which stages finished and summary counts."""
     res = BuildResult()
@@ -82,16 +85,22 @@ def build_all(
         stage("labels")
         base = spark.read.parquet(f"{out}/stage/parsed").drop(
             "role", "input_datatype", "output_datatype", "semantic_methods")
-        labels = LL.label_classes(base, label_cache, labeller=labeller, concurrency=label_concurrency)
+        labels = LL.label_classes(base, label_cache, labeller=labeller, concurrency=label_concurrency,
+                                  max_doc_chars=max_doc_chars)
         labels.write.mode("overwrite").parquet(f"{out}/stage/labels")
         res.stages.append("labels")
 
         stage("records")
         labels = spark.read.parquet(f"{out}/stage/labels")
         records = LL.apply_labels(CT.attach_profile(base, profile), labels)
+        # Parquet for the next stages (columns prune), JSON as the output
+        records.write.mode("overwrite").parquet(f"{out}/stage/records")
+        records = spark.read.parquet(f"{out}/stage/records")
         IO.write_records(records, f"{out}/records")
+        # one record per class for everything rendered from here on
+        PG.current_records(records).write.mode("overwrite").parquet(f"{out}/stage/current")
+        recs = spark.read.parquet(f"{out}/stage/current")
         res.stages.append("records")
-        recs = IO.read_records(spark, f"{out}/records")
 
         if stubs is not None:
             stage("stubs")
@@ -109,15 +118,15 @@ def build_all(
             res.stages.append("stubs")
 
         stage("pages")
-        IO.write_pages(PG.module_pages(recs), f"{out}/pages")
+        IO.write_pages(PG.module_pages(recs, shown_methods=shown_methods), f"{out}/pages")
         results = PG.module_results(recs)
         results.write.mode("overwrite").parquet(f"{out}/stage/module_results")
         results = spark.read.parquet(f"{out}/stage/module_results")
         IO.write_lines(PG.module_index_lines(recs), f"{out}/module_index", ["module_name", "kind", "sort_key"])
         IO.write_lines(PG.main_index_lines(results, version), f"{out}/main_index", ["kind", "sort_key"])
         res.summary["pages"] = PG.build_summary(results).first().asDict()
-        res.summary["catalog"] = CT.stats(recs).first().asDict()
-        res.summary["labels"] = LL.label_coverage(LL.apply_labels(base.select("class_name"), labels)).first().asDict()
+        res.summary["catalog"] = CT.stats(records).first().asDict()
+        res.summary["labels"] = LL.label_coverage(records).first().asDict()
         res.stages.append("pages")
         res.seconds["pages"] = round(time.perf_counter() - clock["t"], 3)
         res.failed_stage = None

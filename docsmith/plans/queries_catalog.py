@@ -131,12 +131,12 @@ def cls4(spark, sf):
     return ports.select("class_name", "direction", "port", HY.normalize_types("types").alias("datatype"))
 
 
-@query("cls5_semantic_methods", duck_with("v_methods") + "," + O.semantic_cte("v_methods") + """
+@query("cls5_semantic_methods", duck_with("v_methods", "v_classes") + "," + O.semantic_cte("v_methods") + """
 select c.class_name, coalesce(s.semantic, '') as semantic_methods, cast(coalesce(s.n_sem, 0) as bigint) as n_methods
-from (select distinct class_name from v_methods) c left join sem s on s.class_name = c.class_name""")
+from (select distinct class_name from v_methods) c left join sem s on s.class_name = c.class_name and c.class_name in (select class_name from v_classes)""")
 def cls5(spark, sf):
     cm = V(spark, sf, "v_methods")
-    sem = HY.semantic_methods(cm)
+    sem = HY.semantic_methods(cm, V(spark, sf, "v_classes"))
     return cm.select("class_name").distinct().join(sem, "class_name", "left").select(
         "class_name",
         F.coalesce(F.array_join("semantic_methods", ","), F.lit("")).alias("semantic_methods"),
@@ -151,7 +151,7 @@ _PROFILE_SQL = (
 roled as (select *, {O.role_case()} as role from facts),
 profile as (
   select f.class_name, f.role, {O.datatypes_sql()[0]} as input_datatype,
-    {O.datatypes_sql()[1]} as output_datatype, coalesce(s.semantic, '') as semantic_methods
+    {O.datatypes_sql()[1]} as output_datatype, case when f.known then coalesce(s.semantic, '') else '' end as semantic_methods
   from roled f left join port0 p on p.class_name = f.class_name left join sem s on s.class_name = f.class_name)
 """)
 

@@ -15,6 +15,8 @@ from docsmith.operators import stubs as SB
 from docsmith.plans import oracle as O
 from docsmith.plans.queries import query
 from docsmith.plans.views import VIEW_SQL, duck_with, render, spark_view
+from docsmith.schema import RECORD
+from docsmith.sources import io as IO
 
 NL = O.NL
 
@@ -35,7 +37,7 @@ def _profile_ctes(methods_view: str) -> str:
 roled as (select *, {O.role_case()} as role from facts),
 profile as (
   select f.class_name, f.role, {O.datatypes_sql()[0]} as input_datatype,
-    {O.datatypes_sql()[1]} as output_datatype, coalesce(s.semantic, '') as semantic_methods
+    {O.datatypes_sql()[1]} as output_datatype, case when f.known then coalesce(s.semantic, '') else '' end as semantic_methods
   from roled f left join port0 p on p.class_name = f.class_name left join sem s on s.class_name = f.class_name)
 """)
 
@@ -144,7 +146,8 @@ def _fmt_sql(x: str) -> str:
 
 _PAGES_SQL = _CATALOG_SQL + f""",
 sem_list as (select class_name, list(method_name order by method_name) as sem
-  from (select distinct class_name, method_name from v_help_methods where is_callable and not {O.boilerplate_sql('method_name')})
+  from (select distinct class_name, method_name from v_help_methods where is_callable and not {O.boilerplate_sql('method_name')}
+        and class_name in (select class_name from v_classes))
   group by class_name),
 key_methods as (
   select r.module_name, r.class_name, r.section, r.sec_ord, r.method, r.doc from resolved r
@@ -207,7 +210,8 @@ select module_name, class_name, seq, array_to_string(
   ['# ' || class_name, '', '**Module:** `vtkmodules.' || module_name || '`', '']
   || {_meta_sql('role', 'action_phrase', 'visibility_score', 'input_datatype', 'output_datatype')}
   || (case when synopsis <> '' then ['## Synopsis', '', synopsis, ''] else [] end)
-  || (case when class_doc <> '' then ['## Description', '', class_doc, ''] else [] end), {NL}) as content
+  || (case when class_doc <> '' then ['## Description', '', class_doc, ''] else [] end)
+  || {_keys_sql("case when semantic_methods = '' then [] else string_split(semantic_methods, ',') end")}, {NL}) as content
 from recs""")
 def job4_records(spark, sf):
     page = PG.class_page(_profiled_records(spark, sf), keep=("seq",))
@@ -250,6 +254,65 @@ def agg8_results(spark, sf):
     return PG.module_results(V(spark, sf, "v_records"))
 
 
+def _scratch(spark, name):
+    import uuid
+
+    from docsmith.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("src1_record_file_results", duck_with("v_records") + """,
+cur as (select module_name, class_name, arg_max(seq % 50 = 1, class_doc) as failed from v_records group by module_name, class_name)
+select module_name, case when bool_or(failed) then 'error' else 'success' end as status,
+  cast(case when bool_or(failed) then 0 else count(*) end as bigint) as class_count
+from cur group by module_name""")
+def src1(spark, sf):
+    """Records read back from JSON lines: with a score, with an explicit null
+    (the page fails) and without one (the default)."""
+    recs = V(spark, sf, "v_records")
+    own = ["module_name", "class_name", "class_doc", "synopsis"]
+    full, bare = F.to_json(F.struct(*own, "visibility_score")), F.to_json(F.struct(*own))
+    null = F.to_json(F.struct(*own, F.lit(None).cast("double").alias("visibility_score")), {"ignoreNullFields": "false"})
+    path = _scratch(spark, "records")
+    recs.select(F.when(F.col("seq") % 50 == 1, null).when(F.col("seq") % 3 == 0, bare).otherwise(full)).write.text(path)
+    return PG.module_results(IO.read_records(spark, path, with_flags=True))
+
+
+@query("snk1_record_round_trip", duck_with("v_records") + """
+select module_name, class_name, class_doc, synopsis, action_phrase, visibility_score from v_records""")
+def snk1(spark, sf):
+    path = _scratch(spark, "records")
+    recs = V(spark, sf, "v_records")
+    missing = [f for f in RECORD.fields if f.name not in recs.columns]
+    IO.write_records(recs.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]), path)
+    return IO.read_records(spark, path).select("module_name", "class_name", "class_doc", "synopsis", "action_phrase", "visibility_score")
+
+
+@query("snk2_label_cache_round_trip", duck_with("v_cache") + """
+select class_name, arg_max(synopsis, seq) as synopsis, arg_max(action_phrase, seq) as action_phrase,
+  arg_max(visibility_score, seq) as visibility_score from v_cache group by class_name""")
+def snk2(spark, sf):
+    path = _scratch(spark, "cache")
+    IO.write_label_cache(LL.dedupe_label_cache(V(spark, sf, "v_cache"), "seq"), path)
+    return IO.read_label_cache(spark, path, missing_ok=False).select("class_name", "synopsis", "action_phrase", "visibility_score")
+
+
+@query("snk3_stub_round_trip", duck_with("v_stubs") + """
+select module_name, module_name || '.pyi' as path, content from v_stubs""")
+def snk3(spark, sf):
+    path = _scratch(spark, "stubs")
+    IO.write_stubs(V(spark, sf, "v_stubs").withColumn("path", F.concat("module_name", F.lit(".pyi"))), path)
+    return spark.read.parquet(path).select("module_name", "path", "content")
+
+
+@query("src4_help_dump_round_trip", duck_with("v_help") + """
+select module_name, class_name, help_text from v_help""")
+def src4_round_trip(spark, sf):
+    path = _scratch(spark, "help")
+    V(spark, sf, "v_help").write.parquet(path)
+    return IO.read_help_dump(spark, path)
+
+
 @query("agg8_build_summary", duck_with("v_records") + """,
 res as (select module_name, count(distinct class_name) as n from v_records group by module_name)
 select cast(count(*) as bigint) as modules_ok, cast(count(*) as bigint) as modules_total,

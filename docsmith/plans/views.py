@@ -53,6 +53,8 @@ select concat('vtkDoc', doc_id) as class_name, doc_id as seq, concat('Quality ',
   concat('toxic ', toxic) as action_phrase, cast(doc_id % 101 as double) / 100 as visibility_score from {T:labels}
 union all
 select concat('vtkDoc', doc_id), doc_id + 100000000, 'Relabelled.', 'relabelling', cast(0.85 as double) from {T:labels} where doc_id % 25 = 0
+union all
+select distinct concat(case conv_id % 2 when 0 then 'vtkConv' else 'vtkOtherConv' end, conv_id), conv_id, concat('Turns of ', conv_id, '.'), 'conversing', cast(0.65 as double) from {T:conversations}
 """,
     "v_resp": """
 select concat('vtkDoc', doc_id) as class_name,
@@ -74,15 +76,22 @@ select distinct concat('vtkUser', user_id) as class_name,
    when 'click' then concat('Set', regexp_extract(props, '[0-9]+', 0)) else concat('_p', regexp_extract(props, '[0-9]+', 0)) end as method_name,
   value >= 1 as is_callable
 from {T:events}
+union all
+select distinct concat('vtkDoc', doc_id), concat('Get', lang), true from {T:documents}
 """,
     "v_classes": """
 select concat('vtkPart', p_partkey) as class_name, p_partkey % 13 <> 0 as instantiable, p_partkey % 17 <> 0 as has_isa,
   p_size % 3 as n_in, cast(floor(p_size / 3.0) as bigint) % 3 as n_out from {T:part}
+union all
+select concat(case conv_id % 6 when 5 then 'vtkOtherConv' else 'vtkConv' end, conv_id), conv_id % 9 <> 0, conv_id % 8 <> 0, conv_id % 3, conv_id % 2
+from (select distinct conv_id from {T:conversations}) c
+union all
+select concat(case doc_id % 3 when 0 then 'vtkDoc' else 'vtkOtherDoc' end, doc_id), doc_id % 9 <> 0, doc_id % 8 <> 0, doc_id % 4, doc_id % 5 from {T:documents}
 """,
     "v_bases": """
-select concat('vtkPart', p_partkey) as class_name,
-  case when p_partkey < 14 then element else concat('vtkPart', cast(floor(p_partkey / 4.0) as bigint)) end as base_name
-from {T:part} join (values (0,'vtkAlgorithm'),(1,'vtkAbstractMapper'),(2,'vtkWriter'),(3,'vtkReader'),(4,'vtkImporter'),(5,'vtkRenderer'),(6,'vtkRenderWindow'),
+select concat(case kind when 'part' then 'vtkPart' when 'conv' then 'vtkConv' else 'vtkDoc' end, p_partkey) as class_name,
+  case when p_partkey < 14 or kind <> 'part' then element else concat('vtkPart', cast(floor(p_partkey / 4.0) as bigint)) end as base_name
+from (select p_partkey, 'part' as kind from {T:part} union all select distinct conv_id, 'conv' from {T:conversations} union all select doc_id, 'doc' from {T:documents}) part join (values (0,'vtkAlgorithm'),(1,'vtkAbstractMapper'),(2,'vtkWriter'),(3,'vtkReader'),(4,'vtkImporter'),(5,'vtkRenderer'),(6,'vtkRenderWindow'),
   (7,'vtkContextItem'),(8,'vtkView'),(9,'vtkRenderPass'),(10,'vtkCamera'),(11,'vtkLight'),(12,'vtkProp'),(13,'vtkProperty')) v(k, element) on v.k = p_partkey % 14
 union all
 select x, y from (values ('vtkAbstractMapper','vtkAlgorithm'),('vtkWriter','vtkAlgorithm'),('vtkReader','vtkAlgorithm'),('vtkCamera','vtkObject'),('vtkAlgorithm','vtkObject')) w(x, y)
@@ -90,14 +99,18 @@ select x, y from (values ('vtkAbstractMapper','vtkAlgorithm'),('vtkWriter','vtkA
     "v_ports": """
 select class_name, direction, port, {AGG(dtype, dtype)} as types from (
   select concat('vtkPart', l_partkey) as class_name, case l_linestatus when 'O' then 'out' else 'in' end as direction, l_linenumber - 1 as port,
-    case when cast(l_quantity as int) % 5 = 0 then '' else concat('vtkType', cast(l_quantity as int) % 5) end as dtype from {T:lineitem}) p
+    case when cast(l_quantity as int) % 5 = 0 then '' else concat('vtkType', cast(l_quantity as int) % 5) end as dtype from {T:lineitem}
+  union all
+  select concat('vtkConv', conv_id), case turn % 2 when 0 then 'in' else 'out' end, cast(floor(turn / 2.0) as int), concat('vtkTurn', turn) from {T:conversations}
+  union all
+  select concat('vtkDoc', doc_id), case doc_id % 2 when 0 then 'in' else 'out' end, 0, concat('vtkText', lang) from {T:documents}) p
 group by class_name, direction, port
 """,
     "v_stubs": """
 select concat('vtk', source) as module_name, {AGG(decl, doc_id)} as content from (
-  select source, doc_id, concat('class vtkDoc', doc_id, '(vtkBase):', {NL},
+  select source, doc_id, concat('class ', case doc_id % 7 when 0 then 'vtkOther' else 'vtkDoc' end, doc_id, '(vtkBase):', {NL},
     case doc_id % 5 when 0 then concat('    \"\"\"present\"\"\"', {NL}) when 1 then {NL} else '' end, '    def F(self): ...', {NL}) as decl
-  from {T:documents} where doc_id % 7 <> 0) d
+  from {T:documents}) d
 group by source
 """,
     # Our addition: catalog methods for the help-dump classes, so that page

@@ -37,14 +37,16 @@ def local_session(cpus: int | str = "*", app: str = "docsmith", extra: dict | No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a local one only
-    when the cluster did not name one."""
+    """Return the session's checkpoint directory.  A local one is made only for
+    a local master without the setting; on a cluster it must be set."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="docsmith-ckpt-", dir=os.environ.get("DOCSMITH_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

@@ -194,9 +194,9 @@ def test_minimal_page_and_more_methods(spark):
 
 def test_indexes_and_summary(spark):
     recs = spark.createDataFrame([
-        ("vtkB", "vtkM1", "Bee.", 1, 0.5), ("vtkA", "vtkM1", "", 2, 0.5), ("vtkA", "vtkM1", "Later A.", 3, 0.5),
-        ("vtkC", "vtkM2", "See.", 4, None),
-    ], "class_name string, module_name string, synopsis string, seq int, visibility_score double")
+        ("vtkB", "vtkM1", "Bee.", 1, 0.5, False), ("vtkA", "vtkM1", "", 2, 0.5, False), ("vtkA", "vtkM1", "Later A.", 3, 0.5, False),
+        ("vtkC", "vtkM2", "See.", 4, None, True),  # an explicit null in the record's JSON
+    ], "class_name string, module_name string, synopsis string, seq int, visibility_score double, score_null boolean")
     idx = {r.module_name: r.content for r in PG.assemble(PG.module_index_lines(recs, "seq"), ["module_name"]).collect()}
     assert idx["vtkM1"] == "\n".join(["# vtkM1", "", "**2 classes**", "", "## Classes", "",
                                        "- [`vtkA`](vtkA.md) - Later A.", "- [`vtkB`](vtkB.md) - Bee."])
