@@ -142,7 +142,7 @@ def isa_closure(classes: DataFrame, class_bases: DataFrame, max_rounds: int = 64
         paths = reduce(DataFrame.unionByName, parts)
         # a pair at distance d in (reach, 2*reach] = a pair at distance exactly
         # `reach` (new in the previous round) followed by a known pair
-        step = (delta.alias("d").join(paths.alias("p"), F.col("d.ancestor") == F.col("p.class_name"))
+        step = (delta.filter(F.col("dist") == reach).alias("d").join(paths.alias("p"), F.col("d.ancestor") == F.col("p.class_name"))
                 .select(F.col("d.class_name").alias("class_name"), F.col("p.ancestor").alias("ancestor"),
                         (F.col("d.dist") + F.col("p.dist")).alias("dist")))
         new = materialize(
