@@ -32,9 +32,8 @@ from pyspark.sql import functions as F
 
 from docsmith.llm.common import ship_by_value
 
-#: Words are runs of these after lower-casing A-Z; the same runs before it.
+#: Words stand between runs of these, after lower-casing A-Z.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Phrase -> label.  Their words must stand consecutively.
 PHRASES = {
@@ -164,7 +163,7 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
         F.max("similarity").alias("score"))
     text = F.col(text_col)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.lit(1), text).alias("text_hash"),
-                      F.coalesce(F.regexp_count(text, F.lit(WORD_ANY_CASE)), F.lit(0)).cast("long").alias("n_words"))
+                      F.size(_words(text)).cast("long").alias("n_words"))
     same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_hash") == F.col("f.text_hash"))
     return own.alias("d").join(found.alias("f"), same, "left").select(
         "d.doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
