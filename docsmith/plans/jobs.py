@@ -24,6 +24,7 @@ from docsmith.operators import labelling as LL
 from docsmith.operators import pages as PG
 from docsmith.operators import stubs as SB
 from docsmith.schema import KEY_METHODS_SHOWN, MAX_DOC_CHARS
+from docsmith.session import scratch_scope
 from docsmith.sources import io as IO
 
 
@@ -36,7 +37,14 @@ class BuildResult:
     summary: dict = field(default_factory=dict)
 
 
-def build_all(
+def build_all(spark: SparkSession, *args, **options) -> BuildResult:
+    """Run every stage (see :func:`_build` for the arguments) and remove the
+    intermediate files of the IsA closure."""
+    with scratch_scope(spark):
+        return _build(spark, *args, **options)
+
+
+def _build(
     spark: SparkSession,
     help_dump: DataFrame,
     classes: DataFrame,

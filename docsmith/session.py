@@ -8,9 +8,11 @@ is unset (local tests) do we point it at a fresh local scratch folder.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +54,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, what :func:`materialize` wrote inside.  For jobs
+    that have written their own output by then; a DataFrame that is returned
+    unread must not depend on files of a scope that has ended."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for p in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     """Write ``df`` as parquet under the session's checkpoint directory and
     read it back: the returned DataFrame's lineage starts at those files, so a
@@ -60,6 +81,8 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

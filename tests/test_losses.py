@@ -114,3 +114,16 @@ def test_a_cluster_needs_its_own_checkpoint_folder(monkeypatch):
 
     with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_scratch_scope_removes_what_it_wrote(spark):
+    import os
+
+    from docsmith.session import materialize, scratch_scope
+
+    kept = materialize(spark.range(3), "kept")
+    with scratch_scope(spark):
+        inner = materialize(spark.range(3), "scoped")
+        path = inner.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path) and inner.count() == 3
+    assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3

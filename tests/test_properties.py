@@ -10,7 +10,7 @@ from docsmith.functions.text import clean_docstring, py_lstrip, py_strip
 
 WS = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
 text = st.text(alphabet=st.sampled_from(list(WS) + list("ab|:C+vtk​é日 ")), max_size=40)
-SETTINGS = settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 @SETTINGS
