@@ -12,7 +12,7 @@ profile or label table is small at run time, and splits skewed partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsmith.functions.text import bare_module
@@ -26,11 +26,11 @@ RECORD_COLS = [f.name for f in RECORD.fields]
 
 
 def catalog_profile(classes: DataFrame, class_bases: DataFrame, ports: DataFrame,
-                    class_methods: DataFrame, isa: DataFrame | None = None) -> DataFrame:
+                    class_methods: DataFrame, flags: DataFrame | None = None) -> DataFrame:
     """CLS6 over every class the catalog tables know."""
     names = classes.select("class_name").unionByName(class_methods.select("class_name")).distinct()
-    isa = isa if isa is not None else hy.isa_closure(classes, class_bases)
-    return hy.profile(names, classes, isa, ports, class_methods)
+    flags = flags if flags is not None else hy.isa_flags(class_bases)
+    return hy.profile(names, classes, flags, ports, class_methods)
 
 
 def attach_profile(records: DataFrame, prof: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def record_method_count():
 
 
 def stats(records: DataFrame) -> DataFrame:
-    """JOB8/AGG4: records, distinct modules, methods over all sections.
+    """AGG4: records, distinct modules, methods over all sections.
     A global aggregate: partial per task, one tiny final merge."""
     return records.agg(
         F.count(F.lit(1)).alias("total_records"),
@@ -90,11 +90,29 @@ def stats(records: DataFrame) -> DataFrame:
     )
 
 
-def database_size_mib(records: DataFrame) -> DataFrame:
-    """AGG5: total size of the files behind ``records`` (a file-source
-    DataFrame) in MiB, from the scan's ``_metadata``."""
-    files = records.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct()
-    return files.agg((F.sum("s") / 1048576.0).alias("size_mib"), F.count(F.lit(1)).alias("files"))
+def help_stats(help_dump: DataFrame, prepartitioned: bool = False) -> DataFrame:
+    """AGG4 of a help dump: the counts of :func:`stats` from the flat parse,
+    which nests no sections only to count their methods."""
+    rows = hp.parse_unified(help_dump, prepartitioned=prepartitioned)
+    return rows.agg(
+        F.count_if(F.col("is_cdoc")).alias("total_records"),
+        F.count_distinct(F.coalesce(F.col("module_name"), F.lit("unknown"))).alias("modules"),
+        F.count_if(~F.col("is_cdoc")).alias("total_methods"),
+    )
+
+
+def database_size_mib(spark: SparkSession, path: str) -> DataFrame:
+    """AGG5: ``(size_mib, files)`` of the files of a database, from the file
+    listing (no content is read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length")
+    return files.agg((F.coalesce(F.sum("length"), F.lit(0)) / 1048576.0).alias("size_mib"), F.count(F.lit(1)).alias("files"))
+
+
+def database_stats(records: DataFrame, path: str) -> DataFrame:
+    """JOB8: :func:`stats` of ``records`` with the size of their files under
+    ``path``."""
+    size = database_size_mib(records.sparkSession, path).select("size_mib").scalar()
+    return stats(records).withColumn("size_mib", size)
 
 
 def distinct_modules(records: DataFrame) -> DataFrame:

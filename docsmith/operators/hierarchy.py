@@ -7,7 +7,9 @@ Inputs replace live introspection with data:
 * ``ports(class_name, direction, port, types array<string>)``
 * ``class_methods(class_name, method_name, is_callable)``
 
-The IsA closure is computed by semi-naive path doubling: each round joins
+Roles and data types need only the ancestors that a rule names: their bits are
+carried down the base edges (:func:`isa_flags`), without the closure.  The IsA
+closure itself (CLS1) is computed by semi-naive path doubling: each round joins
 only the newly found pairs with the pairs known so far.  Rounds = log2 of the
 depth of the inheritance graph (not its size); each round's result is written
 as parquet under the
@@ -91,10 +93,6 @@ def rule_ancestors() -> list[str]:
     return names
 
 
-def _flag(name: str) -> str:
-    return "isa_" + name
-
-
 # --------------------------------------------------------------------------
 # CLS1: IsA closure
 # --------------------------------------------------------------------------
@@ -169,28 +167,53 @@ def isa_closure(classes: DataFrame, class_bases: DataFrame, max_rounds: int = 64
 # CLS2: role
 # --------------------------------------------------------------------------
 
-def isa_flags(isa: DataFrame) -> DataFrame:
-    """One row per class with a boolean per rule ancestor.  The ancestor list
-    is a fixed set of ~35 names, so the filter is an InSet and the group-by is
-    a codegen'd hash aggregate with partial aggregation."""
+def _bits(ancestors) -> int:
     names = rule_ancestors()
-    return (
-        isa.filter(F.col("ancestor").isin(names))
-        .groupBy("class_name")
-        .agg(*[F.max(F.col("ancestor") == F.lit(n)).alias(_flag(n)) for n in names])
-    )
+    return sum(1 << names.index(a) for a in ancestors)
+
+
+def isa_flags(class_bases: DataFrame, steps: int = 3) -> DataFrame:
+    """``(class_name, isa_mask)``: one bit per rule ancestor that the class is
+    or inherits from; classes without any are absent.
+
+    The masks of the ~35 rule ancestors are carried down the base edges, so a
+    class is one row however many ancestors it has, and no closure is built.
+    A round is one job of ``steps`` edges' depth (``bit_or`` per class, partial
+    before the shuffle), written under the checkpoint directory; masks only
+    grow, and the loop ends when the last step of a round changed no class.
+    """
+    spark = class_bases.sparkSession
+    names = rule_ancestors()
+    # the fixed names, each with its own bit
+    seeds = spark.sql("SELECT inline(array(" + ", ".join(
+        f"named_struct('class_name', '{n}', 'isa_mask', {1 << i}L)" for i, n in enumerate(names)) + "))")
+    edges = (class_bases.select("class_name", "base_name")
+             .filter(F.col("class_name").isNotNull() & F.col("base_name").isNotNull()))
+    # an edge from each class to itself keeps what the class has already
+    edges = materialize(
+        edges.unionByName(edges.select("class_name", F.col("class_name").alias("base_name")))
+        .unionByName(seeds.select("class_name", F.col("class_name").alias("base_name"))).distinct(),
+        "isa-flag-edges")
+    masks = seeds
+    while True:
+        for _ in range(steps):
+            held = masks.select(F.col("class_name").alias("base_name"), "isa_mask")
+            masks = (edges.join(held, "base_name").groupBy("class_name").agg(
+                F.bit_or("isa_mask").alias("isa_mask"),
+                F.max(F.when(F.col("base_name") == F.col("class_name"), F.col("isa_mask"))).alias("before")))
+        masks = materialize(masks, "isa-flags")
+        grew = F.coalesce(F.col("before") != F.col("isa_mask"), F.lit(True))
+        if masks.filter(grew).isEmpty():
+            return masks.select("class_name", "isa_mask")
 
 
 def _isa_any(ancestors) -> Column:
-    cond = F.lit(False)
-    for a in ancestors:
-        cond = cond | F.coalesce(F.col(_flag(a)), F.lit(False))
-    return cond
+    return F.coalesce(F.col("isa_mask"), F.lit(0).cast("bigint")).bitwiseAND(F.lit(_bits(ancestors)).cast("bigint")) != 0
 
 
 def role_expr() -> Column:
     """CASE over ROLE_RULES.  Expects columns ``class_name``, ``known``,
-    ``instantiable``, ``has_isa``, ``n_in``, ``n_out`` and the ``isa_*`` flags."""
+    ``instantiable``, ``has_isa``, ``n_in``, ``n_out`` and ``isa_mask``."""
     name = F.col("class_name")
     algo = _isa_any([ALGORITHM])
     expr = None
@@ -235,8 +258,9 @@ def role_expr() -> Column:
     return expr
 
 
-def class_facts(names: DataFrame, classes: DataFrame, isa: DataFrame) -> DataFrame:
-    """``names(class_name)`` enriched with catalog facts and IsA flags; classes
+def class_facts(names: DataFrame, classes: DataFrame, flags: DataFrame) -> DataFrame:
+    """``names(class_name)`` enriched with catalog facts and the masks of
+    :func:`isa_flags`; classes
     absent from ``classes`` get ``known = false``."""
     # one fact row per class even if the table repeats a class: a partial
     # aggregation with a fixed choice (any true flag, the largest port count)
@@ -246,14 +270,14 @@ def class_facts(names: DataFrame, classes: DataFrame, isa: DataFrame) -> DataFra
     return (
         names.select("class_name").distinct()
         .join(c, "class_name", "left")
-        .join(isa_flags(isa), "class_name", "left")
+        .join(flags, "class_name", "left")
         .withColumn("known", F.coalesce(F.col("known"), F.lit(False)))
     )
 
 
-def roles(names: DataFrame, classes: DataFrame, isa: DataFrame) -> DataFrame:
+def roles(names: DataFrame, classes: DataFrame, flags: DataFrame) -> DataFrame:
     """CLS2: ``(class_name, role)`` for every distinct name."""
-    return class_facts(names, classes, isa).select("class_name", role_expr().alias("role"))
+    return class_facts(names, classes, flags).select("class_name", role_expr().alias("role"))
 
 
 # --------------------------------------------------------------------------
@@ -302,11 +326,11 @@ def datatypes_expr() -> tuple[Column, Column]:
     return inp, out
 
 
-def datatypes(names: DataFrame, classes: DataFrame, isa: DataFrame, ports: DataFrame) -> DataFrame:
+def datatypes(names: DataFrame, classes: DataFrame, flags: DataFrame, ports: DataFrame) -> DataFrame:
     """CLS3: ``(class_name, input_datatype, output_datatype)``."""
     inp, out = datatypes_expr()
     return (
-        class_facts(names, classes, isa)
+        class_facts(names, classes, flags)
         .join(port0_types(ports), "class_name", "left")
         .select("class_name", inp.alias("input_datatype"), out.alias("output_datatype"))
     )
@@ -334,14 +358,14 @@ def semantic_methods(class_methods: DataFrame, classes: DataFrame | None = None)
 # CLS6: full profile
 # --------------------------------------------------------------------------
 
-def profile(names: DataFrame, classes: DataFrame, isa: DataFrame, ports: DataFrame,
+def profile(names: DataFrame, classes: DataFrame, flags: DataFrame, ports: DataFrame,
             class_methods: DataFrame) -> DataFrame:
     """CLS6: ``(class_name, role, input_datatype, output_datatype,
     semantic_methods)`` for every distinct name, with the unknown-class
     defaults ``utility, "", "", []``."""
     inp, out = datatypes_expr()
     return (
-        class_facts(names, classes, isa)
+        class_facts(names, classes, flags)
         .join(port0_types(ports), "class_name", "left")
         .join(semantic_methods(class_methods, classes), "class_name", "left")
         .select(

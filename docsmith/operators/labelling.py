@@ -102,11 +102,13 @@ def cache_usage(requests: DataFrame, cache: DataFrame) -> DataFrame:
     """AGG7: distinct classes served from cache, requests and distinct classes
     left to label."""
     c = cache.select("class_name").distinct().withColumn("_hit", F.lit(True))
-    r = requests.select("class_name").join(c, "class_name", "left")
+    # one row per class before the join: partial counts, so a hot class is one row
+    r = requests.groupBy("class_name").agg(F.count(F.lit(1)).alias("_n")).join(c, "class_name", "left")
+    missed = F.col("_hit").isNull()
     return r.agg(
-        F.count_distinct(F.when(F.col("_hit"), F.col("class_name"))).alias("cached_classes"),
-        F.count_if(F.col("_hit").isNull()).alias("uncached_requests"),
-        F.count_distinct(F.when(F.col("_hit").isNull(), F.col("class_name"))).alias("uncached_classes"),
+        F.count_if(~missed).alias("cached_classes"),
+        F.coalesce(F.sum(F.when(missed, F.col("_n"))), F.lit(0)).alias("uncached_requests"),
+        F.count_if(missed & F.col("class_name").isNotNull()).alias("uncached_classes"),
     )
 
 

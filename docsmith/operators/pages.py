@@ -23,6 +23,9 @@ from docsmith.schema import KEY_METHODS_SHOWN, PAGE_DEFAULT_VISIBILITY
 # Fixed values of the page format.
 MODULE_PATH_PREFIX = "vtkmodules."
 DEFAULT_TITLE = "VTK Python API Documentation"
+INDEX_FILE = "index.md"
+
+PAGE_ERROR = "visibility_score is null: "
 
 
 def _empty() -> Column:
@@ -129,17 +132,20 @@ def current_records(records: DataFrame, order_col: str | None = None) -> DataFra
 
 
 def module_results(records: DataFrame, order_col: str | None = None) -> DataFrame:
-    """AGG8 per module: ``(module_name, status, class_count)``; a module with
-    a failing page among its current records is ``error`` with 0 classes,
-    without affecting others."""
+    """AGG8 per module: ``(module_name, status, class_count, error)``; a module
+    with a failing page among its current records is ``error`` with 0 classes,
+    without affecting others; ``error`` names its first failing class (in name
+    order) and is null on success."""
     records = current_records(records, order_col)
     return records.groupBy("module_name").agg(
         F.count_distinct("class_name").alias("n"),
         F.count_if(page_failures(records)).alias("failed"),
+        F.min(F.when(page_failures(records), F.col("class_name"))).alias("first"),
     ).select(
         "module_name",
         F.when(F.col("failed") > 0, F.lit("error")).otherwise(F.lit("success")).alias("status"),
         F.when(F.col("failed") > 0, F.lit(0)).otherwise(F.col("n")).cast("bigint").alias("class_count"),
+        F.when(F.col("failed") > 0, F.concat(F.lit(PAGE_ERROR), F.coalesce("first", F.lit("")))).alias("error"),
     )
 
 
@@ -161,7 +167,7 @@ def module_pages(records: DataFrame, order_col: str | None = None, shown_methods
 
 
 def module_index_lines(records: DataFrame, order_col: str | None = None) -> DataFrame:
-    """JOB5 as line rows ``(module_name, kind, sort_key, line)``: a header
+    """JOB5 as line rows ``(module_name, path, kind, sort_key, line)``: a header
     with the class count, then one bullet per class in name order (with its
     synopsis if any).  Last record per ``(module, class)`` wins."""
     recs = latest_per_key(records.select("module_name", "class_name", "synopsis", *([order_col] if order_col else [])),
@@ -185,12 +191,13 @@ def module_index_lines(records: DataFrame, order_col: str | None = None) -> Data
                  F.when(_nonempty(F.col("synopsis")), F.concat(F.lit(" - "), F.col("synopsis"))).otherwise(F.lit("")))
         .alias("line"),
     )
-    return header.select("module_name", "kind", "sort_key", "line").unionByName(bullets)
+    lines = header.select("module_name", "kind", "sort_key", "line").unionByName(bullets)
+    return lines.select("module_name", F.concat("module_name", F.lit("/" + INDEX_FILE)).alias("path"), "kind", "sort_key", "line")
 
 
 def main_index_lines(results: DataFrame, version: str = "VTK (version unknown)",
                      title: str = DEFAULT_TITLE) -> DataFrame:
-    """JOB6 as line rows ``(kind, sort_key, line)``: successful modules only,
+    """JOB6 as line rows ``(path, kind, sort_key, line)``: successful modules only,
     totals in the header, one bullet per module in name order."""
     ok = results.filter(F.col("status") == "success")
     totals = ok.agg(F.count(F.lit(1)).alias("m"), F.coalesce(F.sum("class_count"), F.lit(0)).alias("c"))
@@ -208,7 +215,8 @@ def main_index_lines(results: DataFrame, version: str = "VTK (version unknown)",
         F.concat(F.lit("- ["), F.col("module_name"), F.lit("]("), F.col("module_name"), F.lit("/index.md) ("),
                  F.col("class_count").cast("string"), F.lit(" classes)")).alias("line"),
     )
-    return header.select("kind", "sort_key", "line").unionByName(bullets)
+    lines = header.select("kind", "sort_key", "line").unionByName(bullets)
+    return lines.select(F.lit(INDEX_FILE).alias("path"), "kind", "sort_key", "line")
 
 
 def assemble(lines: DataFrame, group_cols: list[str] | tuple[str, ...] = ()) -> DataFrame:

@@ -107,8 +107,8 @@ def cls1(spark, sf):
 select class_name, {O.role_case()} as role from facts""")
 def cls2(spark, sf):
     classes = V(spark, sf, "v_classes")
-    isa = HY.isa_closure(classes, V(spark, sf, "v_bases"))
-    return HY.roles(classes.select("class_name"), classes, isa)
+    flags = HY.isa_flags(V(spark, sf, "v_bases"))
+    return HY.roles(classes.select("class_name"), classes, flags)
 
 
 _PORTS = duck_with("v_classes", "v_bases", "v_ports", recursive=True)
@@ -119,9 +119,9 @@ select f.class_name, {O.datatypes_sql()[0]} as input_datatype, {O.datatypes_sql(
 from facts f left join port0 p on p.class_name = f.class_name""")
 def cls3(spark, sf):
     classes = V(spark, sf, "v_classes")
-    isa = HY.isa_closure(classes, V(spark, sf, "v_bases"))
+    flags = HY.isa_flags(V(spark, sf, "v_bases"))
     ports = HY.ports_from_text(V(spark, sf, "v_ports"))
-    return HY.datatypes(classes.select("class_name"), classes, isa, ports)
+    return HY.datatypes(classes.select("class_name"), classes, flags, ports)
 
 
 @query("cls4_datatype_normalise", duck_with("v_ports") + f"""

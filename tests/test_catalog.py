@@ -64,9 +64,9 @@ def test_isa_closure_diamond_and_cycle(spark):
 
 def test_role_truth_table(spark):
     classes, bases = _catalog(spark)
-    isa = HY.isa_closure(classes, bases)
+    flags = HY.isa_flags(bases)
     names = spark.createDataFrame([(n,) for n in EXPECTED_ROLES], "class_name string")
-    got = {r.class_name: r.role for r in HY.roles(names, classes, isa).collect()}
+    got = {r.class_name: r.role for r in HY.roles(names, classes, flags).collect()}
     # vtkRenderWindow has no vtkRenderWindow ancestor here except itself:
     EXPECTED_ROLES["vtkRenderWindow"] = "infrastructure"
     assert got == EXPECTED_ROLES
@@ -74,7 +74,7 @@ def test_role_truth_table(spark):
 
 def test_datatypes_and_semantic_methods(spark):
     classes, bases = _catalog(spark)
-    isa = HY.isa_closure(classes, bases)
+    flags = HY.isa_flags(bases)
     ports = spark.createDataFrame([
         ("vtkContourFilter", "in", 0, ["vtkDataSet"]), ("vtkContourFilter", "out", 0, ["vtkPolyData"]),
         ("vtkContourFilter", "in", 1, ["vtkOther"]),
@@ -91,7 +91,7 @@ def test_datatypes_and_semantic_methods(spark):
     ], "class_name string, method_name string, is_callable boolean")
     names = spark.createDataFrame([(n,) for n in ("vtkContourFilter", "vtkSphereSource", "vtkCamera",
                                                   "vtkSink", "vtkNonExistentClass")], "class_name string")
-    prof = {r.class_name: r for r in HY.profile(names, classes, isa, ports, methods).collect()}
+    prof = {r.class_name: r for r in HY.profile(names, classes, flags, ports, methods).collect()}
     assert (prof["vtkContourFilter"].input_datatype, prof["vtkContourFilter"].output_datatype) == (
         "vtkDataSet", "vtkPolyData")
     assert (prof["vtkSphereSource"].input_datatype, prof["vtkSphereSource"].output_datatype) == (
@@ -235,9 +235,9 @@ def test_two_files_of_one_module_stay_apart(spark):
 def test_repeated_class_rows_give_one_profile_row(spark):
     classes, bases = _catalog(spark)
     doubled = classes.unionByName(classes)
-    isa = HY.isa_closure(doubled, bases)
+    flags = HY.isa_flags(bases.unionByName(bases))
     names = spark.createDataFrame([("vtkActor",)], "class_name string")
-    assert [r.role for r in HY.roles(names, doubled, isa).collect()] == ["properties"]
+    assert [r.role for r in HY.roles(names, doubled, flags).collect()] == ["properties"]
 
 
 def test_line_level_stubs_match_whole_files(spark, tmp_path):

@@ -53,6 +53,6 @@ CASES = [
 def test_every_rule(spark):
     classes = spark.createDataFrame([(n, i, h, a, b) for n, _, i, h, a, b, known, _ in CASES if known], "class_name string, instantiable boolean, has_isa boolean, n_in long, n_out long")
     names = spark.createDataFrame([(c[0],) for c in CASES], "class_name string")
-    isa = spark.createDataFrame([(c[0], a) for c in CASES for a in [c[0], *c[1]]], "class_name string, ancestor string")
-    got = {r.class_name: r.role for r in HY.roles(names, classes, isa).collect()}
+    bases = spark.createDataFrame([(c[0], a) for c in CASES for a in c[1]], "class_name string, base_name string")
+    got = {r.class_name: r.role for r in HY.roles(names, classes, HY.isa_flags(bases)).collect()}
     assert got == {c[0]: c[-1] for c in CASES}
