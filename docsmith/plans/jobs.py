@@ -3,7 +3,7 @@
 Each stage writes its output under ``out_dir`` (a shared filesystem path on a
 cluster) and the next stage reads it back, so a stage never recomputes the
 previous ones and a lost executor only repeats work of the running stage.
-Stages: ``catalog`` (parse, written; IsA closure and profile computed
+Stages: ``catalog`` (parse, written; role flags and profile computed
 alongside), ``labels`` (cache + labeller over the parsed docs, written),
 ``records`` (parsed docs + profile + labels, written as JSON), ``stubs``,
 ``pages`` (class pages, module results, index line rows).
@@ -39,7 +39,7 @@ class BuildResult:
 
 def build_all(spark: SparkSession, *args, **options) -> BuildResult:
     """Run every stage (see :func:`_build` for the arguments) and remove the
-    intermediate files of the IsA closure."""
+    intermediate files of the role flags."""
     with scratch_scope(spark):
         return _build(spark, *args, **options)
 
@@ -78,8 +78,8 @@ def _build(
 
     try:
         stage("catalog")
-        # The parse and the IsA closure are independent: the parse's job runs
-        # from a second thread while the closure's small rounds run here, so
+        # The parse and the role flags are independent: the parse's job runs
+        # from a second thread while the flags' small rounds run here, so
         # the cluster's slots are shared by both (concurrent jobs, one context).
         with ThreadPoolExecutor(max_workers=1) as pool:
             parsed = pool.submit(

@@ -3,8 +3,8 @@
 New help dumps (parquet files with ``module_name, class_name, help_text``)
 arriving in a directory are parsed, profiled and labelled micro-batch by
 micro-batch with the same operators as the batch build.  The catalog tables
-(profile, labels) are static DataFrames computed once and joined to each
-batch.  Each epoch is written to its own ``epoch=<id>`` directory with
+(profile, labels) are written once to the shared folder when the stream starts,
+and every batch joins what was written.  Each epoch is written to its own ``epoch=<id>`` directory with
 overwrite semantics, so a retried epoch replaces its own output: the sink is
 idempotent and the result exactly-once even though ``foreachBatch`` itself
 is at-least-once.
@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docsmith.operators import catalog as CT
 from docsmith.schema import HELP_DUMP, RECORD
+from docsmith.session import materialize
 
 
 def catalog_stream(
@@ -30,6 +31,8 @@ def catalog_stream(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops."""
+    profile = materialize(profile, "stream-profile")
+    labels = labels if labels is None else materialize(labels, "stream-labels")
     reader = spark.readStream.schema(HELP_DUMP)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

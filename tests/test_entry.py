@@ -20,13 +20,13 @@ def test_entry_smoke(spark):
     assert set(df.columns) == {"module_name", "class_name", "section", "method_count"}
 
 
-def test_every_query_has_an_oracle_or_is_rows_only(spark):
+def test_every_query_has_an_oracle(spark):
     import __spark_entry__ as E
 
     assert set(E.oracle_sql()) <= set(E.queries())
     assert set(QUERIES) <= set(E.queries())
     assert len(QUERIES) >= 79
-    assert set(QUERIES) - set(ORACLE) == {"agg5_database_size"}
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_all_queries_match_oracle_sf0001(spark):
