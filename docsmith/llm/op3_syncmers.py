@@ -3,9 +3,12 @@
 A k-mer of characters is chosen if the smallest hash among its inner s-mers is
 at its first or its last place.  That depends on the k-mer alone, not on its
 neighbours, so that equal passages give equal anchors wherever they stand.  A
-fingerprint lists the anchors with the smallest hashes of a document, each with
-its place; two fingerprints are alike as far as they share anchors whose places
-agree up to one common shift.
+fingerprint lists every anchor of a document, in the order of their places, each
+with its place; two fingerprints are alike as far as they share anchors whose
+places agree up to one common shift.  The number of anchors grows with the text
+(about 2 in 15 characters of prose).  Consecutive anchors overlap, so an edit
+changes the list wherever it stands, except in the up to 14 characters before
+the first anchor and after the last one.
 
 ``fingerprint`` works inside each text's own row.  ``with_next`` brings every
 document together with the one after it in descending id: documents are dealt
@@ -14,7 +17,9 @@ gets the first document of the range below, so no task holds more than a range.
 
 Defined results: a null text counts as empty and has the empty fingerprint; two
 empty fingerprints are alike (1), an empty and another are not (0); a text
-shorter than a k-mer has one anchor, its whole self; rows that repeat an id
+without a closed syncmer, as any shorter than a k-mer, has one anchor, its whole
+self; an anchor that occurs again is listed again, and its n-th occurrence in
+one text meets its n-th in the other; rows that repeat an id
 follow each other in the order of their texts' hashes; null ids come last; a
 single document follows itself; an empty table gives an empty result; other
 columns are ignored; texts of any length are read whole.
@@ -33,13 +38,14 @@ from pyspark.sql import functions as F
 from docsmith.llm.common import ship_by_value
 
 K, S = 20, 6
-#: Anchors in a fingerprint.
-ANCHORS = 64
 #: Places agree if their shifts differ by no more characters than this.
 SHIFT_BAND = 32
+#: Characters of fingerprints that a task gathers before it hands them on.
+BLOCK_CHARS = 1 << 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_HEX = np.array([list(b"%02x" % i) for i in range(256)], np.uint8)
 
-Anchors = dict[int, int]  # hash -> place, ANCHORS of them at most
+Anchors = np.ndarray  # rows of (hash, place), in the order of places
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -69,37 +75,60 @@ def closed_syncmers(chars: np.ndarray, k: int = K, s: int = S) -> np.ndarray:
     return np.flatnonzero((inner[:n] == least) | (inner[width - 1 :] == least))
 
 
-def anchors(text: str, k: int = K, s: int = S, most: int = ANCHORS) -> Anchors:
+def anchors(text: str, k: int = K, s: int = S) -> Anchors:
     if not text:
-        return {}
+        return np.empty((0, 2), np.int64)
     chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    if len(chars) < k:
-        return {int(_grams(chars, None, len(chars))[0] >> np.uint64(24)): 0}
-    at = closed_syncmers(chars, k, s)
-    found = _grams(chars, at, k) >> np.uint64(24)
-    if len(found) > 4 * most:  # nearly always enough, and exact if not
-        few = np.flatnonzero(found <= np.partition(found, 4 * most)[4 * most])
-        if len(np.unique(found[few])) >= most:
-            at, found = at[few], found[few]
-    hashes, first = np.unique(found, return_index=True)
-    return dict(zip(hashes[:most].tolist(), at[first[:most]].tolist(), strict=True))
+    at = closed_syncmers(chars, k, s) if len(chars) >= k else np.empty(0, np.int64)
+    if not len(at):
+        at, k = np.zeros(1, np.int64), len(chars)
+    return np.stack([(_grams(chars, at, k) >> np.uint64(24)).astype(np.int64), at]).T
 
 
 def written(a: Anchors) -> str:
-    return " ".join(f"{h:010x}:{p}" for h, p in a.items())
-
-
-def likeness(a: Anchors, b: Anchors, most: int = ANCHORS, band: int = SHIFT_BAND) -> float:
-    """0 to 1: of the smallest anchors of either, those that both have at
-    places that agree, counted in both (Dice)."""
-    if not a or not b:
-        return float(not a and not b)
-    either = sorted(a.keys() | b.keys())[:most]
-    shifts = sorted(b[h] - a[h] for h in either if h in a and h in b)
-    if not shifts:
+    """``hash:place`` of each anchor, ten hexadecimal digits and a number."""
+    if not len(a):
+        return ""
+    tens = 10 ** np.arange(len(str(a[-1, 1])) - 1, -1, -1)
+    out = np.empty((len(a), 12 + len(tens)), np.uint8)
+    out[:, :10] = _HEX[a[:, 0].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:]].reshape(-1, 10)
+    out[:, 10], out[:, -1] = ord(":"), ord(" ")
+    keep = np.ones(out.shape, bool)
+    for i, ten in enumerate(tens, 11):
+        out[:, i] = a[:, 1] // ten % 10 + ord("0")
+        keep[:, i] = a[:, 1] >= ten if ten > 1 else True
+    return out[keep][:-1].tobytes().decode("ascii")
+
+
+def _by_hash(a: Anchors) -> tuple[np.ndarray, ...]:
+    """Distinct hashes; places by hash; where a hash's places begin; how many they are."""
+    order = np.argsort(a[:, 0], kind="stable")
+    hashes = a[order, 0]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    return hashes[first], a[order, 1], first, np.diff(first, append=len(hashes))
+
+
+def _shifts(a: Anchors, b: Anchors) -> np.ndarray:
+    """Shifts from ``a`` to ``b`` of the anchors that both have, ascending."""
+    (ha, at, ia, na), (hb, bt, ib, nb) = _by_hash(a), _by_hash(b)
+    j = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
+    both = hb[j] == ha
+    j = j[both]
+    ia, ib, n = ia[both], ib[j], np.minimum(na[both], nb[j])
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.sort(bt[np.repeat(ib, n) + nth] - at[np.repeat(ia, n) + nth])
+
+
+def likeness(a: Anchors, b: Anchors, band: int = SHIFT_BAND) -> float:
+    """0 to 1: of the anchors of either, those that both have at places that
+    agree, counted in both (Dice)."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    shifts = _shifts(a, b)
+    if not len(shifts):
         return 0.0
     middle = shifts[len(shifts) // 2]
-    share = sum(abs(x - middle) <= band for x in shifts) / len(either)
+    share = int((np.abs(shifts - middle) <= band).sum()) / (len(a) + len(b) - len(shifts))
     return 2 * share / (1 + share)
 
 
@@ -136,31 +165,54 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
+def edited_anchors(text: str, a: Anchors, following: str, f: Anchors, k: int = K, s: int = S) -> Anchors:
+    """``anchors(edited(text, following))`` from the anchors ``a`` and ``f`` of
+    both: only the k-mers across the seam are new."""
+    n = min(len(text) // 3, len(following))
+    cut = len(text) - len(text) // 3
+    if min(n, cut) < 2 * k:  # from there on, each text has closed syncmers
+        return anchors(edited(text, following), k, s)
+    seam = text[cut - k + 1 : cut] + following[: k - 1]
+    chars = np.frombuffer(seam.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    at = closed_syncmers(chars, k, s)
+    new = np.stack([(_grams(chars, at, k) >> np.uint64(24)).astype(np.int64), at + cut - k + 1])
+    left, right = a[: np.searchsorted(a[:, 1], cut - k, "right")], f[: np.searchsorted(f[:, 1], n - k, "right")]
+    return np.concatenate([left.T, new, right.T + [[0], [cut]]], axis=1).T
+
+
 FINGERPRINTED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def fingerprint_pairs(rows: DataFrame, k: int = K, s: int = S, most: int = ANCHORS) -> DataFrame:
+def fingerprint_pairs(rows: DataFrame, k: int = K, s: int = S) -> DataFrame:
     """Fingerprints of ``text`` and of its edited form, and likenesses, from
     (doc_id, text, next_text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        ahead: tuple[str, Anchors] = ("", {})  # rows come in order: the next text is often the next row's own
+        types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+        names = [f.split()[0] for f in FINGERPRINTED.split(", ")]
+
+        def block(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+        ahead: tuple[str, Anchors] = ("", anchors(""))  # rows come in order: the next text is often the next row's own
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+            out: list[tuple] = []
+            size = 0
             for doc_id, own, following in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 own, following = own.as_py() or "", following.as_py() or ""
-                a = ahead[1] if ahead[0] == own else anchors(own, k, s, most)
-                ahead = (following, anchors(following, k, s, most))
+                a = ahead[1] if ahead[0] == own else anchors(own, k, s)
+                ahead = (following, anchors(following, k, s))
                 other = edited(own, following)
-                b = anchors(other, k, s, most)
-                row = (doc_id, len(own), hashlib.sha256(other.encode()).hexdigest(), written(a), written(b), likeness(a, b, most), likeness(a, ahead[1], most))
-                for c, v in zip(out, row, strict=True):
-                    c.append(v)
-            types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-            names = [f.split()[0] for f in FINGERPRINTED.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
+                b = edited_anchors(own, a, following, ahead[1], k, s)
+                out.append((doc_id, len(own), hashlib.sha256(other.encode()).hexdigest(), written(a), written(b), likeness(a, b), likeness(a, ahead[1])))
+                size += len(out[-1][3]) + len(out[-1][4])
+                if size >= BLOCK_CHARS:
+                    yield block(out)
+                    out, size = [], 0
+            if out:
+                yield block(out)
 
     return rows.select("doc_id", "text", "next_text").mapInArrow(run, FINGERPRINTED)
 

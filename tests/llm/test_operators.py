@@ -177,6 +177,29 @@ def test_likeness():
     assert o3.likeness({}, {}) == 1 and o3.likeness({}, fa) == 0
 
 
+def test_fingerprint_keeps_every_syncmer():
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 9))) for _ in range(4000)]
+    text = " ".join(words)
+    assert o3.written(o3.anchors(text)) == " ".join(f"{h:010x}:{p}" for h, p in o3.anchors(text).tolist())
+    listed = [x.split(":") for x in o3.written(o3.anchors(text)).split(" ")]
+    assert [int(p) for _, p in listed] == plain_syncmers(text)
+    for at in rng.integers(10, 3990, 40):  # one word changed
+        changed = " ".join([*words[:at], "zz", *words[at + 1 :]])
+        assert o3.written(o3.anchors(changed)) != o3.written(o3.anchors(text))
+        assert 0.99 < o3.likeness(o3.anchors(text), o3.anchors(changed)) < 1
+    other = " ".join("".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 9))) for _ in range(4000))
+    passage = " ".join(words[2000:2060])  # 60 words in another text
+    assert 0.01 < o3.likeness(o3.anchors(text), o3.anchors(f"{other[:9000]} {passage} {other[9000:]}")) < 0.05
+    for n, m in ((9000, 9000), (300, 50), (200, 10), (130, 999), (119, 40), (45, 45), (0, 60), (60, 0)):
+        own, following = text[:n], other[:m]
+        assert np.array_equal(o3.edited_anchors(own, o3.anchors(own), following, o3.anchors(following)), o3.anchors(o3.edited(own, following)))
+    again = o3.anchors(text + " " + text)  # a repeated passage is listed twice
+    assert len(again) >= 2 * len(listed)
+    lone = next(t for t in ("".join(rng.choice(list("abcdefgh"), 21)) for _ in range(99)) if not plain_syncmers(t))
+    assert len(o3.anchors(lone)) == 1 and o3.likeness(o3.anchors(lone), o3.anchors("")) == 0
+
+
 # 4 -----------------------------------------------------------------------
 def plain_features(text):
     text = text or ""
