@@ -32,8 +32,9 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens meet the target shares."""
-    return op2_mixing.sample_mix(docs)
+    """A sample whose expected tokens meet the target shares, as large as they
+    and the budget allow."""
+    return op2_mixing.sample_to_targets(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,13 @@ a join of cells with the other dimensions' factors and one aggregation, written
 to the shared folder.  Sums add the cells' doubles, in whatever order; factors
 are compared with a tolerance.
 
+``mixed`` and ``sample_mix`` have an expected size (``BUDGET``): where the
+targets ask for more of a value than there is, its cells are taken whole and the
+sample misses the targets.  ``sample_to_targets`` meets the targets: it rakes
+with a probability of 1 as the bound of each cell and takes the largest budget,
+at most ``BUDGET``, at which all marginals agree.  For that the driver reads one
+row per cell.  ``shares`` tells target and expected share of each value.
+
 Defined results: null source, language or topic is a value of its own; a null
 or empty text has no tokens and is sampled with its cell's probability; a cell
 without tokens has probability 1; repeated rows share a draw, because the draw
@@ -21,6 +28,7 @@ gives an empty result; extra columns pass ``sample_mix`` untouched.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +43,10 @@ BUDGET = 0.8
 ROUNDS = 10
 CAP_ROUNDS = 8
 SEED = "mix-1"
+#: Marginals agree with their targets if none is off by more than this share of itself.
+CLOSE = 1e-6
+BOUNDED_ROUNDS = 400
+HALVINGS = 12
 
 #: Topic -> pattern; the first that a text contains.  Else by size.
 TOPICS = {
@@ -146,3 +158,83 @@ def sample_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     _, cells = mix_probabilities(docs, id_col, text_col, budget)
     own = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_doc"), F.col(id_col).alias("_id"), "source", "lang", topic_of(F.col(text_col)).alias("topic"))
     return _with_p(own, cells).filter(draw(F.col("_id"), seed) < F.col("p")).select("_doc.*")
+
+
+def _bounded_factor(tokens: np.ndarray, others: np.ndarray, wanted: float) -> float:
+    """f with sum(tokens * min(1, f * others)) = wanted; very large if that
+    takes more than all tokens."""
+    order = np.argsort(-others, kind="stable")
+    t, g = tokens[order], others[order]
+    whole = np.concatenate([[0.0], np.cumsum(t)[:-1]])  # the first so many cells are at 1
+    f = (wanted - whole) / np.cumsum((t * g)[::-1])[::-1]
+    fits = np.flatnonzero(f * g <= 1)
+    return max(0.0, float(f[fits[0]])) if len(fits) else 1e12
+
+
+def _bounded_rake(tokens: np.ndarray, codes: list[np.ndarray], wanted: list[np.ndarray]) -> tuple[np.ndarray, bool]:
+    """(p of each cell, whether the marginals of tokens * p are ``wanted``)."""
+    factors = [np.ones(len(w)) for w in wanted]
+    members = [np.split(np.argsort(c, kind="stable"), np.cumsum(np.bincount(c, minlength=len(w)))[:-1]) for c, w in zip(codes, wanted, strict=True)]
+    for n in range(BOUNDED_ROUNDS):
+        for d, own in enumerate(members):
+            others = np.clip(np.prod([factors[e][c] for e, c in enumerate(codes) if e != d], axis=0), 1e-30, 1e30)
+            factors[d] = np.array([_bounded_factor(tokens[m], others[m], w) for m, w in zip(own, wanted[d], strict=True)])
+        p = np.minimum(1.0, np.prod([f[c] for f, c in zip(factors, codes, strict=True)], axis=0))
+        if n % 10 == 9 and all((abs(np.bincount(c, tokens * p, len(w)) - w) <= CLOSE * w).all() for c, w in zip(codes, wanted, strict=True)):
+            return p, True
+    return p, False
+
+
+def bounded_probabilities(docs: DataFrame, text_col: str = "text", budget: float = BUDGET, powers: dict[str, float] = FLATTEN) -> DataFrame:
+    """Cells (source, lang, topic, tokens, ratio, p): the p at which expected
+    token shares are the flattened targets, for as much of ``budget`` as all
+    cells have tokens for.  ``ratio``: the factor by which a cell's share grows.
+    Targets that contradict each other at any budget are met as far as raking does."""
+    text = F.col(text_col)
+    rows = docs.select("source", "lang", topic_of(text).alias("topic"), tokens_of(text).alias("tokens"))
+    cells = rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
+    found = sorted(cells.collect(), key=lambda r: [(x is not None, str(x)) for x in r])  # one row per cell
+    some = [r for r in found if r["tokens"]]
+    ratios, ps = {}, {}
+    if some:
+        tokens = np.array([r["tokens"] for r in some], float)
+        codes, targets = [], []
+        for d, power in powers.items():
+            at = {v: i for i, v in enumerate(dict.fromkeys(r[d] for r in some))}
+            codes.append(np.array([at[r[d]] for r in some]))
+            share = np.bincount(codes[-1], tokens) ** power
+            targets.append(tokens.sum() * share / share.sum())
+        most = min(budget, *(float((np.bincount(c, tokens) / t).min()) for c, t in zip(codes, targets, strict=True)))
+        size, (p, met) = most, _bounded_rake(tokens, codes, [most * t for t in targets])
+        low, high = 0.0, most
+        for _ in range(0 if met else HALVINGS):  # what can be met at a size can be at any smaller one
+            middle = (low + high) / 2
+            tried, close = _bounded_rake(tokens, codes, [middle * t for t in targets])
+            if close:
+                low, size, p = middle, middle, tried
+            else:
+                high = middle
+        ratios, ps = ({r[:3]: float(x) for r, x in zip(some, y, strict=True)} for y in (p / size, p))
+    out = [(*r, ratios.get(r[:3], 1.0), ps.get(r[:3], 1.0)) for r in found]
+    return docs.sparkSession.createDataFrame(out, cells.schema.add("ratio", "double").add("p", "double"))
+
+
+def shares(cells: DataFrame, powers: dict[str, float] = FLATTEN) -> DataFrame:
+    """(dimension, value, raw, target, expected): token shares of each value in
+    all documents, in the targets and in the expected sample of ``cells``."""
+    out = None
+    for d, power in powers.items():
+        by = cells.groupBy(d).agg(F.sum("tokens").cast("double").alias("t"), F.sum(F.col("tokens") * F.col("p")).alias("s"))
+        total = by.agg(F.sum("t"), F.sum(F.pow("t", F.lit(power))), F.sum("s")).first()
+        share = [(x / F.lit(float(n)) if n else F.lit(0.0)) for x, n in zip((F.col("t"), F.pow("t", F.lit(power)), F.col("s")), total, strict=True)]
+        part = by.select(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"), *[x.alias(n) for x, n in zip(share, ("raw", "target", "expected"), strict=True)])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def sample_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: float = BUDGET, seed: str = SEED) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of a sample whose expected
+    token shares are the targets."""
+    cells = materialize(bounded_probabilities(docs, text_col, budget), "mix-bounded")
+    own = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_doc"), F.col(id_col).alias("_id"), "source", "lang", topic_of(F.col(text_col)).alias("topic"))
+    return _with_p(own, cells).filter(draw(F.col("_id"), seed) < F.col("p")).select("_doc.*")

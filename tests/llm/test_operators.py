@@ -132,6 +132,17 @@ def test_mixing(docs, empty):
     assert o2.mixed(empty).collect() == [] and o2.sample_mix(empty).collect() == []
 
 
+def test_sample_to_targets(docs, empty):
+    docs = docs.filter("doc_id IS NULL OR doc_id <> 8")  # the topic's patterns take long on 60,000 letters in a row
+    cells = o2.bounded_probabilities(docs)
+    rows = cells.collect()
+    assert all(0 <= r.p <= 1 for r in rows)
+    assert 0 < sum(r.tokens * r.p for r in rows) <= o2.BUDGET * sum(r.tokens for r in rows) * (1 + 1e-6)
+    sampled = o2.sample_to_targets(docs)
+    assert sampled.columns == docs.columns and bag(sampled.collect()) <= bag(docs.collect())
+    assert o2.sample_to_targets(empty).collect() == [] and o2.shares(o2.bounded_probabilities(empty)).collect() == []
+
+
 # 3 -----------------------------------------------------------------------
 def plain_syncmers(text):
     chars = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)

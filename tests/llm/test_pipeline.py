@@ -37,6 +37,24 @@ def test_stages(spark):
     assert {r.doc_id for r in packed} == {r.doc_id for r in mixed}
 
 
+def test_mixing_stage_meets_the_targets(spark):
+    n = 6000
+    kinds = [("plain words only " * 5, 0.93), ("write to me@example.org now " * 4, 0.05), ("copyright notice of a text " * 3, 0.02)]
+    texts = [t for t, share in kinds for _ in range(round(share * n))]
+    rows = [(i, t, ("es" if i % 19 == 0 else "en"), ("hot" if i % 3 else f"src{i % 7}"), len(t)) for i, t in enumerate(texts)]
+    docs = materialize(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "mix-test")
+    told = op2_mixing.shares(op2_mixing.bounded_probabilities(docs)).collect()
+    assert len(told) == 8 + 2 + 3
+    for r in told:
+        assert r.expected == pytest.approx(r.target, rel=1e-5), r
+    sample = [(r.lang, r.source, r.text, len(r.text.split())) for r in pipeline.source_mixing(spark, docs, "").collect()]
+    total = sum(r[3] for r in sample)
+    text_of = {"contact": kinds[1][0], "legal": kinds[2][0], "short prose": kinds[0][0]}
+    for r in told:
+        own = sum(x[3] for x in sample if r.value in x[:2] or text_of.get(r.value) == x[2])
+        assert own / total == pytest.approx(r.target, rel=0.12), r
+
+
 def test_sql_of_the_operators(spark):
     from tools.oracle_check import check
 
