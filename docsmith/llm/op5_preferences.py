@@ -74,12 +74,13 @@ def pairs_by_neighbour(turns: DataFrame, conv_col: str = "conv_id") -> DataFrame
     """Preference pairs from plain conversations: chosen is the conversation;
     rejected is the same up to its last turn, which is the last turn of the
     conversation whose id differs in the lowest bit.  Without that neighbour
-    the rejected side just lacks the last turn."""
+    the rejected side just lacks the last turn.  Turns without a number are
+    none's last turn: both sides have them."""
     own = turns.filter(F.col(conv_col).isNotNull()).select(F.col(conv_col).cast("long").alias("pair_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     last = own.groupBy("pair_id").agg(F.max("turn").alias("last"))
     marked = own.join(last, "pair_id")
     chosen = marked.select("pair_id", F.lit("chosen").alias("side"), "turn", "role", "text")
-    kept = marked.filter("turn < last").select("pair_id", F.lit("rejected").alias("side"), "turn", "role", "text")
+    kept = marked.filter("turn IS NULL OR turn < last").select("pair_id", F.lit("rejected").alias("side"), "turn", "role", "text")
     ends = marked.filter("turn = last").select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), "role", "text")
     lent = last.join(ends, "pair_id").select("pair_id", F.lit("rejected").alias("side"), F.col("last").alias("turn"), "role", "text")
     return chosen.unionByName(kept).unionByName(lent)

@@ -282,6 +282,15 @@ def test_preferences(spark):
     assert o5.format_preferences(df.filter("false")).collect() == []
 
 
+def test_null_turns_are_on_both_sides(spark):
+    turns = [(2, None, "system", "be kind"), (2, 0, "user", "hi"), (2, 1, "assistant", "hello"), (3, 0, "user", "you"), (3, 1, "assistant", "no"), (8, None, "user", "lone")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {r.pair_id: r for r in o5.format_preferences(o5.pairs_by_neighbour(df)).collect()}
+    assert (got[2].n_prompt_turns, got[2].prompt) == (2, render([("system", "be kind"), ("user", "hi")]))
+    assert got[2].chosen == render([("assistant", "hello")]) and got[2].rejected == render([("assistant", "no")])
+    assert got[8].degenerate and got[8].n_prompt_turns == 1
+
+
 # 6 -----------------------------------------------------------------------
 def brute_kernel(s, t, p, decay):
     from itertools import combinations
