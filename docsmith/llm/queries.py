@@ -15,6 +15,7 @@ from docsmith.llm import op7_simhash_trie as simhash
 from docsmith.llm import op8_packing as packing
 from docsmith.llm import op9_ordinal_quality as ordinal
 from docsmith.llm import op10_secret_scan as secrets
+from docsmith.llm import op11_decontamination as decontamination
 from docsmith.llm.common import table
 
 FOLDS = 5
@@ -76,9 +77,15 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark, sf_dir):
+    rows = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.array_join(F.array_sort("items"), ","), 256)
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), listed.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_source_mixing, op3_syncmer_fingerprints, op4_quality_votes, op5_preference_format,
-    op6_toxicity_ssk, op7_simhash_trie, op8_best_fit_packing, op9_ordinal_quality, op10_secret_scan)}
+    op6_toxicity_ssk, op7_simhash_trie, op8_best_fit_packing, op9_ordinal_quality, op10_secret_scan, op11_decontamination)}
 
 
 def _text(s: str) -> str:
@@ -179,4 +186,19 @@ SELECT pair_id, n::BIGINT AS n_prompt_turns, {text('p')} AS prompt, {text('c')}
  {text('r')} AS rejected, {mask('r')} AS rejected_mask, len(c) = 0 AND len(r) = 0 AS degenerate FROM s"""
 
 
-ORACLE = {"op2_source_mixing": _op2_sql(), "op4_quality_votes": _op4_sql(), "op5_preference_format": _op5_sql()}
+def _op11_sql() -> str:
+    words = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+    size = decontamination.WINDOW
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+b AS MATERIALIZED (SELECT item_id::VARCHAR AS item, {words} AS w FROM benchmark),
+pat AS MATERIALIZED (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS x FROM (SELECT item, w, least(len(w), {size}) AS k, unnest(range(1, greatest(len(w) - {size - 1}, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM pat),
+g AS (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS x FROM (SELECT r, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k)),
+hit AS MATERIALIZED (SELECT r, k, i, item FROM g JOIN pat USING (k, x)),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) GROUP BY r),
+found AS (SELECT r, list_sort(list_distinct(list(item))) AS items FROM hit GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)"""
+
+
+ORACLE = {"op2_source_mixing": _op2_sql(), "op4_quality_votes": _op4_sql(), "op5_preference_format": _op5_sql(), "op11_decontamination": _op11_sql()}
