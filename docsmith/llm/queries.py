@@ -16,6 +16,7 @@ from docsmith.llm import op8_packing as packing
 from docsmith.llm import op9_ordinal_quality as ordinal
 from docsmith.llm import op10_secret_scan as secrets
 from docsmith.llm import op11_decontamination as decontamination
+from docsmith.llm import op13_lexical_search as lexical
 from docsmith.llm.common import table
 
 FOLDS = 5
@@ -83,9 +84,13 @@ def op11_decontamination(spark, sf_dir):
     return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), listed.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op13_lexical_search(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_source_mixing, op3_syncmer_fingerprints, op4_quality_votes, op5_preference_format,
-    op6_toxicity_ssk, op7_simhash_trie, op8_best_fit_packing, op9_ordinal_quality, op10_secret_scan, op11_decontamination)}
+    op6_toxicity_ssk, op7_simhash_trie, op8_best_fit_packing, op9_ordinal_quality, op10_secret_scan, op11_decontamination, op13_lexical_search)}
 
 
 def _text(s: str) -> str:
@@ -186,8 +191,11 @@ SELECT pair_id, n::BIGINT AS n_prompt_turns, {text('p')} AS prompt, {text('c')}
  {text('r')} AS rejected, {mask('r')} AS rejected_mask, len(c) = 0 AND len(r) = 0 AS degenerate FROM s"""
 
 
+PLAIN_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+
 def _op11_sql() -> str:
-    words = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+    words = PLAIN_WORDS
     size = decontamination.WINDOW
     return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
 b AS MATERIALIZED (SELECT item_id::VARCHAR AS item, {words} AS w FROM benchmark),
@@ -201,4 +209,17 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coale
 sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)"""
 
 
-ORACLE = {"op2_source_mixing": _op2_sql(), "op4_quality_votes": _op4_sql(), "op5_preference_format": _op5_sql(), "op11_decontamination": _op11_sql()}
+def _op13_sql() -> str:
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {PLAIN_WORDS} AS w FROM documents),
+i AS MATERIALIZED (SELECT row_number() OVER () AS q, item_id, {PLAIN_WORDS} AS w FROM benchmark),
+total AS MATERIALIZED (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d),
+tf AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wt AS MATERIALIZED (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight FROM df, total),
+m AS MATERIALIZED (SELECT r, doc_id, (75 + (25 * len(w) * n_docs) // n_terms)::BIGINT AS m FROM d, total),
+q AS (SELECT q, item_id, term, count(*) AS repeats FROM (SELECT q, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+s AS (SELECT q, item_id, r, doc_id, sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score FROM q JOIN wt USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) WHERE rank <= {lexical.TOP}"""
+
+
+ORACLE = {"op2_source_mixing": _op2_sql(), "op4_quality_votes": _op4_sql(), "op5_preference_format": _op5_sql(), "op11_decontamination": _op11_sql(), "op13_lexical_search": _op13_sql()}
