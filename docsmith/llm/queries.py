@@ -16,6 +16,7 @@ from docsmith.llm import op8_packing as packing
 from docsmith.llm import op9_ordinal_quality as ordinal
 from docsmith.llm import op10_secret_scan as secrets
 from docsmith.llm import op11_decontamination as decontamination
+from docsmith.llm import op12_alignment as alignment
 from docsmith.llm import op13_lexical_search as lexical
 from docsmith.llm.common import table
 
@@ -84,13 +85,18 @@ def op11_decontamination(spark, sf_dir):
     return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), listed.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op12_token_alignment(spark, sf_dir):
+    rows = alignment.alignment(table(spark, sf_dir, "documents"), digest=True)
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
 def op13_lexical_search(spark, sf_dir):
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_source_mixing, op3_syncmer_fingerprints, op4_quality_votes, op5_preference_format,
-    op6_toxicity_ssk, op7_simhash_trie, op8_best_fit_packing, op9_ordinal_quality, op10_secret_scan, op11_decontamination, op13_lexical_search)}
+    op6_toxicity_ssk, op7_simhash_trie, op8_best_fit_packing, op9_ordinal_quality, op10_secret_scan, op11_decontamination, op12_token_alignment, op13_lexical_search)}
 
 
 def _text(s: str) -> str:
