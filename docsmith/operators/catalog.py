@@ -47,7 +47,8 @@ def attach_profile(records: DataFrame, prof: DataFrame) -> DataFrame:
 
 def build_catalog(help_dump: DataFrame, profile: DataFrame | None, labels: DataFrame | None = None,
                   num_partitions: int | None = None, prepartitioned: bool = False) -> DataFrame:
-    """JOB1: help dump -> catalog records (RECORD schema, plus ``matched``).
+    """JOB1: help dump -> catalog records (RECORD schema, plus ``matched``, and
+    ``seq`` if the dump has it).
     Without a profile every class gets the unknown-class defaults.
     ``prepartitioned``: the dump is bucketed on the document key and its
     module names are already bare (see ``io.write_help_dump_bucketed``)."""
@@ -67,7 +68,7 @@ def build_catalog(help_dump: DataFrame, profile: DataFrame | None, labels: DataF
                 .withColumn("visibility_score", F.lit(DEFAULT_VISIBILITY)).withColumn("matched", F.lit(False)))
     else:
         recs = apply_labels(recs, labels)
-    return recs.select(*RECORD_COLS, "matched")
+    return recs.select(*RECORD_COLS, "matched", *([hp.SEQ] if hp.SEQ in recs.columns else []))
 
 
 def record_method_count():

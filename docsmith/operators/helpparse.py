@@ -37,9 +37,16 @@ DOC_KEYS = ("module_name", "class_name")
 # mix in one window), and exact copies of a row collapse into one document.
 DOC_ID = "_doc"
 _KEYS = DOC_KEYS + (DOC_ID,)
+# Ingestion order of the dump's rows, if it has one (see io.read_help_dump).
+SEQ = "seq"
 _NL = "\n"
 
 
+def _carried(rows: DataFrame) -> list[Column]:
+    """The ingestion order of a document, from whichever of its rows has it."""
+    return [F.max(SEQ).alias(SEQ)] if SEQ in rows.columns else []
+
+
 def with_doc_id(help_df: DataFrame) -> DataFrame:
     """Tag every input row with its document id (hash of the help text)."""
     if DOC_ID in help_df.columns:
@@ -70,15 +77,25 @@ def partition_by_doc(help_df: DataFrame, num_partitions: int | None = None) -> D
     tagged = with_doc_id(help_df)
     if num_partitions:
         tagged = tagged.repartition(num_partitions, *_KEYS)
-    return tagged.dropDuplicates(list(_KEYS))
+    return distinct_texts(tagged)
+
+
+def distinct_texts(tagged: DataFrame) -> DataFrame:
+    """One row per document; with an ingestion order ``seq``, where its text
+    was given last."""
+    if SEQ not in tagged.columns:
+        return tagged.dropDuplicates(list(_KEYS))
+    return tagged.groupBy(*_KEYS).agg(F.first("help_text").alias("help_text"), F.max(SEQ).alias(SEQ))
 
 
 def explode_lines(help_df: DataFrame) -> DataFrame:
     """TXT1: one row per line, ``pos`` from 0, empty lines and order kept."""
-    return with_doc_id(help_df).select(
-        *_KEYS,
+    own = [SEQ] if SEQ in help_df.columns else []
+    lines = with_doc_id(help_df).select(
+        *_KEYS, *own,
         F.posexplode(F.split(F.coalesce(F.col("help_text"), F.lit("")), _NL, -1)).alias("pos", "line"),
     ).withColumn("pos", F.col("pos").cast("bigint"))
+    return lines.withColumns({c: F.when(F.col("pos") == 0, F.col(c)) for c in own})  # a document's first line carries its order
 
 
 def is_section_header(line: Column) -> Column:
@@ -210,6 +227,7 @@ def islands(methods_marked: DataFrame) -> DataFrame:
             F.first("sec_name").alias("section"),
             F.min("pos").alias("start"),
             _listagg_ordered("kept_line").alias("doc_raw"),
+            *_carried(methods_marked),
         )
         .withColumn("doc", finish_cleaned_lines("doc_raw"))
         .withColumn("method", F.when(~F.col("is_cdoc"), F.col("method")))
@@ -246,7 +264,7 @@ def parse_unified(help_df: DataFrame, num_partitions: int | None = None,
                   prepartitioned: bool = False) -> DataFrame:
     """TXT9 as one lineage: class-doc rows (``is_cdoc``) and surviving method
     rows ``(section, method, ord, doc, sec_ord)`` of every text."""
-    src = with_doc_id(help_df).dropDuplicates(list(_KEYS)) if prepartitioned \
+    src = distinct_texts(with_doc_id(help_df)) if prepartitioned \
         else partition_by_doc(help_df, num_partitions)
     marked = mark_methods(mark_lines(explode_lines(src)))
     return resolve_duplicates(islands(marked))
@@ -286,6 +304,7 @@ def nest_sections(unified: DataFrame) -> DataFrame:
         ).alias("methods"),
         F.count(F.when(~F.col("is_cdoc"), F.lit(1))).cast("int").alias("method_count"),
         F.max(F.when(F.col("is_cdoc"), F.col("doc"))).alias("class_doc"),
+        *_carried(unified),
     )
     by_sec_ord = lambda a, b: F.signum(a["sec_ord"] - b["sec_ord"]).cast("int")
     entries = F.filter(
@@ -299,18 +318,21 @@ def nest_sections(unified: DataFrame) -> DataFrame:
         F.map_from_entries(
             F.transform(F.array_sort(entries, by_sec_ord), lambda x: F.struct(x["section"], x["v"]))
         ).alias("sections"),
+        *_carried(per_section),
     )
 
 
 def structured_docs(help_df: DataFrame, num_partitions: int | None = None,
                     prepartitioned: bool = False) -> DataFrame:
     """Help dump -> ``(module_name, class_name, class_doc, structured_docs)``,
-    one row per text (an empty ``sections`` map when it has no method)."""
+    one row per text (an empty ``sections`` map when it has no method), and its
+    ``seq`` if the dump has one."""
     nested = nest_sections(parse_unified(help_df, num_partitions, prepartitioned))
     return nested.select(
         *DOC_KEYS,
         "class_doc",
         F.struct(F.col("class_doc"), F.col("sections")).alias("structured_docs"),
+        *([SEQ] if SEQ in nested.columns else []),
     )
 
 

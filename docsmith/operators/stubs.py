@@ -119,87 +119,125 @@ def annotate_stubs(stubs: DataFrame, records: DataFrame, order_col: str | None =
 
 
 def stub_summary(annotated: DataFrame) -> DataFrame:
-    """AGG9: files written / total, files that got docstrings, docstrings."""
+    """AGG9: files written / total, files that got docstrings, docstrings.  A
+    file with an ``error`` is not written; one that is copied as it was is."""
+    failed = F.col("error").isNotNull() if "error" in annotated.columns else F.lit(False)
     return annotated.agg(
-        F.count(F.lit(1)).alias("files_written"),
+        F.count_if(~failed).alias("files_written"),
         F.count(F.lit(1)).alias("files_total"),
-        F.count_if(F.col("inserted") > 0).alias("files_annotated"),
-        F.sum("inserted").cast("bigint").alias("docstrings_inserted"),
+        F.count_if(~failed & (F.col("inserted") > 0)).alias("files_annotated"),
+        F.coalesce(F.sum(F.when(~failed, F.col("inserted"))), F.lit(0)).cast("bigint").alias("docstrings_inserted"),
     )
 
 
 # --------------------------------------------------------------------------
-# Line-level variant for stub files too large for one task
+# Line-level path: the build's own, for stub files of any size
 # --------------------------------------------------------------------------
 
+#: Lines of a block of :func:`text_line_rows`.
+BLOCK_LINES = 10_000
+#: Why a stub file fails.
+NOT_UTF8 = "not UTF-8"
+_BOM = "\ufeff"
+
+
+def text_line_rows(stubs: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
+    """Line rows, as ``io.read_stub_lines`` gives them, of stub texts
+    ``(module_name, content)``; a null text is an empty file.  Exact copies of a
+    file are one."""
+    text = F.coalesce("content", F.lit(""))
+    src = with_file_id(stubs.select("module_name", "content")).dropDuplicates(["module_name", FILE_ID])
+    lines = src.select(
+        "module_name", F.concat_ws("#", "module_name", F.hex(FILE_ID)).alias("file"), F.octet_length(text).cast("bigint").alias("file_size"),
+        F.length(text).alias("_chars"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"), F.size(F.split(text, "\n", -1)).alias("_n"))
+    after_newline = (F.col("pos") == F.col("_n") - 1) & (F.col("line") == "") & (F.col("_chars") > 0)
+    return lines.filter(~after_newline).select(
+        "module_name", "file", F.floor(F.col("pos") / block_lines).cast("bigint").alias("block"), F.col("pos").cast("bigint").alias("row"), "line", "file_size")
+
+
+def stub_blocks(lines: DataFrame, modules: DataFrame) -> DataFrame:
+    """What a file's lines must know of the rest of it, one row per ``(file,
+    block)``: ``next_nb``, the first line with text in a later block; ``last``,
+    the file's last line; ``tail_nl``, 1 if a newline ends the file; ``bom_row``,
+    the line before which the text source drops a byte order mark; ``error``.
+    The windows are over a file's blocks, not its lines.
+
+    The bytes that lines and the newlines between them leave of the file's size
+    tell the final newline (1 byte) and the mark (3)."""
+    first_line = F.min(F.when(~is_blank("line"), F.struct("row", "line")))
+    blocks = lines.groupBy("module_name", "file", "block").agg(
+        first_line.alias("nb"), F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.first("file_size").alias("file_size"),
+        F.sum(F.octet_length("line") + 1).alias("octets"), F.count_if(~F.is_valid_utf8("line")).alias("bad"))
+    whole = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    later = Window.partitionBy("file").orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    spare = F.max("file_size").over(whole) - (F.sum("octets").over(whole) - 1)
+    known = modules.select("module_name").distinct().withColumn("known", F.lit(True))
+    facts = blocks.select(
+        "module_name", "file", "block",
+        F.min(F.when(F.col("nb").isNotNull(), F.struct("block", F.col("nb.row").alias("row"), F.col("nb.line").alias("line")))).over(later).alias("next_nb"),
+        F.max(F.struct("block", F.col("last_row").alias("row"))).over(whole).alias("last"),
+        (spare % 3).alias("tail_nl"), F.when((spare >= 3) & (F.col("block") == F.min("block").over(whole)), F.col("first_row")).alias("bom_row"), F.sum("bad").over(whole).alias("bad"))
+    # a file of a module without records is copied as it is, whatever its bytes
+    return facts.join(known, "module_name", "left").withColumn("error", F.when((F.col("bad") > 0) & F.col("known"), F.lit(NOT_UTF8))).drop("bad", "known")
+
+
 def annotate_stub_lines(lines: DataFrame, records: DataFrame, order_col: str | None = None) -> DataFrame:
     """JOB3 over line rows ``(module_name, file, block, row, line, file_size)``
     (see ``io.read_stub_lines``); returns the annotated files as line rows
-    ``(module_name, file, block, row, sub, line, nl)``: a file is its lines in
-    ``(block, row, sub)`` order, each followed by a newline where ``nl``.
-
-    Nothing gathers a file: the next non-blank line after a declaration is
-    found by a window within its split (bounded by the split size), and for a
-    declaration whose split ends in blank lines, in a per-split summary table
-    (one row per split) with a window per file over those few rows.  Whether
-    the file ends with a newline (which decides whether its last line can be
-    a declaration, and where text after trailing blank lines goes) comes from
-    the file size."""
-    blank = is_blank("line")
+    ``(module_name, file, block, row, sub, line, nl, error)``: a file is its
+    lines in ``(block, row, sub)`` order, each followed by a newline where
+    ``nl``.  ``error`` is set on all lines of a file that fails: a file whose
+    module has records must be UTF-8.
+
+    Nothing gathers a file: lines are distributed by ``(file, block)``.  The
+    next non-blank line after a declaration is found by a window within its
+    block, and for a declaration whose block ends in blank lines in the block
+    facts (:func:`stub_blocks`), which are joined by the same key."""
     key = F.struct("block", "row")
-    in_block = Window.partitionBy("file", "block").orderBy(F.col("row").desc()).rowsBetween(
-        Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("file", "block").orderBy(F.col("row").desc()).rowsBetween(Window.unboundedPreceding, -1)
     marked = (
-        lines.withColumn("decl", F.regexp_extract("line", DECL_RE, 1))
-        .withColumn("next_in_block", F.min(F.when(~blank, F.struct("row", "line"))).over(in_block))
-    )
-    # one row per split: its first non-blank line and its last line
-    splits = lines.groupBy("file", "block").agg(
-        F.min(F.when(~blank, F.struct("row", "line"))).alias("first_nb"),
-        F.max("row").alias("last_row"),
-    )
-    later = Window.partitionBy("file").orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn(
-        "next_split_nb",
-        F.min(F.when(F.col("first_nb").isNotNull(),
-                     F.struct("block", F.col("first_nb.row").alias("row"), F.col("first_nb.line").alias("line"))))
-        .over(later))
-    # one row per file: last line and whether a newline ends the file
-    files = lines.groupBy("file").agg(
-        F.max(key).alias("last"),
-        (F.first("file_size") - F.sum(F.octet_length("line")) - (F.count(F.lit(1)) - 1)).alias("tail_nl"),
+        lines.join(stub_blocks(lines, records).drop("module_name"), ["file", "block"])
+        .withColumn("decl", F.when(F.col("error").isNull(), F.regexp_extract("line", DECL_RE, 1)))
+        .withColumn("nb", F.min(F.when(~is_blank("line"), F.struct("row", "line"))).over(in_block))
     )
     decls = (
-        marked.filter(F.col("decl") != "")
-        .join(splits.select("file", "block", "next_split_nb"), ["file", "block"])
-        .join(files, "file")
-        .filter((F.col("tail_nl") == 1) | (key != F.col("last")))      # not the file's last piece
+        marked.filter((F.col("decl") != "") & ((F.col("tail_nl") == 1) | (key != F.col("last"))))  # not the file's last piece
         .groupBy("module_name", "file", F.col("decl").alias("class_name"))
-        .agg(F.min_by(F.struct("block", "row", "next_in_block", "next_split_nb", "last", "tail_nl"), key)
-             .alias("d"))
+        .agg(F.min_by(F.struct("block", "row", "nb", "next_nb", "last", "tail_nl"), key).alias("d"))
     )
-    nb_block = F.coalesce(F.when(F.col("d.next_in_block").isNotNull(), F.col("d.block")),
-                          F.col("d.next_split_nb.block"))
-    nb_row = F.coalesce(F.col("d.next_in_block.row"), F.col("d.next_split_nb.row"))
-    nb_line = F.coalesce(F.col("d.next_in_block.line"), F.col("d.next_split_nb.line"))
+    nb_block = F.when(F.col("d.nb").isNotNull(), F.col("d.block")).otherwise(F.col("d.next_nb.block"))
+    nb_line = F.coalesce(F.col("d.nb.line"), F.col("d.next_nb.line"))
     # no non-blank line below: before the last piece -- after the last line when
     # a newline ends the file (the last piece is then the empty text after it)
-    at_end = nb_block.isNull()
-    target_block = F.coalesce(nb_block, F.col("d.last.block"))
-    target_row = F.coalesce(nb_row, F.col("d.last.row"))
-    sub = F.when(at_end & (F.col("d.tail_nl") == 1), F.lit(2)).otherwise(F.lit(0))
+    sub = F.when(nb_block.isNull() & (F.col("d.tail_nl") == 1), F.lit(2)).otherwise(F.lit(0))
     has_doc = F.coalesce(py_lstrip(nb_line).startswith('"""') | py_lstrip(nb_line).startswith("'''"), F.lit(False))
     docs = annotatable(stub_docs(records, order_col).select("module_name", "class_name", "class_doc"))
     inserts = (
         decls.filter(~has_doc)
         .join(docs, ["module_name", "class_name"])
-        .select("module_name", "file", target_block.alias("block"), target_row.alias("row"), sub.alias("sub"),
-                F.concat(F.lit('    """'), F.col("class_doc"), F.lit('"""')).alias("line"))
+        .select("module_name", "file", F.coalesce(nb_block, F.col("d.last.block")).alias("block"),
+                F.coalesce("d.nb.row", "d.next_nb.row", "d.last.row").alias("row"), sub.alias("sub"),
+                F.concat(F.lit('    """'), F.col("class_doc"), F.lit('"""')).alias("line"), F.lit(True).alias("nl"), F.lit(None).cast("string").alias("error"))
     )
-    originals = lines.join(files.select("file", "last", "tail_nl"), "file").select(
-        "module_name", "file", "block", "row", F.lit(1).alias("sub"), "line",
-        ((key != F.col("last")) | (F.col("tail_nl") == 1)).alias("nl"))
-    return originals.unionByName(inserts.withColumn("nl", F.lit(True)))
+    originals = marked.select(
+        "module_name", "file", "block", "row", F.lit(1).alias("sub"), F.concat(F.when(F.col("row") == F.col("bom_row"), F.lit(_BOM)).otherwise(F.lit("")), "line").alias("line"),
+        ((key != F.col("last")) | (F.col("tail_nl") == 1)).alias("nl"), "error")
+    return originals.unionByName(inserts)
+
+
+def stub_files(annotated_lines: DataFrame) -> DataFrame:
+    """One row per stub file of line rows: ``(module_name, path, inserted, error)``."""
+    files = annotated_lines.groupBy("module_name", "file").agg(
+        F.count_if(F.col("sub") != 1).alias("inserted"), F.max("error").alias("error"))
+    return files.select("module_name", F.concat("module_name", F.lit(".pyi")).alias("path"), "inserted", "error")
+
+
+def write_outcomes(files: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """``files`` (see :func:`stub_files`) with the outcome of their writing
+    (``io.file_outcomes``): a file that the sink has not written has an error."""
+    missing = F.when(F.col("bytes").isNull(), F.lit("not written"))
+    own = files.withColumnRenamed("error", "_error").join(outcomes, "path", "left")
+    return own.select("module_name", "path", "inserted", F.coalesce("_error", "error", missing).alias("error"))
 
 
 def write_stub_lines(annotated_lines: DataFrame, path: str) -> None:

@@ -5,8 +5,15 @@ cluster) and the next stage reads it back, so a stage never recomputes the
 previous ones and a lost executor only repeats work of the running stage.
 Stages: ``catalog`` (parse, written; role flags and profile computed
 alongside), ``labels`` (cache + labeller over the parsed docs, written),
-``records`` (parsed docs + profile + labels, written as JSON), ``stubs``,
-``pages`` (class pages, module results, index line rows).
+``records`` (parsed docs + profile + labels, written as JSON), ``stubs`` (line
+rows, and one file a module), ``pages`` (class pages, module results, index line
+rows, and one file a page and index).
+
+Where the dump has an ingestion order (``seq``, see ``io.read_help_dump``), the
+last of a class's texts wins in everything made from the records, and the JSON
+lines are in that order.  A stub file that cannot be annotated is left out and
+counted; the others are written.  Stub and page files replace the previous ones
+only when all are written.
 A failing stage stops the build (the exception propagates after the stage
 name is recorded), like the reference's stop-at-first-failure sequence.
 """
@@ -20,12 +27,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from docsmith.operators import catalog as CT
+from docsmith.operators import helpparse as hp
 from docsmith.operators import labelling as LL
 from docsmith.operators import pages as PG
 from docsmith.operators import stubs as SB
 from docsmith.schema import KEY_METHODS_SHOWN, MAX_DOC_CHARS
 from docsmith.session import scratch_scope
 from docsmith.sources import io as IO
+from docsmith.sources.files import file_outcomes
 
 
 @dataclass
@@ -52,7 +61,7 @@ def _build(
     ports: DataFrame,
     class_methods: DataFrame,
     out_dir: str,
-    stubs: DataFrame | None = None,
+    stubs: DataFrame | str | None = None,
     label_cache: DataFrame | None = None,
     labeller: LL.Labeller | None = None,
     label_concurrency: int | None = None,
@@ -62,9 +71,16 @@ def _build(
     max_doc_chars: int = MAX_DOC_CHARS,
     shown_methods: int = KEY_METHODS_SHOWN,
 ) -> BuildResult:
-    """Run every stage; returns which stages finished and summary counts."""
+    """Run every stage; returns which stages finished and summary counts.
+    ``stubs``: a folder of stub files, which are read by lines in splits, or rows
+    ``(module_name, content)``; ``stub_lines``: line rows in their place."""
     res = BuildResult()
     out = out_dir.rstrip("/")
+    if isinstance(stubs, str):
+        stub_lines = IO.read_stub_lines(spark, stubs)
+    elif stubs is not None:
+        stub_lines = SB.text_line_rows(stubs)
+    order = hp.SEQ if hp.SEQ in help_dump.columns else None
 
     clock = {"t": time.perf_counter()}
 
@@ -93,7 +109,7 @@ def _build(
         stage("labels")
         base = spark.read.parquet(f"{out}/stage/parsed").drop(
             "role", "input_datatype", "output_datatype", "semantic_methods")
-        labels = LL.label_classes(base, label_cache, labeller=labeller, concurrency=label_concurrency,
+        labels = LL.label_classes(base, label_cache, labeller=labeller, order_col=order, concurrency=label_concurrency,
                                   max_doc_chars=max_doc_chars)
         labels.write.mode("overwrite").parquet(f"{out}/stage/labels")
         res.stages.append("labels")
@@ -104,25 +120,19 @@ def _build(
         # Parquet for the next stages (columns prune), JSON as the output
         records.write.mode("overwrite").parquet(f"{out}/stage/records")
         records = spark.read.parquet(f"{out}/stage/records")
-        IO.write_records(records, f"{out}/records")
+        IO.write_records(records, f"{out}/records", order)
         # one record per class for everything rendered from here on
-        PG.current_records(records).write.mode("overwrite").parquet(f"{out}/stage/current")
+        PG.current_records(records, order).write.mode("overwrite").parquet(f"{out}/stage/current")
         recs = spark.read.parquet(f"{out}/stage/current")
         res.stages.append("records")
 
-        if stubs is not None:
-            stage("stubs")
-            annotated = SB.annotate_stubs(stubs, recs)
-            annotated.write.mode("overwrite").parquet(f"{out}/stage/stubs")
-            annotated = spark.read.parquet(f"{out}/stage/stubs")
-            IO.write_stubs(annotated, f"{out}/stubs")
-            res.summary["stubs"] = SB.stub_summary(annotated).first().asDict()
-            res.stages.append("stubs")
-
         if stub_lines is not None:
-            # line-level stubs (io.read_stub_lines): for stub files too large for a task
             stage("stubs")
             SB.write_stub_lines(SB.annotate_stub_lines(stub_lines, recs), f"{out}/stub_lines")
+            annotated = spark.read.parquet(f"{out}/stub_lines")
+            IO.write_stub_files(annotated, f"{out}/stubs")
+            written = SB.write_outcomes(SB.stub_files(annotated), file_outcomes(spark, f"{out}/stubs"))
+            res.summary["stubs"] = SB.stub_summary(written).first().asDict()
             res.stages.append("stubs")
 
         stage("pages")
@@ -132,6 +142,9 @@ def _build(
         results = spark.read.parquet(f"{out}/stage/module_results")
         IO.write_lines(PG.module_index_lines(recs), f"{out}/module_index", ["module_name", "kind", "sort_key"])
         IO.write_lines(PG.main_index_lines(results, version), f"{out}/main_index", ["kind", "sort_key"])
+        module_index = spark.read.parquet(f"{out}/module_index").join(results.filter("status = 'success'"), "module_name", "left_semi")
+        if not results.isEmpty():  # without records the previous files stay
+            IO.write_page_files(spark.read.parquet(f"{out}/pages"), module_index, spark.read.parquet(f"{out}/main_index"), f"{out}/markdown")
         res.summary["pages"] = PG.build_summary(results).first().asDict()
         res.summary["catalog"] = CT.stats(records).first().asDict()
         res.summary["labels"] = LL.label_coverage(records).first().asDict()

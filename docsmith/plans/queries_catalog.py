@@ -13,6 +13,7 @@ from docsmith.operators import filters as FL
 from docsmith.operators import helpparse as hp
 from docsmith.operators import hierarchy as HY
 from docsmith.operators import labelling as LL
+from docsmith.operators import pages as PG
 from docsmith.plans import oracle as O
 from docsmith.plans.queries import _PARSE, _help, query
 from docsmith.plans.views import duck_with, spark_view
@@ -177,17 +178,13 @@ def ord1(spark, sf):
 ranked as (select class_name, method_name, row_number() over (partition by class_name order by method_name) as rn
   from (select distinct class_name, method_name from v_methods where is_callable and not """
        + O.boilerplate_sql("method_name") + """))
-select class_name, string_agg(case when rn <= 20 then '`' || method_name || '`' end, ', ' order by method_name) as shown,
-  cast(greatest(count(*) - 20, 0) as bigint) as more
+select class_name, '## Key Methods' || chr(10) || chr(10) || string_agg(case when rn <= 20 then '`' || method_name || '`' end, ', ' order by method_name) || chr(10)
+  || case when count(*) > 20 then chr(10) || '*...and ' || (count(*) - 20) || ' more*' || chr(10) else '' end as part
 from ranked group by class_name""")
 def ord2(spark, sf):
+    # the "Key Methods" part of a page, as rendered
     sem = HY.semantic_methods(V(spark, sf, "v_methods"))
-    s = F.col("semantic_methods")
-    return sem.select(
-        "class_name",
-        F.array_join(F.transform(F.slice(s, 1, 20), lambda m: F.concat(F.lit("`"), m, F.lit("`"))), ", ").alias("shown"),
-        F.greatest(F.size(s) - 20, F.lit(0)).cast("bigint").alias("more"),
-    )
+    return sem.select("class_name", F.array_join(PG.key_method_lines(F.col("semantic_methods")), "\n").alias("part"))
 
 
 # --------------------------------------------------------------------------

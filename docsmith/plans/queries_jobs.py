@@ -4,6 +4,10 @@ SET2, SCL9)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsmith.operators import catalog as CT
@@ -16,6 +20,7 @@ from docsmith.plans import oracle as O
 from docsmith.plans.queries import query
 from docsmith.plans.views import VIEW_SQL, duck_with, render, spark_view
 from docsmith.schema import RECORD
+from docsmith.sources import files as FS
 from docsmith.sources import io as IO
 
 NL = O.NL
@@ -49,10 +54,12 @@ cache_latest as (
   from v_cache group by class_name)
 """
 
-# Help dump parsed, profiled against the catalog views and labelled from the cache.
-_CATALOG_SQL = (
-    "with recursive " + _views("v_help", "v_classes", "v_bases", "v_ports", "v_help_methods", "v_cache") + ","
-    + O.parse_ctes("v_help") + "," + _profile_ctes("v_help_methods") + "," + _CACHE_LATEST + f""",
+def _catalog_sql(dump: str, more: str = "") -> str:
+    """Help dump ``dump`` (a view, or one of ``more``'s) parsed, profiled against
+    the catalog views and labelled from the cache."""
+    return (
+    "with recursive " + _views("v_help", "v_classes", "v_bases", "v_ports", "v_help_methods", "v_cache") + more + ","
+    + O.parse_ctes(dump) + "," + _profile_ctes("v_help_methods") + "," + _CACHE_LATEST + f""",
 sec_counts as (select module_name, class_name, count(distinct section) as n_sections, count(*) as n_methods
   from resolved group by module_name, class_name),
 catalog as (
@@ -68,6 +75,9 @@ catalog as (
 """)
 
 
+_CATALOG_SQL = _catalog_sql("v_help")
+
+
 def _catalog(spark, sf):
     prof = CT.catalog_profile(V(spark, sf, "v_classes"), V(spark, sf, "v_bases"),
                               HY.ports_from_text(V(spark, sf, "v_ports")), V(spark, sf, "v_help_methods"))
@@ -108,17 +118,6 @@ def job8(spark, sf):
         (F.col("size_mib") * 1048576 == line_bytes).alias("size_is_that_of_the_lines"))
 
 
-@query("jn7_section_semantic_semi", "with " + _views("v_help", "v_help_methods") + "," + O.parse_ctes("v_help") + """
-select module_name, class_name, section, method from resolved r
-where exists (select 1 from v_help_methods m where m.class_name = r.class_name and m.method_name = r.method
-              and m.is_callable and not """ + O.boilerplate_sql("m.method_name") + ")")
-def jn7(spark, sf):
-    _, methods = hp.parse_help(V(spark, sf, "v_help"))
-    sem = HY.semantic_methods(V(spark, sf, "v_help_methods")).select(
-        "class_name", F.explode("semantic_methods").alias("method"))
-    return methods.join(sem, ["class_name", "method"], "left_semi").select(*hp.DOC_KEYS, "section", "method")
-
-
 # --------------------------------------------------------------------------
 # Pages
 # --------------------------------------------------------------------------
@@ -145,7 +144,7 @@ def _fmt_sql(x: str) -> str:
             f"lambda l: not {O.page_noise('l')}), lambda l: {O.strip('l')}), {NL}), ''), '*No documentation available.*') end)")
 
 
-_PAGES_SQL = _CATALOG_SQL + f""",
+_PAGES_CTES = f""",
 sem_list as (select class_name, list(method_name order by method_name) as sem
   from (select distinct class_name, method_name from v_help_methods where is_callable and not {O.boilerplate_sql('method_name')}
         and class_name in (select class_name from v_classes))
@@ -175,6 +174,30 @@ pages as (
   from catalog c left join sem_list s on s.class_name = c.class_name
   left join methods_part m on m.module_name = c.module_name and m.class_name = c.class_name)
 """
+_PAGES_SQL = _CATALOG_SQL + _PAGES_CTES
+
+# The files of a page folder: pages, module indexes, main index.
+_PAGE_FILES_CTES = f""",
+per_module as (select module_name, count(*) as n, string_agg('- [`' || class_name || '`](' || class_name || '.md)'
+    || case when synopsis <> '' then ' - ' || synopsis else '' end, {NL} order by class_name) as bullets from catalog group by module_name),
+page_files as (
+  select path, content from pages
+  union all select module_name || '/index.md', '# ' || module_name || {NL} || {NL} || '**' || n || ' classes**' || {NL} || {NL} || '## Classes' || {NL} || {NL} || bullets from per_module
+  union all select 'index.md', '# VTK Python API Documentation' || {NL} || {NL} || '**VTK (version unknown)**' || {NL} || {NL}
+    || 'This documentation covers ' || count(*) || ' modules with ' || format('{{:,}}', cast(sum(n) as bigint)) || ' classes.' || {NL} || {NL} || '## Modules' || {NL} || {NL}
+    || string_agg('- [' || module_name || '](' || module_name || '/index.md) (' || n || ' classes)', {NL} order by module_name) from per_module)
+"""
+
+
+@query("jn7_section_semantic_semi", _PAGES_SQL + f"""
+select c.module_name, c.class_name, array_to_string(case when c.n_sections > 0 and len(coalesce(s.sem, [])) > 0
+  then ['## Methods', ''] || coalesce(m.lines, []) else [] end, {NL}) as part
+from catalog c left join sem_list s on s.class_name = c.class_name
+left join methods_part m on m.module_name = c.module_name and m.class_name = c.class_name""")
+def jn7(spark, sf):
+    # the "Methods" part of a page: the sections' methods that are semantic, as rendered
+    part = PG.method_section_lines(F.col("structured_docs.sections"), F.col("semantic_methods"))
+    return _catalog(spark, sf).select("module_name", "class_name", F.array_join(part, "\n").alias("part"))
 
 
 @query("job4_class_pages", _PAGES_SQL + "select module_name, class_name, path, content from pages")
@@ -357,12 +380,17 @@ def job6(spark, sf):
 # Stubs
 # --------------------------------------------------------------------------
 
-_STUB_SQL = duck_with("v_stubs", "v_records") + f""",
+_RECORD_DOCS = """
 docs as (select module_name, class_name, arg_max(class_doc, seq) as class_doc
-  from v_records group by module_name, class_name),
+  from v_records group by module_name, class_name),"""
+
+
+def _stub_ctes(stubs: str, docs: str) -> str:
+    """Stubs of a view annotated from ``docs (module_name, class_name, class_doc)``."""
+    return docs + f"""
 sl as (select module_name, cast(i as bigint) as pos, arr[i + 1] as line
   from (select module_name, arr, unnest(range(len(arr))) as i
-        from (select module_name, string_split(coalesce(content, ''), {NL}) as arr from v_stubs))),
+        from (select module_name, string_split(coalesce(content, ''), {NL}) as arr from {stubs}))),
 sl2 as (select *, min(case when {O.strip('line')} <> '' then pos end) over
           (partition by module_name order by pos rows between 1 following and unbounded following) as next_pos,
         max(pos) over (partition by module_name) as last_pos,
@@ -387,6 +415,9 @@ annotated as (
 """
 
 
+_STUB_SQL = duck_with("v_stubs", "v_records") + "," + _stub_ctes("v_stubs", _RECORD_DOCS)
+
+
 @query("jn6_class_declarations", _STUB_SQL + """
 select module_name, class_name, decl_pos, insert_pos, has_docstring from decls""")
 def jn6(spark, sf):
@@ -394,16 +425,56 @@ def jn6(spark, sf):
     return SB.declarations(lines).drop(SB.FILE_ID)
 
 
-@query("jn5_stub_docs_join", _STUB_SQL + """
-select s.module_name, cast(count(d.class_name) as bigint) as n_docs
-from v_stubs s left join docs d on d.module_name = s.module_name group by s.module_name""")
+# stubs of modules with records and, the same text, of modules without
+_STUBS_AND_OTHERS = duck_with("v_stubs", "v_records") + """,
+all_stubs as (select * from v_stubs union all select 'other' || module_name, content from v_stubs),""" + _stub_ctes("all_stubs", _RECORD_DOCS)
+
+
+def _stubs_and_others(spark, sf):
+    stubs = V(spark, sf, "v_stubs")
+    return stubs.unionByName(stubs.withColumn("module_name", F.concat(F.lit("other"), "module_name")))
+
+
+@query("jn5_stub_docs_join", _STUBS_AND_OTHERS + """
+select a.module_name, a.inserted, a.content = s.content as unchanged from annotated a join all_stubs s using (module_name)""")
 def jn5(spark, sf):
-    stubs = V(spark, sf, "v_stubs").select("module_name")
-    docs = LL.latest_per_key(V(spark, sf, "v_records").select("module_name", "class_name", "seq"),
-                             ["module_name", "class_name"], "seq")
-    per_module = docs.groupBy("module_name").agg(F.count(F.lit(1)).alias("n_docs"))
-    return stubs.join(per_module, "module_name", "left").select(
-        "module_name", F.coalesce("n_docs", F.lit(0)).cast("bigint").alias("n_docs"))
+    # stubs of modules without records pass unchanged
+    stubs = _stubs_and_others(spark, sf)
+    out = SB.annotate_stubs(stubs, V(spark, sf, "v_records"), order_col="seq").alias("a").join(stubs.alias("s"), "module_name")
+    return out.select("module_name", "inserted", (F.col("a.content") == F.col("s.content")).alias("unchanged"))
+
+
+# stub files of which some are no UTF-8: with a byte more, in modules whose name has an even length
+_BROKEN = "length(module_name) % 2 = 0"
+_STUB_FILES_SQL = _STUBS_AND_OTHERS + f""",
+files as (select module_name, path, inserted, content, {_BROKEN} as broken, not starts_with(module_name, 'other') as known,
+  (select s.content from all_stubs s where s.module_name = annotated.module_name) as original from annotated)"""
+
+
+def _stub_file_folder(spark, sf):
+    """Folders of the stub files and of the annotated files made from them."""
+    text = F.col("content").cast("binary")
+    rows = _stubs_and_others(spark, sf).select(
+        F.concat("module_name", F.lit(".pyi")).alias("path"),
+        F.when(F.expr(_BROKEN), F.concat(text, F.lit(b"# \xff\n"))).otherwise(text).alias("data"))
+    given, made = _scratch(spark, "stub-files"), _scratch(spark, "stubs")
+    FS.write_files(rows, given)
+    annotated = SB.annotate_stub_lines(IO.read_stub_lines(spark, given), V(spark, sf, "v_records"), order_col="seq")
+    SB.write_stub_lines(annotated, f"{made}-lines")
+    annotated = spark.read.parquet(f"{made}-lines")
+    IO.write_stub_files(annotated, made)
+    return annotated, made
+
+
+@query("job3_stub_files", _STUB_FILES_SQL + """
+select path, case when broken and known then 'not UTF-8' end as error,
+  case when not broken then md5(encode(content)) when not known then md5(encode(original) || '# \\xFF\\x0A'::blob) end as digest from files""")
+def job3_files(spark, sf):
+    """Stub files read by lines, annotated and written as files: the bytes of
+    each, or why it failed."""
+    _, made = _stub_file_folder(spark, sf)
+    files = FS.read_files(spark, made, "*.pyi").select("path", F.md5("data").alias("digest"))
+    return FS.file_outcomes(spark, made).join(files, "path", "left").select("path", "error", "digest")
 
 
 @query("job3_annotate_stubs", _STUB_SQL + "select module_name, path, content, inserted from annotated")
@@ -411,12 +482,13 @@ def job3(spark, sf):
     return SB.annotate_stubs(V(spark, sf, "v_stubs"), V(spark, sf, "v_records"), order_col="seq")
 
 
-@query("agg9_stub_summary", _STUB_SQL + """
-select cast(count(*) as bigint) as files_written, cast(count(*) as bigint) as files_total,
-  cast(count(*) filter (where inserted > 0) as bigint) as files_annotated, cast(sum(inserted) as bigint) as docstrings_inserted
-from annotated""")
+@query("agg9_stub_summary", _STUB_FILES_SQL + """
+select cast(count(*) filter (where not (broken and known)) as bigint) as files_written, cast(count(*) as bigint) as files_total,
+  cast(count(*) filter (where inserted > 0 and not broken) as bigint) as files_annotated,
+  cast(sum(inserted) filter (where not broken) as bigint) as docstrings_inserted from files""")
 def agg9(spark, sf):
-    return SB.stub_summary(SB.annotate_stubs(V(spark, sf, "v_stubs"), V(spark, sf, "v_records"), order_col="seq"))
+    annotated, made = _stub_file_folder(spark, sf)
+    return SB.stub_summary(SB.write_outcomes(SB.stub_files(annotated), FS.file_outcomes(spark, made)))
 
 
 # --------------------------------------------------------------------------
@@ -478,22 +550,17 @@ def agg5(spark, sf):
 
 
 @query("ord4_page_method_order", _PAGES_SQL + """
-select module_name, class_name, {sec} as section_label,
-  string_agg(method, ',' order by method) as methods_in_page_order
-from key_methods group by module_name, class_name, section, sec_ord""".format(
-    sec=O.strip("replace(section, '|', '')")))
+select c.module_name, c.class_name, coalesce(h.headings, '') as headings from catalog c left join (
+  select module_name, class_name, string_agg(headings, ' ' order by sec_ord) as headings from (
+    select module_name, class_name, sec_ord, '### ' || {sec} || ' ' || string_agg('#### `' || method || '`', ' ' order by method) as headings
+    from key_methods group by module_name, class_name, section, sec_ord) group by module_name, class_name) h
+  on h.module_name = c.module_name and h.class_name = c.class_name""".format(sec=O.strip("replace(section, '|', '')")))
 def ord4(spark, sf):
-    # ORD4 on class pages: per section, the key methods in name order, as rendered.
+    # the headings of the "Methods" part in page order: sections as they stand, methods by name.
     # (Index orderings are the sort keys of the index line rows, see job5/job6.)
-    recs = _catalog(spark, sf)
-    secs = F.explode(F.map_entries(F.col("structured_docs.sections"))).alias("s")
-    return recs.select("module_name", "class_name", "semantic_methods", secs).select(
-        "module_name", "class_name",
-        PG.section_label(F.col("s.key")).alias("section_label"),
-        F.array_join(F.array_sort(F.filter(F.map_keys(F.col("s.value.methods")),
-                                           lambda m: F.array_contains(F.col("semantic_methods"), m))), ",")
-        .alias("methods_in_page_order"),
-    ).filter(F.col("methods_in_page_order") != "")
+    part = PG.method_section_lines(F.col("structured_docs.sections"), F.col("semantic_methods"))
+    headings = F.filter(part, lambda x: x.startswith("### ") | x.startswith("#### `"))
+    return _catalog(spark, sf).select("module_name", "class_name", F.array_join(headings, " ").alias("headings"))
 
 
 @query("src4_help_dump_profile", "with " + _views("v_help") + f""",
@@ -512,23 +579,63 @@ def src4(spark, sf):
     ).drop(hp.DOC_ID)
 
 
-@query("src5_stub_declarations", _STUB_SQL + """
-select module_name, cast(count(*) as bigint) as n_declarations,
-  cast(count(*) filter (where has_docstring) as bigint) as n_with_docstring from decls group by module_name""")
+@query("src5_stub_declarations", _STUB_SQL + """,
+n_decls as (select module_name, count(*) as n, count(*) filter (where has_docstring) as n_doc from decls group by module_name),
+given as (select module_name, case when length(module_name) % 2 = 0 then content else content || chr(10) end as content from v_stubs)
+select module_name, md5(content) as whole, md5(content) as by_lines, cast(coalesce(n, 0) as bigint) as n_declarations,
+  cast(coalesce(n_doc, 0) as bigint) as n_with_docstring from given left join n_decls using (module_name)""")
 def src5(spark, sf):
-    decls = SB.declarations(SB.stub_lines(V(spark, sf, "v_stubs").repartition("module_name")))
-    return decls.groupBy("module_name").agg(
+    # stub files, some without a newline at their end, read whole and by lines
+    path = _scratch(spark, "stub-files")
+    text = F.when(F.length("module_name") % 2 == 0, F.col("content")).otherwise(F.concat("content", F.lit("\n")))
+    FS.write_files(V(spark, sf, "v_stubs").select(F.concat("module_name", F.lit(".pyi")).alias("path"), text.alias("data")), path)
+    whole = IO.read_stubs(spark, path)
+    lines = SB.annotate_stub_lines(IO.read_stub_lines(spark, path), V(spark, sf, "v_records").filter("false"))
+    by_lines = lines.withColumn("text", F.concat("line", F.when(F.col("nl"), F.lit("\n")).otherwise(F.lit("")))).groupBy("module_name").agg(
+        F.md5(F.expr("listagg(text) within group (order by block, row, sub)")).alias("by_lines"))
+    decls = SB.declarations(SB.stub_lines(whole)).groupBy("module_name").agg(
         F.count(F.lit(1)).alias("n_declarations"), F.count_if("has_docstring").alias("n_with_docstring"))
+    return whole.select("module_name", F.md5("content").alias("whole")).join(by_lines, "module_name", "left").join(decls, "module_name", "left").select(
+        "module_name", "whole", "by_lines", F.coalesce("n_declarations", F.lit(0)).alias("n_declarations"), F.coalesce("n_with_docstring", F.lit(0)).alias("n_with_docstring"))
+
+
+@query("src2_missing_sources", duck_with("v_records", "v_stubs") + """
+select 'records' as source, 'written' as folder, count(*) as n_rows, false as failed from v_records
+union all select 'records', 'missing', 0, false
+union all select 'records, required', 'missing', 0, true
+union all select 'stubs', 'written', count(*), false from v_stubs
+union all select 'stubs', 'missing', 0, false""")
+def src2(spark, sf):
+    """Pages and stubs take a missing source as empty; statistics and search fail."""
+    path = _scratch(spark, "sources")
+    recs = V(spark, sf, "v_records")
+    recs.select("module_name", "class_name", "class_doc", "synopsis").write.json(f"{path}/records")
+    FS.write_files(V(spark, sf, "v_stubs").select(F.concat("module_name", F.lit(".pyi")).alias("path"), F.col("content").alias("data")), f"{path}/stubs")
+
+    def row(source, folder, df):
+        failed = df is None
+        n = spark.range(1).select(F.lit(0).cast("bigint").alias("n_rows")) if failed else df.agg(F.count(F.lit(1)).alias("n_rows"))
+        return n.select(F.lit(source).alias("source"), F.lit(folder).alias("folder"), "n_rows", F.lit(failed).alias("failed"))
 
+    try:
+        required = IO.read_records(spark, f"{path}/none")
+    except AnalysisException:
+        required = None
+    rows = [row("records", "written", IO.read_records(spark, f"{path}/records")), row("records", "missing", IO.read_records(spark, f"{path}/none", missing_ok=True)),
+            row("records, required", "missing", required),
+            row("stubs", "written", IO.read_stubs(spark, f"{path}/stubs")), row("stubs", "missing", IO.read_stubs(spark, f"{path}/none"))]
+    return reduce(DataFrame.unionByName, rows)
 
-@query("snk4_page_rows", _PAGES_SQL + """
-select module_name, cast(count(*) as bigint) as pages, cast(sum(length(content)) as bigint) as chars
-from pages group by module_name""")
+
+@query("snk4_page_files", _PAGES_SQL + _PAGE_FILES_CTES + "select path, content from page_files")
 def snk4(spark, sf):
-    # what the page sink writes per module partition
-    pages = PG.class_page(_catalog(spark, sf))
-    return pages.groupBy("module_name").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum(F.length("content")).cast("bigint").alias("chars"))
+    """Pages and indexes written as files and read back."""
+    from docsmith.session import materialize
+
+    recs = materialize(_catalog(spark, sf), "catalog")
+    path = _scratch(spark, "pages")
+    IO.write_page_files(PG.module_pages(recs), PG.module_index_lines(recs), PG.main_index_lines(PG.module_results(recs)), path)
+    return FS.read_files(spark, path, "*.md").select("path", F.decode("data", "UTF-8").alias("content"))
 
 
 def _stub_line_rows(stubs, lines_per_split: int = 7):
@@ -602,3 +709,38 @@ def job10(spark, sf):
         F.size(F.map_keys(secs)).cast("bigint").alias("n_sections"),
         CT.record_method_count().alias("n_methods"),
     )
+
+
+# Some classes are given again with another text, and some of these once more
+# with the first one, in folders that are read in this order.
+_LAST_SQL = _catalog_sql("v_help_last", "," + _views("v_help_again", "v_help_stubs") + """,
+v_help_last as (
+  select * from v_help where not exists (select 1 from v_help_again a where a.class_name = v_help.class_name and a.conv_id % 8 = 4)
+  union all select module_name, class_name, help_text from v_help_again where conv_id % 8 = 4)""") + _PAGES_CTES + _PAGE_FILES_CTES + "," + _stub_ctes(
+    "v_help_stubs", """
+docs as (select module_name, class_name, class_doc from catalog),""") + """
+select 'page' as kind, path, content from page_files
+union all select 'stub', path, content from annotated
+union all select 'record', module_name || '/' || class_name, class_doc from catalog"""
+
+
+@query("job10_last_wins", _LAST_SQL)
+def job10_last(spark, sf):
+    """The build on a dump that gives classes again: the last text of a class is
+    in the pages, the indexes, the stubs, and last in the records' file."""
+    from docsmith.plans.jobs import build_all
+
+    again, first = V(spark, sf, "v_help_again"), V(spark, sf, "v_help")
+    dump, out = _scratch(spark, "dump"), _scratch(spark, "job10")
+    first.write.parquet(f"{dump}/1")
+    again.drop("conv_id").write.parquet(f"{dump}/2")
+    first.join(again.filter("conv_id % 8 = 0"), "class_name", "left_semi").write.parquet(f"{dump}/3")
+    res = build_all(spark, IO.read_help_dump(spark, f"{dump}/*", with_seq=True), V(spark, sf, "v_classes"), V(spark, sf, "v_bases"),
+                    HY.ports_from_text(V(spark, sf, "v_ports")), V(spark, sf, "v_help_methods"), out, stubs=V(spark, sf, "v_help_stubs"),
+                    label_cache=LL.dedupe_label_cache(V(spark, sf, "v_cache"), "seq"))
+    assert res.ok, res.failed_stage
+    files = lambda kind, at, glob: FS.read_files(spark, at, glob).select(F.lit(kind).alias("kind"), "path", F.decode("data", "UTF-8").alias("content"))
+    recs = IO.read_records(spark, f"{out}/records", with_seq=True)
+    last = LL.latest_per_key(recs.select("module_name", "class_name", "class_doc", "seq"), ["module_name", "class_name"], "seq")
+    return files("page", f"{out}/markdown", "*.md").unionByName(files("stub", f"{out}/stubs", "*.pyi")).unionByName(
+        last.select(F.lit("record").alias("kind"), F.concat_ws("/", "module_name", "class_name").alias("path"), F.col("class_doc").alias("content")))

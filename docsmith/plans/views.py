@@ -112,6 +112,22 @@ select concat('vtk', source) as module_name, {AGG(decl, doc_id)} as content from
     case doc_id % 5 when 0 then concat('    \"\"\"present\"\"\"', {NL}) when 1 then {NL} else '' end, '    def F(self): ...', {NL}) as decl
   from {T:documents}) d
 group by source
+""",
+    # Our addition: some classes of the help dump given again with another text.
+    "v_help_again": """
+select concat('vtkMod', conv_id % 7) as module_name, concat('vtkConv', conv_id) as class_name,
+  concat('Help on class vtkConv', conv_id, ':', {NL}, {NL}, 'class vtkConv', conv_id, '(vtkBase)', {NL}, ' |  Given again: ', conv_id, {NL},
+    ' |  Method resolution order:', {NL}, ' |      vtkConv', conv_id, {NL}, ' |  ', {NL}, ' |  Methods defined here:', {NL}, ' |  ', {NL},
+    ' |  Turn0(self) -> str', {NL}, ' |      Given again.', {NL}) as help_text, conv_id
+from (select distinct conv_id from {T:conversations} where conv_id % 4 = 0) c
+""",
+    # Our addition: stubs of the help-dump classes.
+    "v_help_stubs": """
+select concat('vtkMod', conv_id % 7) as module_name, {AGG(decl, conv_id)} as content from (
+  select conv_id, concat('class vtkConv', conv_id, '(vtkBase):', {NL},
+    case conv_id % 5 when 0 then concat('    \"\"\"present\"\"\"', {NL}) when 1 then {NL} else '' end, '    def F(self): ...', {NL}) as decl
+  from (select distinct conv_id from {T:conversations}) c) d
+group by conv_id % 7
 """,
     # Our addition: catalog methods for the help-dump classes, so that page
     # rendering (key methods, method sections) has matching methods to show.

@@ -153,3 +153,12 @@ STUBS = T.StructType([
     T.StructField("module_name", T.StringType(), True),
     T.StructField("content", T.StringType(), True),
 ])
+
+STUB_LINES = T.StructType([
+    T.StructField("module_name", T.StringType(), True),
+    T.StructField("file", T.StringType(), True),
+    T.StructField("block", T.LongType(), True),
+    T.StructField("row", T.LongType(), True),
+    T.StructField("line", T.StringType(), True),
+    T.StructField("file_size", T.LongType(), True),
+])

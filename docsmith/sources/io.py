@@ -1,4 +1,4 @@
-"""Sources and sinks (SRC1-SRC5, SNK1-SNK4).
+"""Sources and sinks (SRC1-SRC5, SNK1-SNK4; files as such: :mod:`docsmith.sources.files`).
 
 All readers pass an explicit schema (no inference pass over the data) and
 return DataFrames whose scans prune columns and push filters.  ``missing_ok``
@@ -8,6 +8,8 @@ the error propagates (stats and search report it).
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,9 @@ from pyspark.sql import types as T
 
 from docsmith.functions.text import bare_module
 from docsmith.operators.labelling import dedupe_label_cache
-from docsmith.schema import HELP_DUMP, LABEL, RECORD, STUBS
+from docsmith.operators.pages import INDEX_FILE
+from docsmith.schema import HELP_DUMP, LABEL, RECORD, STUB_LINES, STUBS
+from docsmith.sources.files import together, write_files
 
 
 def _missing(e: Exception) -> bool:
@@ -95,20 +99,34 @@ def _whole_files(spark: SparkSession, path: str, glob: str | None = None, recurs
     )
 
 
-def read_help_dump(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def _empty_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """(file_path, file_name) of the files directly in ``path`` that have no
+    bytes: file scans leave them out, the file listing has them."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    listed = [(f, unquote(f.rpartition("/")[2])) for f in files.inputFiles()]
+    return spark.createDataFrame(listed, "file_path string, file_name string").join(
+        files.filter("length > 0").select(F.col("_metadata.file_name").alias("file_name")), "file_name", "left_anti")
+
+
+def read_help_dump(spark: SparkSession, path: str, fmt: str = "parquet", with_seq: bool = False) -> DataFrame:
     """SRC4: help dump ``(module_name, class_name, help_text)``.
 
     ``fmt='parquet'`` reads a table with those columns.  ``fmt='text'`` reads
     one file per class laid out as ``<module>/<class>.txt`` (whole file = one
-    text; module and class from the path)."""
+    text; module and class from the path).  ``with_seq`` adds the ingestion order
+    ``seq`` (:func:`file_order`), which the parse and the build carry along, so
+    that of two texts of a class the last one wins."""
     if fmt == "text":
         df = _whole_files(spark, path)
         return df.select(
             bare_module(F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1)).alias("module_name"),
             F.regexp_extract("file_name", r"^(.*?)(\.[^.]*)?$", 1).alias("class_name"),
             F.col("text").alias("help_text"),
+            *([F.struct(F.col("file_path").alias("file"), F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("row")).alias("seq")]
+              if with_seq else []),
         )
     df = spark.read.schema(HELP_DUMP).parquet(path)
+    df = df.withColumn("seq", file_order()) if with_seq else df
     return df.withColumn("module_name", bare_module("module_name"))
 
 
@@ -121,14 +139,21 @@ def read_stubs(spark: SparkSession, path: str, missing_ok: bool = True) -> DataF
         if missing_ok and _missing(e):
             return _empty(spark, STUBS)
         raise
-    return df.select(
+    read = df.select(
         F.regexp_extract("file_name", r"^(.*)\.pyi$", 1).alias("module_name"),
         F.col("text").alias("content"),
     )
+    return read.unionByName(_empty_files(spark, path, "*.pyi").select(
+        F.regexp_extract("file_name", r"^(.*)\.pyi$", 1).alias("module_name"), F.lit("").alias("content")))
 
 
-def write_records(records: DataFrame, path: str) -> None:
-    """SNK1: one JSON object per record; nulls written, non-ASCII kept."""
+def write_records(records: DataFrame, path: str, order_col: str | None = None) -> None:
+    """SNK1: one JSON object per record; nulls written, non-ASCII kept.  With
+    ``order_col`` the lines are in that order over all files (range partitions),
+    so that a reader for whom the last line of a class wins (``with_seq``) sees
+    the record that the order makes the last."""
+    if order_col:
+        records = records.repartitionByRange(order_col).sortWithinPartitions(order_col)
     (records.select(*[f.name for f in RECORD.fields]).write.mode("overwrite")
      .option("ignoreNullFields", "false").json(path))
 
@@ -144,6 +169,38 @@ def write_stubs(annotated: DataFrame, path: str) -> None:
     annotated.select("module_name", "path", "content").write.mode("overwrite").parquet(path)
 
 
+def write_stub_files(annotated_lines: DataFrame, path: str) -> None:
+    """SNK3 as files, one ``.pyi`` a module, from the line rows of
+    ``stubs.annotate_stub_lines``: all files are replaced together, and a file
+    with an error is left out (its outcome says why)."""
+    rows = annotated_lines.withColumn("path", F.concat("module_name", F.lit(".pyi")))
+    good = together(rows.filter(F.col("error").isNull()), "file", "block", "row", "sub").select(
+        "path", F.concat(F.col("line").cast("binary"), F.when(F.col("nl"), F.lit("\n")).otherwise(F.lit("")).cast("binary")).alias("data"),
+        F.col("file").alias("owner"), "error")
+    failed = rows.filter(F.col("error").isNotNull()).groupBy("path").agg(F.min("error").alias("error")).select(
+        "path", F.lit(None).cast("binary").alias("data"), F.lit(None).cast("string").alias("owner"), "error")
+    write_files(good.unionByName(failed), path)
+
+
+def page_files(pages: DataFrame, *indexes: DataFrame) -> DataFrame:
+    """Rows of the file sink: a file for each page, and one for each index from
+    its line rows.  A page that has the name of an index gives way to it."""
+    lines = indexes[0].select("path", "kind", "sort_key", "line")
+    for more in indexes[1:]:
+        lines = lines.unionByName(more.select("path", "kind", "sort_key", "line"))
+    begins = (F.col("kind") == 0) & (F.col("sort_key") == "00")
+    lines = together(lines, "kind", "sort_key").select("path", F.when(begins, F.col("line")).otherwise(F.concat(F.lit("\n"), F.col("line"))).alias("data"))
+    own = pages.filter(F.substring_index("path", "/", -1) != INDEX_FILE)
+    return own.select("path", F.col("content").alias("data")).unionByName(lines)
+
+
+def write_page_files(pages: DataFrame, module_index: DataFrame, main_index: DataFrame, path: str) -> None:
+    """SNK4 as files: ``<module>/<class>.md``, ``<module>/index.md`` and
+    ``index.md`` under the folder ``path``, which is replaced as a whole once
+    all are written (see :mod:`docsmith.sources.files`)."""
+    write_files(page_files(pages, module_index, main_index), path)
+
+
 def write_pages(pages: DataFrame, path: str) -> None:
     """SNK4: pages as rows ``(module_name, path, content)``, partitioned by
     module so a module's pages can be read back (or pruned) on their own.
@@ -169,19 +226,34 @@ def write_help_dump_bucketed(help_dump: DataFrame, table: str, buckets: int) ->
      .sortBy("module_name", "class_name").saveAsTable(table))
 
 
-def read_stub_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_stub_lines(spark: SparkSession, path: str, missing_ok: bool = True) -> DataFrame:
     """SRC5, line by line: every ``*.pyi`` directly in ``path`` as rows
     ``(module_name, file, block, row, line, file_size)``.  Files are split
     like any text input, so a huge stub file is read by many tasks;
     ``(file, block, row)`` orders a file's lines (row ids grow within a split).
-    Lines are separated by ``\\n`` only, as ``str.split('\\n')`` does."""
-    df = (spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.pyi")
-          .option("recursiveFileLookup", "false").text(path))
-    return df.select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.pyi$", 1).alias("module_name"),
+    Lines are separated by ``\\n`` only, as ``str.split('\\n')`` does; a line keeps
+    its bytes, also such as are no UTF-8.  A file that is empty but for a byte
+    order mark, which has no line for the text source, is one empty line."""
+    options = {"pathGlobFilter": "*.pyi", "recursiveFileLookup": "false"}
+    try:
+        lines = spark.read.options(**options).option("lineSep", "\n").text(path)
+        files = spark.read.format("binaryFile").options(**options).load(path)
+        lines.schema, files.schema  # noqa: B018
+    except AnalysisException as e:
+        if missing_ok and _missing(e):
+            return _empty(spark, STUB_LINES)
+        raise
+    module = lambda name: F.regexp_extract(name, r"^(.*)\.pyi$", 1).alias("module_name")
+    read = lines.select(
+        module("_metadata.file_name"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
         F.col("value").alias("line"),
         F.col("_metadata.file_size").alias("file_size"),
     )
+    one_line = [F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("row"), F.lit("").alias("line")]
+    mark = files.filter(F.col("length") == 3).filter(F.col("content") == b"\xef\xbb\xbf").select(
+        module("_metadata.file_name"), F.col("_metadata.file_path").alias("file"), *one_line, F.col("length").alias("file_size"))
+    none = _empty_files(spark, path, "*.pyi").select(module("file_name"), F.col("file_path").alias("file"), *one_line, F.lit(0).cast("bigint").alias("file_size"))
+    return read.unionByName(mark).unionByName(none)

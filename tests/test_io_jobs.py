@@ -101,7 +101,7 @@ def test_build_all_end_to_end(spark, tmp_out):
     assert res.summary["catalog"] == {"total_records": 3, "modules": 2, "total_methods": 5}
     assert res.summary["labels"] == {"classified": 3, "total": 3}
     assert res.summary["pages"]["modules_ok"] == 2
-    stub = spark.read.parquet(f"{tmp_out}/out/stubs").first()
+    stub = IO.read_stubs(spark, f"{tmp_out}/out/stubs").first()
     assert stub.content.startswith('class vtkFoo(vtkAlgorithm):\n    """vtkFoo - a test class.')
     pages = spark.read.parquet(f"{tmp_out}/out/pages")
     assert pages.count() == 3
