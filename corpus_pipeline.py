@@ -32,9 +32,9 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose expected tokens meet the target shares, as large as they
-    and the budget allow."""
-    return op2_mixing.sample_to_targets(docs)
+    """A sample of the budget's size whose expected tokens meet the target
+    shares as far as the documents' tokens allow."""
+    return op2_mixing.sample_mix(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
