@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docsmith.llm.common import let
 from docsmith.session import materialize
 
 #: Fixed patterns in the order in which ties are listed; the value is a group,
@@ -55,6 +56,8 @@ SMOOTHING = 0.5
 #: Log odds of a candidate token being random before its characters are seen.
 PRIOR_LOG_ODDS = -10.0
 MASK = "[SECRET]"
+#: Characters of the pieces in which a text is rewritten.
+CHUNK = 4096
 
 
 def _matches(text: Column, kind: str, pattern: str, group: int) -> Column:
@@ -88,15 +91,15 @@ def without_base(text: Column, by) -> Column:
     return text
 
 
-def found_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, doc_id, kind, start, end, value): base spans and candidate
+def found_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(rid, doc_id, *keep, kind, start, end, value): base spans and candidate
     tokens, and one row with a null kind for a row that has none.  ``rid``
     numbers the rows of ``docs``.  Positions are code points, end exclusive."""
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *keep)
     rest = without_base(F.col("text"), lambda m: F.repeat(F.lit("\n"), F.length(m)))  # positions stay
     rows = rows.withColumn("rest", rest)
     found = F.concat(*[_matches(F.col("text"), k, p, g) for k, (p, g, _) in PATTERNS.items()], _matches(F.col("rest"), MARKOV, CANDIDATE, 0))
-    each = rows.select("rid", "doc_id", F.explode_outer(found).alias("m")).select("rid", "doc_id", "m.*").repartition("rid")
+    each = rows.select("rid", "doc_id", *keep, F.explode_outer(found).alias("m")).select("rid", "doc_id", *keep, "m.*").repartition("rid")
     order = W.partitionBy("rid", "kind").orderBy("i")
     size = F.length("token").cast("long")
     end = F.sum(F.col("before") + size).over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
@@ -104,7 +107,7 @@ def found_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     placed = each.withColumn("end", end).withColumn("start", F.col("end") - size)
     fails = F.length("value") < least[F.col("kind")]
     kind = F.when(~fails, F.col("kind"))  # a failing match leaves its document's row
-    return placed.select("rid", "doc_id", kind.alias("kind"), "start", "end", "value")
+    return placed.select("rid", "doc_id", *keep, kind.alias("kind"), "start", "end", "value")
 
 
 def generated_samples(spark: SparkSession, n: int = GENERATED_SAMPLES) -> DataFrame:
@@ -163,11 +166,15 @@ def log_odds(token: Column, model: list[float], prior: float = PRIOR_LOG_ODDS) -
     return F.aggregate(F.split(token, ""), first, step, lambda s: s["odds"])
 
 
+def _is_secret(model: list[float]) -> Column:
+    return F.when(F.col("kind") == MARKOV, log_odds(F.col("value"), model) > 0).otherwise(F.col("kind").isNotNull())
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_<kind>, base_sha256, spans, n_markov."""
     found = materialize(found_tokens(docs, id_col, text_col), "secret-tokens")
     model = fit_markov(labelled_samples(found))
-    secret = F.when(F.col("kind") == MARKOV, log_odds(F.col("value"), model) > 0).otherwise(F.col("kind").isNotNull())
+    secret = _is_secret(model)
     ranks = F.create_map(*[F.lit(x) for i, k in enumerate([*PATTERNS, MARKOV]) for x in (k, i)])
     span = F.struct("start", ranks[F.col("kind")].alias("rank"), "kind", "end")
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -178,11 +185,46 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return per.select("doc_id", *[f"n_{k}" for k in PATTERNS], F.sha2(told(base), 256).alias("base_sha256"), told(F.col("all")).alias("spans"), "n_markov")
 
 
-def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK) -> DataFrame:
-    """``docs`` with every secret replaced by ``mask``.  The model is fitted
-    on all of ``docs`` first; texts are then rewritten in their own rows."""
-    found = materialize(found_tokens(docs.select(F.lit(None).cast("long").alias("id"), F.col(text_col).alias("text")), "id", "text"), "secret-tokens")
+def united_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, spans): the union of (start, end) of each key, as sorted spans
+    without overlap.  Spans that touch stay two."""
+    order = W.partitionBy(*keys).orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    fresh = spans.select(*keys, "start", "end").distinct().withColumn("fresh", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int"))
+    islands = fresh.withColumn("island", F.sum("fresh").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    joined = islands.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return joined.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+
+
+def _part(chunks: Column, first: Column, last: Column) -> Column:
+    """Characters ``first`` to ``last`` of a text in chunks of CHUNK each, so that
+    a cut costs a chunk, not the text before it."""
+    i, j = F.floor(first / CHUNK).cast("int"), F.floor(last / CHUNK).cast("int")
+    chunk = lambda k: F.coalesce(F.get(chunks, k), F.lit(""))
+    at = (first - i * CHUNK + 1).cast("int")
+    within = F.substr(chunk(i), at, (last - first).cast("int"))
+    across = F.concat(F.substr(chunk(i), at), F.array_join(F.slice(chunks, i + 2, F.greatest(j - i - 1, F.lit(0))), ""), F.substr(chunk(j), F.lit(1), (last - j * CHUNK).cast("int")))
+    return F.when(i == j, within).otherwise(across)
+
+
+def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
+    """``text`` with each of the disjoint, sorted spans replaced by ``mask``."""
+    chunks = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+    none = F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))
+    ends = F.struct(F.length(text).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))
+    edges = F.concat(F.array(none), spans, F.array(ends))
+    kept = lambda c: F.transform(F.sequence(F.lit(1), F.size(edges) - 1), lambda i: _part(c, F.get(edges, i - 1)["end"], F.get(edges, i)["start"]))
+    return let(chunks, lambda c: F.array_join(kept(c), mask))
+
+
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = MASK) -> DataFrame:
+    """``docs`` with every span that ``scan`` tells replaced by ``mask``, spans
+    that overlap by one.  The spans are found once and joined back to the texts
+    they are of, by two hashes of the text: copies share them."""
+    text = F.col(text_col)
+    own = docs.select("*", F.xxhash64(F.lit(1), text).alias("_k1"), F.xxhash64(F.lit(2), text).alias("_k2"))
+    found = materialize(found_tokens(own, id_col, text_col, keep=("_k1", "_k2")), "secret-tokens")
     model = fit_markov(labelled_samples(found))
-    clean = without_base(F.col(text_col), lambda m: F.lit(mask))
-    clean = _replaced(clean, CANDIDATE, lambda m: F.when(log_odds(m, model) > 0, F.lit(mask)).otherwise(m))
-    return docs.withColumn(text_col, clean)
+    spans = united_spans(found.filter(_is_secret(model)), ["_k1", "_k2"]).withColumnRenamed("spans", "_spans")
+    clean = F.when(F.col("_spans").isNull(), text).otherwise(masked(text, F.col("_spans"), mask))
+    return own.join(spans, ["_k1", "_k2"], "left").withColumn(text_col, clean).select(docs.columns)
