@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsmith.llm.common import ship_by_value
@@ -67,16 +67,16 @@ def simhash(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp long: the 64 bits as a signed number) of every row."""
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp long: the 64 bits as a signed number, *keep) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((simhash(t.as_py(), shingle_words) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *keep])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    return rows.mapInArrow(run, ", ".join(["doc_id long, fp long", *[f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep]]))
 
 
 def _prefix(fp, bits: int):
@@ -199,34 +199,46 @@ def components(links: DataFrame) -> DataFrame:
         seen = state
 
 
+def rooted(rows: DataFrame, max_bits: int = MAX_BITS, leaf: int = LEAF_FINGERPRINTS) -> DataFrame:
+    """(fp, first_id, root): the group of each fingerprint of ``rows`` (doc_id,
+    fp), and the smallest id that has it."""
+    fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fps")
+    nodes = components(trie_links(fps.select("fp"), max_bits, leaf))
+    return fps.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                    leaf: int = LEAF_FINGERPRINTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): each row with its fingerprint and the
     smallest doc_id that it reaches over fingerprints ``max_bits`` apart."""
     rows = materialize(fingerprints(docs, shingle_words, id_col, text_col), "simhash")
-    fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fps")
-    nodes = components(trie_links(fps.select("fp"), max_bits, leaf))
-    rooted = fps.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
+    groups = rooted(rows, max_bits, leaf)
+    named = groups.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    of_fp = groups.select("fp", "root").join(named, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def one_per_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names a group (its smallest id), with all
-    their columns.  Rows that repeat such an id are one document: the one with
-    the smallest text hash stays.  Rows without an id stay: no group is named
-    after them."""
-    groups = materialize(simhash_groups(docs, shingle_words, max_bits, id_col=id_col, text_col=text_col), "groups")
-    ids = groups.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(id_col)).agg(
-        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
-    left = docs.join(ids.filter("NOT stays").select(id_col), id_col, "left_anti")
-    twice = materialize(ids.filter("stays AND n > 1").select(id_col), "repeated")
+    """One row of ``docs`` for each group, with all its columns: that with the
+    smallest id (null ids last), of those that share the id the one with the
+    smallest text hash, and of rows that share both one.  Rows that repeat an id
+    with texts that are not alike are of different groups: each stays."""
+    tag = F.xxhash64(F.lit(7), F.col(text_col)).alias("_text")
+    own = docs.select("*", tag)
+    rows = materialize(fingerprints(own, shingle_words, id_col, text_col, keep=("_text",)), "simhash")
+    keyed = rows.join(rooted(rows, max_bits).select("fp", "root"), "fp").groupBy("root", "doc_id", "_text").agg(F.count("*").alias("n"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "_text")
+    keyed = materialize(keyed.withColumn("place", place), "simhash-rows")
+    first = keyed.groupBy("root").agg(F.min("place").alias("first"))
+    keyed = keyed.join(first, "root").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), "n", (F.col("place") == F.col("first")).alias("stays"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
+    left = own.join(keyed.filter("NOT stays"), same, "left_anti")
+    twice = materialize(keyed.filter("stays AND n > 1"), "repeated")
     if twice.isEmpty():
         return left.select(docs.columns)
-    nth = F.row_number().over(Window.partitionBy(f"_doc.{id_col}").orderBy(F.xxhash64(f"_doc.{text_col}"), F.xxhash64("_doc")))
-    again = left.join(twice, id_col, "left_semi").select(F.struct(*docs.columns).alias("_doc")).withColumn("nth", nth)
-    return left.join(twice, id_col, "left_anti").select(docs.columns).unionByName(again.filter("nth = 1").select("_doc.*"))
+    again = left.join(twice, same, "left_semi").groupBy(F.col(id_col).alias("_id"), F.col("_text").alias("_hash")).agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_doc"))
+    return left.join(twice, same, "left_anti").select(docs.columns).unionByName(again.select("_doc.*"))
 
 
 def hex16(fp):
