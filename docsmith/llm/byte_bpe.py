@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 
@@ -33,19 +34,27 @@ def byte_bpe_encoder(tokenizer: str, special: bool) -> Callable[[str], np.ndarra
     The same vocabulary and pattern as byte-pair ranks encodes several times
     faster.  Texts that the ranks cannot encode alike (special strings that
     count, very long white space) go through the file itself."""
+    import json
+
     import public_tokenizers as public
     import tiktoken
-    from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(public.path(tokenizer))
-    exact.encode_special_tokens = not special
     fast = tiktoken.Encoding(tokenizer, pat_str=public.PATTERN, mergeable_ranks=byte_ranks(tokenizer), special_tokens={})
-    strings = [t.content for t in exact.get_added_tokens_decoder().values()] if special else []
+    with open(public.path(tokenizer), encoding="utf-8") as f:
+        strings = [t["content"] for t in json.load(f)["added_tokens"]] if special else []
     spaces = re.compile(r"\s{%d}" % MAX_SPACES)
 
+    @cache
+    def exact():  # few texts need it, and it is large
+        from tokenizers import Tokenizer
+
+        own = Tokenizer.from_file(public.path(tokenizer))
+        own.encode_special_tokens = not special
+        return own
+
     def encode(text: str) -> np.ndarray:
         if any(s in text for s in strings) or (len(text) > MAX_SPACES and spaces.search(text)):
-            return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
+            return np.array(exact().encode(text, add_special_tokens=False).ids, np.uint32)
         return fast.encode_to_numpy(text, disallowed_special=())
 
     return encode

@@ -7,15 +7,16 @@
    runs of equal sequences.  It never sees a document.
 3. Pieces take the planned slots by their rank within their length.  Ranks
    are two-level: a rank inside (length, bucket) plus the sizes of the buckets
-   before, so that a length held by a third of all pieces is no single group.
+   before, so that a length held by a third of all pieces is no single group;
+   buckets are drawn by the rows' own numbers, so that equal rows spread too.
 
 The plan has a run per length and per group of sequences that it opens or
 splits, which depends on the lengths present and not on the documents; its size
 is checked before it is broadcast.
 
 Defined results: a null or empty text is one piece of the end token; repeated
-rows and ids are packed row by row; ties of length are ranked by bucket, id,
-piece and row; an empty table gives an empty result; other columns are ignored;
+rows and ids are packed row by row; ties of length are ranked by bucket and row
+number; an empty table gives an empty result; other columns are ignored;
 texts of any length are tokenised whole.
 """
 
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docsmith.llm.byte_bpe import byte_bpe_encoder
 from docsmith.llm.common import ship_by_value
 from docsmith.session import materialize
 
@@ -43,31 +45,6 @@ BUCKETS = 64
 TOKENS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def load_encoder(tokenizer: str = TOKENIZER):
-    """text -> ids as the tokenizers file gives them with
-    add_special_tokens=False.  The same vocabulary and pattern as byte-pair
-    ranks encodes several times faster; a text that contains the file's special
-    token goes through the file itself."""
-    import base64
-
-    import public_tokenizers as public
-    import tiktoken
-    from tokenizers import Tokenizer
-
-    exact = Tokenizer.from_file(public.path(tokenizer))
-    with open(public.path(tokenizer.replace(".json", ".tiktoken")), "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding(tokenizer, pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    special = [t.content for t in exact.get_added_tokens_decoder().values()]
-
-    def encode(text: str) -> list[int]:
-        if any(s in text for s in special):
-            return exact.encode(text, add_special_tokens=False).ids
-        return fast.encode_ordinary(text)
-
-    return encode
-
-
 def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every row of ``docs``."""
 
@@ -76,11 +53,11 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str = TOKEN
 
         import numpy as np
 
-        encode = load_encoder(tokenizer)
+        encode = byte_bpe_encoder(tokenizer, special=True)
         for b in batches:
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = np.array([*encode(text.as_py() or ""), END_ID], "<u4")
+                ids = np.append(encode(text.as_py() or ""), np.uint32(END_ID)).astype("<u4")
                 cuts = [0, *range(len(ids) % max_tokens or max_tokens, len(ids) + 1, max_tokens)]
                 for k, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     for c, v in zip(out, (doc_id, k, lo, hi - lo, zlib.crc32(ids[lo:hi].tobytes())), strict=True):
@@ -146,19 +123,20 @@ def plan_best_fit(histogram: dict[int, int], max_tokens: int = MAX_TOKENS) -> li
 
 
 def ranked(parts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``parts`` with ``rank``: 0, 1, ... within each length."""
-    parts = parts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
+    """``parts``, whose rows are numbered by ``row``, with ``rank``: 0, 1, ...
+    within each length."""
+    parts = parts.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int"))
     sizes = parts.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    own = F.row_number().over(W.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")) - 1
+    own = F.row_number().over(W.partitionBy("length", "bucket").orderBy("row")) - 1
     return parts.withColumn("own", own).join(offsets, ["length", "bucket"]).withColumn("rank", F.col("own") + F.col("before")).drop("own", "before", "bucket")
 
 
 def pack(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset)."""
     spark = docs.sparkSession
-    parts = materialize(pieces(docs, max_tokens, tokenizer, id_col, text_col), "pieces")
+    parts = materialize(pieces(docs, max_tokens, tokenizer, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most max_tokens rows
     runs = plan_best_fit(histogram, max_tokens)
     if len(runs) > MAX_PLAN_ROWS:
