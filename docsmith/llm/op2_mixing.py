@@ -4,20 +4,22 @@ Token totals of the (source, language, topic) cells are raked until their
 marginals meet the targets; documents are then sampled with the calibrated
 probability of their cell.
 
+The sample's expected size is a budget, a share of all tokens.  Targets that ask
+a value for more tokens than it has cannot be met at that size: such a value
+counts as reached when it is taken whole, and the others share what it lacks in
+proportion to their targets (``reachable``).  Raking holds a cell's probability
+at 1 inside the loop: a step scales the cells of a value that are below 1, so
+that they and the full ones together make up its tokens.  Where the reachable
+targets of different dimensions contradict each other, raking comes as near as
+it does in ``rounds``; the budget is kept in any case (``calibrate``), and
+``shares`` tells target, reachable and expected share of each value.
+
 Documents are aggregated to cells once (map-side first, so a source with a
 third of all rows is one partial row per task) and read once more to sample
-them, with no shuffle of texts.  Raking keeps one factor per value of each
-dimension: a cell's weight is its tokens times its factors, and each update is
-a join of cells with the other dimensions' factors and one aggregation, written
-to the shared folder.  Sums add the cells' doubles, in whatever order; factors
-are compared with a tolerance.
-
-``mixed`` and ``sample_mix`` have an expected size (``BUDGET``): where the
-targets ask for more of a value than there is, its cells are taken whole and the
-sample misses the targets.  ``sample_to_targets`` meets the targets: it rakes
-with a probability of 1 as the bound of each cell and takes the largest budget,
-at most ``BUDGET``, at which all marginals agree.  For that the driver reads one
-row per cell.  ``shares`` tells target and expected share of each value.
+them, with no shuffle of texts.  A round is one job over the cells: for each
+dimension in turn the sums of its values, joined back to the cells; its result is
+written to the shared folder.  Only sums over all cells reach the driver.
+Sums add the cells' doubles, in whatever order.
 
 Defined results: null source, language or topic is a value of its own; a null
 or empty text has no tokens and is sampled with its cell's probability; a cell
@@ -28,7 +30,6 @@ gives an empty result; extra columns pass ``sample_mix`` untouched.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,18 +41,18 @@ DIMENSIONS = ("source", "lang", "topic")
 FLATTEN = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 #: Expected share of all tokens that the sample has.
 BUDGET = 0.8
-ROUNDS = 10
+ROUNDS = 30
 CAP_ROUNDS = 8
 SEED = "mix-1"
-#: Marginals agree with their targets if none is off by more than this share of itself.
-CLOSE = 1e-6
-BOUNDED_ROUNDS = 400
-HALVINGS = 12
+#: A cell is full if its weight is above 1 by this; one that a step has put at 1 is not.
+FULL = 1 + 1e-9
+#: Weights stay within these, where targets contradict each other.
+LEAST, MOST = 1e-9, 1e9
 
 #: Topic -> pattern; the first that a text contains.  Else by size.
 TOPICS = {
     "legal": r"(?i)licen[sc]e|copyright|all rights reserved",
-    "contact": r"[\w.]+@[\w]+\.\w+",
+    "contact": r"[\w.]@\w+\.\w",
     "table": r" \| ",
     "markup": r"[#*$%&<>]{2}",
 }
@@ -81,65 +82,79 @@ def flattened_targets(cells: DataFrame, powers: dict[str, float] = FLATTEN) -> d
     return out
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (dimensions, tokens) with ``ratio``: the factor by which a
-    cell's share of tokens grows for all marginals to meet ``targets``
-    (dimension -> (value, share)).  A share for a value that has no cell is
-    left out; a value without a target goes to nothing."""
-    dims = list(targets)
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    wanted = {d: materialize(t, "target").withColumnRenamed("share", "wanted") for d, t in targets.items()}
-    factors = {d: wanted[d].select(d, F.lit(1.0).alias(f"f_{d}")) for d in dims}
-
-    def weighted(skip: str | None = None) -> DataFrame:
-        out, weight = cells, F.col("tokens").cast("double")
-        for d in dims:
-            if d != skip:
-                out = out.alias("c").join(factors[d].withColumnRenamed(d, "_v"), F.col(f"c.{d}").eqNullSafe(F.col("_v")), "left").drop("_v")
-                weight = weight * F.coalesce(F.col(f"f_{d}"), F.lit(0.0))
-        return out.withColumn("weight", weight)
-
+def reachable(cells: DataFrame, dim: str, targets: DataFrame, want: float) -> DataFrame:
+    """(value, tokens, share, wanted): of ``want`` tokens, those that each value
+    is to give: its share of them, but no more than it has; what such values lack
+    the others give in proportion.  A target of a value without a cell is left
+    out; a value without a target gives nothing."""
+    by = cells.groupBy(dim).agg(F.sum("tokens").alias("tokens")).alias("b")
+    same = F.col(f"b.{dim}").eqNullSafe(F.col(f"t.{dim}"))
+    values = materialize(by.join(targets.alias("t"), same, "left").select(f"b.{dim}", F.col("tokens").cast("double").alias("tokens"), F.coalesce("share", F.lit(0.0)).alias("share")), f"targets-{dim}")
+    scale = before = want
+    while True:  # each time, more values are whole
+        whole = F.col("share") * scale >= F.col("tokens")
+        row = values.agg(F.sum(F.when(whole, F.col("tokens"))), F.sum(F.when(~whole, F.col("share")))).first()
+        if not row[1]:
+            break
+        before, scale = scale, max(0.0, want - (row[0] or 0.0)) / row[1]
+        if scale <= before * (1 + 1e-12):
+            break
+    return values.withColumn("wanted", F.least("tokens", F.col("share") * scale))
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], want: float, rounds: int = ROUNDS) -> DataFrame:
+    """``cells`` (dimensions, tokens) with ``weight``: the tokens times
+    least(1, weight) have the marginals that ``reachable`` gives for ``targets``
+    (dimension -> (value, share)) and ``want`` tokens."""
+    out = cells.withColumn("weight", F.lit(1.0))
+    for d, share in targets.items():
+        wanted = reachable(cells, d, share, want).select(F.col(d).alias("_v"), F.col("wanted").alias(f"want_{d}"))
+        out = out.join(wanted, F.col(d).eqNullSafe(F.col("_v"))).drop("_v")
+    out = materialize(out, "raked")
+    weight, tokens = F.col("weight"), F.col("tokens")
+    full = weight > FULL
     for _ in range(rounds):
-        for d in dims:
-            now = weighted(d).groupBy(d).agg(F.sum("weight").alias("now")).withColumnRenamed(d, "_v")
-            need = wanted[d].join(now, F.col(d).eqNullSafe(F.col("_v")), "left")
-            factor = F.when(F.col("now") > 0, F.col("wanted") * float(total) / F.col("now")).otherwise(0.0)
-            factors[d] = materialize(need.select(d, factor.alias(f"f_{d}")), f"factor-{d}")
-    ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(1.0)
-    return weighted().withColumn("ratio", ratio).select(*cells.columns, "ratio")
-
-
-def calibrate(cells: DataFrame, budget: float = BUDGET, rounds: int = CAP_ROUNDS) -> DataFrame:
-    """``cells`` with ``p`` = min(1, c * ratio), c such that the expected
-    tokens are ``budget`` of all; cells at 1 give what they lack to the rest."""
-    row = cells.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("ratio"))).first()
-    want, c = budget * float(row[0] or 0), 0.0
-    c = want / row[1] if row[1] else 1.0
+        for d in targets:
+            sums = out.groupBy(F.col(d).alias("_v")).agg(F.sum(F.when(full, tokens).otherwise(0.0)).alias("_full"), F.sum(F.when(full, 0.0).otherwise(tokens * weight)).alias("_part"))
+            wanted = F.col(f"want_{d}")
+            more = (F.col("_part") > 0) & (wanted > F.col("_full"))
+            step = F.when(more, (wanted - F.col("_full")) / F.col("_part")).when((wanted <= F.col("_full")) & (F.col("_full") > 0), wanted / (F.col("_full") + F.col("_part"))).otherwise(1.0)
+            out = out.join(sums, F.col(d).eqNullSafe(F.col("_v"))).withColumn("weight", F.least(F.lit(MOST), F.greatest(F.lit(LEAST), weight * step))).drop("_v", "_full", "_part")
+        out = materialize(out, "raked")
+    return out.select(*cells.columns, "weight")
+
+
+def calibrate(cells: DataFrame, want: float, rounds: int = CAP_ROUNDS) -> DataFrame:
+    """``cells`` with ``p`` = least(1, c * least(1, weight)), c such that the
+    expected tokens are ``want``; cells at 1 give what they lack to the rest."""
+    own, c = F.least(F.lit(1.0), F.col("weight")), 1.0
     for _ in range(rounds):
-        full = F.col("ratio") * c >= 1
-        row = cells.agg(F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("tokens") * F.col("ratio")))).first()
+        full = own * c > FULL
+        row = cells.agg(F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("tokens") * own))).first()
         rest = want - float(row[0] or 0)
         if not row[1] or rest <= 0:
             break
         c = rest / row[1]
-    return cells.withColumn("p", F.when(F.col("tokens") == 0, 1.0).otherwise(F.least(F.lit(1.0), F.col("ratio") * c)))
+    return cells.withColumn("p", F.when(F.col("tokens") == 0, 1.0).otherwise(F.least(F.lit(1.0), own * c)))
 
 
 def draw(id_col: Column, seed: str = SEED) -> Column:
     """A uniform number in [0, 1) that depends on the id alone."""
-    digest = F.md5(F.concat_ws(":", F.lit(seed), id_col.cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit(""))))
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(1 << 48)
 
 
 def mix_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: float = BUDGET,
                       powers: dict[str, float] = FLATTEN, targets: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, cells): rows has (doc_id, source, lang, topic, tokens) of each
-    row of ``docs``; cells has (source, lang, topic, tokens, ratio, p)."""
+    row of ``docs``; cells has (source, lang, topic, tokens, ratio, p), ``ratio``
+    being the factor by which a cell's share of tokens grows."""
     text = F.col(text_col)
     rows = materialize(docs.select(F.col(id_col).alias("doc_id"), "source", "lang", topic_of(text).alias("topic"), tokens_of(text).alias("tokens")), "mix-rows")
-    cells = materialize(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs")), "mix-cells")
-    raked = rake(cells, targets or flattened_targets(cells, powers))
-    return rows, materialize(calibrate(raked, budget), "mix-p")
+    cells = materialize(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
+    want = budget * float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    raked = rake(cells, targets or flattened_targets(cells, powers), want)
+    return rows, materialize(calibrate(raked, want).withColumn("ratio", F.col("p") / budget).drop("weight"), "mix-p")
 
 
 def _with_p(rows: DataFrame, cells: DataFrame) -> DataFrame:
@@ -160,81 +175,18 @@ def sample_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return _with_p(own, cells).filter(draw(F.col("_id"), seed) < F.col("p")).select("_doc.*")
 
 
-def _bounded_factor(tokens: np.ndarray, others: np.ndarray, wanted: float) -> float:
-    """f with sum(tokens * min(1, f * others)) = wanted; very large if that
-    takes more than all tokens."""
-    order = np.argsort(-others, kind="stable")
-    t, g = tokens[order], others[order]
-    whole = np.concatenate([[0.0], np.cumsum(t)[:-1]])  # the first so many cells are at 1
-    f = (wanted - whole) / np.cumsum((t * g)[::-1])[::-1]
-    fits = np.flatnonzero(f * g <= 1)
-    return max(0.0, float(f[fits[0]])) if len(fits) else 1e12
-
-
-def _bounded_rake(tokens: np.ndarray, codes: list[np.ndarray], wanted: list[np.ndarray]) -> tuple[np.ndarray, bool]:
-    """(p of each cell, whether the marginals of tokens * p are ``wanted``)."""
-    factors = [np.ones(len(w)) for w in wanted]
-    members = [np.split(np.argsort(c, kind="stable"), np.cumsum(np.bincount(c, minlength=len(w)))[:-1]) for c, w in zip(codes, wanted, strict=True)]
-    for n in range(BOUNDED_ROUNDS):
-        for d, own in enumerate(members):
-            others = np.clip(np.prod([factors[e][c] for e, c in enumerate(codes) if e != d], axis=0), 1e-30, 1e30)
-            factors[d] = np.array([_bounded_factor(tokens[m], others[m], w) for m, w in zip(own, wanted[d], strict=True)])
-        p = np.minimum(1.0, np.prod([f[c] for f, c in zip(factors, codes, strict=True)], axis=0))
-        if n % 10 == 9 and all((abs(np.bincount(c, tokens * p, len(w)) - w) <= CLOSE * w).all() for c, w in zip(codes, wanted, strict=True)):
-            return p, True
-    return p, False
-
-
-def bounded_probabilities(docs: DataFrame, text_col: str = "text", budget: float = BUDGET, powers: dict[str, float] = FLATTEN) -> DataFrame:
-    """Cells (source, lang, topic, tokens, ratio, p): the p at which expected
-    token shares are the flattened targets, for as much of ``budget`` as all
-    cells have tokens for.  ``ratio``: the factor by which a cell's share grows.
-    Targets that contradict each other at any budget are met as far as raking does."""
-    text = F.col(text_col)
-    rows = docs.select("source", "lang", topic_of(text).alias("topic"), tokens_of(text).alias("tokens"))
-    cells = rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
-    found = sorted(cells.collect(), key=lambda r: [(x is not None, str(x)) for x in r])  # one row per cell
-    some = [r for r in found if r["tokens"]]
-    ratios, ps = {}, {}
-    if some:
-        tokens = np.array([r["tokens"] for r in some], float)
-        codes, targets = [], []
-        for d, power in powers.items():
-            at = {v: i for i, v in enumerate(dict.fromkeys(r[d] for r in some))}
-            codes.append(np.array([at[r[d]] for r in some]))
-            share = np.bincount(codes[-1], tokens) ** power
-            targets.append(tokens.sum() * share / share.sum())
-        most = min(budget, *(float((np.bincount(c, tokens) / t).min()) for c, t in zip(codes, targets, strict=True)))
-        size, (p, met) = most, _bounded_rake(tokens, codes, [most * t for t in targets])
-        low, high = 0.0, most
-        for _ in range(0 if met else HALVINGS):  # what can be met at a size can be at any smaller one
-            middle = (low + high) / 2
-            tried, close = _bounded_rake(tokens, codes, [middle * t for t in targets])
-            if close:
-                low, size, p = middle, middle, tried
-            else:
-                high = middle
-        ratios, ps = ({r[:3]: float(x) for r, x in zip(some, y, strict=True)} for y in (p / size, p))
-    out = [(*r, ratios.get(r[:3], 1.0), ps.get(r[:3], 1.0)) for r in found]
-    return docs.sparkSession.createDataFrame(out, cells.schema.add("ratio", "double").add("p", "double"))
-
-
-def shares(cells: DataFrame, powers: dict[str, float] = FLATTEN) -> DataFrame:
-    """(dimension, value, raw, target, expected): token shares of each value in
-    all documents, in the targets and in the expected sample of ``cells``."""
+def shares(cells: DataFrame, budget: float = BUDGET, powers: dict[str, float] = FLATTEN) -> DataFrame:
+    """(dimension, value, raw, target, reachable, expected): token shares of each
+    value in all documents, in the targets, in as much of them as its tokens allow
+    at ``budget``, and in the expected sample of ``cells`` (mix_probabilities)."""
     out = None
-    for d, power in powers.items():
-        by = cells.groupBy(d).agg(F.sum("tokens").cast("double").alias("t"), F.sum(F.col("tokens") * F.col("p")).alias("s"))
-        total = by.agg(F.sum("t"), F.sum(F.pow("t", F.lit(power))), F.sum("s")).first()
-        share = [(x / F.lit(float(n)) if n else F.lit(0.0)) for x, n in zip((F.col("t"), F.pow("t", F.lit(power)), F.col("s")), total, strict=True)]
-        part = by.select(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"), *[x.alias(n) for x, n in zip(share, ("raw", "target", "expected"), strict=True)])
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    for d, share in flattened_targets(cells, powers).items():
+        wanted = reachable(cells, d, share, budget * total).alias("w")
+        by = cells.groupBy(d).agg(F.sum(F.col("tokens") * F.col("p")).alias("s")).alias("b")
+        rows = wanted.join(by, F.col(f"w.{d}").eqNullSafe(F.col(f"b.{d}")))
+        of = lambda x, n: (x / n if n else F.lit(0.0))
+        part = rows.select(F.lit(d).alias("dimension"), F.col(f"w.{d}").cast("string").alias("value"), of(F.col("tokens"), total).alias("raw"), F.col("share").alias("target"),
+                           of(F.col("wanted"), budget * total).alias("reachable"), of(F.col("s"), budget * total).alias("expected"))
         out = part if out is None else out.unionByName(part)
     return out
-
-
-def sample_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: float = BUDGET, seed: str = SEED) -> DataFrame:
-    """The rows of ``docs``, with all their columns, of a sample whose expected
-    token shares are the targets."""
-    cells = materialize(bounded_probabilities(docs, text_col, budget), "mix-bounded")
-    own = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_doc"), F.col(id_col).alias("_id"), "source", "lang", topic_of(F.col(text_col)).alias("topic"))
-    return _with_p(own, cells).filter(draw(F.col("_id"), seed) < F.col("p")).select("_doc.*")
