@@ -43,7 +43,7 @@ B_TOKENS = "piece_bpe_32k.model"
 #: Merge steps of a piece.
 WORK = 1 << 16
 #: Characters of texts that a task aligns at once.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 SPACE = "▁"
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_overlaps long, groups string, links array<int>"
 

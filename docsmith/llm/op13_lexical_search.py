@@ -104,7 +104,7 @@ class Vectors:
         self.norms = np.sqrt(np.bincount(self.rows, self.impacts.astype(float) ** 2, len(self.n)))
 
 
-def by_length(vectors: DataFrame, queries) -> DataFrame:
+def by_length(vectors: DataFrame, queries, bucket: int = BUCKET) -> DataFrame:
     """Vectors that hold a term, ordered by length, longest first, and written:
     COUNTED, norm, tie (a row's own number), head (in its partition's first bucket)."""
 
@@ -116,7 +116,7 @@ def by_length(vectors: DataFrame, queries) -> DataFrame:
     lengths = held.withColumn("tie", F.monotonically_increasing_id()).mapInArrow(run, COUNTED + ", tie long, norm double")
     ordered = lengths.repartitionByRange(F.desc("norm"), "tie").sortWithinPartitions(F.desc("norm"), "tie")
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    return materialize(ordered.withColumn("head", place < BUCKET), "by-length")
+    return materialize(ordered.withColumn("head", place < bucket), "by-length")
 
 
 def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -219,7 +219,7 @@ def weights_of(vectors: DataFrame, n_terms: int) -> tuple[np.ndarray, int, int]:
     return out, total["docs"], total["terms"]
 
 
-def _search_block(spark: SparkSession, docs: DataFrame, block: list[list[str]], top: int, id_col: str, text_col: str) -> DataFrame:
+def _search_block(spark: SparkSession, docs: DataFrame, block: list[list[str]], top: int, bucket: int, id_col: str, text_col: str) -> DataFrame:
     """(query, rank, doc_id, score) for queries given by their words."""
     words = {w: i for i, w in enumerate(sorted({w for words in block for w in words}))}
     vocabulary = spark.sparkContext.broadcast({w.encode(): i for w, i in words.items()})
@@ -227,13 +227,13 @@ def _search_block(spark: SparkSession, docs: DataFrame, block: list[list[str]],
     repeats = [sorted(Counter(words[w] for w in q).items()) for q in block]
     pairs = [tuple(np.array(x, np.int64).reshape(-1, 2).T) for x in repeats]
     queries = spark.sparkContext.broadcast(Queries(pairs, *weights_of(vectors, len(words))))
-    ordered = by_length(vectors, queries)
-    heads = ranked(best(ordered.filter("head"), queries, {}, top), top).filter(F.col("rank") == top)
+    ordered = by_length(vectors, queries, bucket)
+    heads = ranked(best(ordered.filter("head"), queries, {}, top, bucket), top).filter(F.col("rank") == top)
     least = {r["query"]: r["score"] for r in heads.select("query", "score").collect()}  # one row a query
-    return ranked(best(ordered, queries, least, top), top).select("query", "rank", "doc_id", "score")
+    return ranked(best(ordered, queries, least, top, bucket), top).select("query", "rank", "doc_id", "score")
 
 
-def search(docs: DataFrame, items: DataFrame, top: int = TOP, max_terms: int = MAX_TERMS, id_col: str = "doc_id", text_col: str = "text",
+def search(docs: DataFrame, items: DataFrame, top: int = TOP, max_terms: int = MAX_TERMS, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text",
            item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(item_id, rank, doc_id, score): the ``top`` best documents of each row of ``items``."""
     spark = docs.sparkSession
@@ -246,7 +246,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, max_terms: int = M
         block = rows.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).orderBy("item").collect()  # about max_terms words
         if not block:
             continue
-        found = _search_block(spark, docs, [r["words"] for r in block], top, id_col, text_col)
+        found = _search_block(spark, docs, [r["words"] for r in block], top, bucket, id_col, text_col)
         names = spark.createDataFrame([(i, r["item_id"]) for i, r in enumerate(block)], f"query int, item_id {kind}")
         found = found.join(F.broadcast(names), "query").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
         out = found if blocks == 1 else out.unionByName(found)

@@ -270,12 +270,14 @@ def probabilities(texts: list[str | None], model: Model) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_TRAIN_PER_CLASS, max_chars: int = MAX_TRAIN_CHARS) -> Model:
-    """``labels``: (doc_id, toxic); ids with several labels take the largest."""
+    """``labels``: (doc_id, toxic); ids with several labels take the largest, and
+    of rows that share an id the one with the smallest text hash is read."""
     ids = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     some = [ids.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     picked = F.broadcast(some[0].unionByName(some[1]))  # 2 * per_class rows at most
     text = F.coalesce(F.col("text"), F.lit(""))
-    got = docs.filter(F.length(text) <= max_chars).select("doc_id", text.alias("text")).join(picked, "doc_id").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    rows = docs.filter(F.length(text) <= max_chars).select("doc_id", text.alias("text")).join(picked, "doc_id")
+    got = rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     return fit(got.column("text").to_pylist(), got.column("toxic").to_numpy())
 
 

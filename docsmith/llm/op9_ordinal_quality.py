@@ -103,11 +103,13 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, epochs: int = EPOCHS,
 
 
 def rated_sample(docs: DataFrame, ratings: DataFrame, most: int = MAX_TRAIN_ROWS) -> DataFrame:
-    """(text, grade) of at most ``most`` rated rows; ids with a null grade or
-    several grades take the smallest."""
+    """(doc_id, text, grade) of at most ``most`` rated ids; ids with several grades
+    take the smallest, and of rows that share an id the one with the smallest text
+    hash is read."""
     ids = ratings.filter("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # `most` rows at most
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # `most` ids at most
+    return rows.groupBy("doc_id", "grade").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("doc_id", "text", "grade")
 
 
 def train(docs: DataFrame, ratings: DataFrame, grades: int, buckets: int = BUCKETS, most: int = MAX_TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray]:

@@ -21,10 +21,13 @@ from docsmith.llm import op13_lexical_search as lexical
 from docsmith.llm.common import table
 
 FOLDS = 5
+#: Rounds of the SQL after which no more values are whole (the operator goes on until it is so).
+WHOLE_ROUNDS = 10
 
 
 def _held_out(doc_id):
-    return F.pmod(F.crc32(doc_id.cast("string")), F.lit(FOLDS)) == 0
+    """A null id, which is never trained on, counts as held out."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(FOLDS)) == 0
 
 
 def op1_license_scan(spark, sf_dir):
@@ -112,31 +115,36 @@ def _op2_sql() -> str:
         f"r AS MATERIALIZED (SELECT doc_id, source, lang, {topic} AS topic, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens FROM documents)",
         "cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM r GROUP BY ALL)",
     ]
+    want = f"({mixing.BUDGET} * (SELECT sum(tokens) FROM cells))"
     for d, power in mixing.FLATTEN.items():
-        parts.append(f"w_{d} AS MATERIALIZED (SELECT {d} AS v, pow(sum(tokens), {power}) / (SELECT sum(t) FROM (SELECT pow(sum(tokens), {power}) AS t FROM cells GROUP BY {d})) AS wanted FROM cells GROUP BY {d})")
-    factor = {d: f"(SELECT v, 1.0::DOUBLE AS f FROM w_{d})" for d in dims}
+        parts.append(f"v_{d} AS MATERIALIZED (SELECT {d} AS v, sum(tokens) AS tokens, pow(sum(tokens), {power}) / (SELECT sum(t) FROM (SELECT pow(sum(tokens), {power}) AS t FROM cells GROUP BY {d})) AS share FROM cells GROUP BY {d})")
+        parts.append(f"s_{d}0 AS MATERIALIZED (SELECT {want} AS scale)")
+        for k in range(WHOLE_ROUNDS):
+            whole = f"share * (SELECT scale FROM s_{d}{k}) >= tokens"
+            parts.append(f"s_{d}{k + 1} AS MATERIALIZED (SELECT CASE WHEN b > 0 THEN greatest(0, {want} - coalesce(a, 0)) / b ELSE (SELECT scale FROM s_{d}{k}) END AS scale FROM "
+                         f"(SELECT sum(CASE WHEN {whole} THEN tokens END) AS a, sum(CASE WHEN NOT ({whole}) THEN share END) AS b FROM v_{d}))")
+        parts.append(f"w_{d} AS MATERIALIZED (SELECT v, least(tokens, share * (SELECT scale FROM s_{d}{WHOLE_ROUNDS})) AS wanted FROM v_{d})")
+    wants = ", ".join(f"w_{d}.wanted AS want_{d}" for d in dims)
+    joins = " ".join(f"JOIN w_{d} ON cells.{d} IS NOT DISTINCT FROM w_{d}.v" for d in dims)
+    parts.append(f"x AS MATERIALIZED (SELECT cells.*, 1::DOUBLE AS weight, {wants} FROM cells {joins})")
+    last = "x"
     for k in range(mixing.ROUNDS):
         for d in dims:
-            others = [x for x in dims if x != d]
-            joins = " ".join(f"LEFT JOIN {factor[x]} AS {x}_f ON cells.{x} IS NOT DISTINCT FROM {x}_f.v" for x in others)
-            weight = " * ".join(["tokens", *[f"coalesce({x}_f.f, 0)" for x in others]])
-            parts.append(
-                f"f{k}_{d} AS MATERIALIZED (SELECT w.v, CASE WHEN now > 0 THEN wanted * (SELECT sum(tokens) FROM cells) / now ELSE 0 END AS f FROM w_{d} AS w "
-                f"LEFT JOIN (SELECT cells.{d} AS v, sum({weight}) AS now FROM cells {joins} GROUP BY 1) AS n ON w.v IS NOT DISTINCT FROM n.v)")
-            factor[d] = f"f{k}_{d}"
-    joins = " ".join(f"LEFT JOIN {factor[x]} AS {x}_f ON cells.{x} IS NOT DISTINCT FROM {x}_f.v" for x in dims)
-    weight = " * ".join(["tokens", *[f"coalesce({x}_f.f, 0)" for x in dims]])
-    parts.append(f"raked AS MATERIALIZED (SELECT cells.*, CASE WHEN tokens > 0 THEN {weight} / tokens ELSE 1 END AS ratio FROM cells {joins})")
-    want = f"{mixing.BUDGET} * (SELECT sum(tokens) FROM raked)"
-    parts.append(f"c0 AS MATERIALIZED (SELECT {want} / sum(tokens * ratio) AS c FROM raked)")
+            full = f"weight > {mixing.FULL!r}"
+            sums = (f"SELECT *, sum(CASE WHEN {full} THEN tokens ELSE 0 END) OVER (PARTITION BY {d}) AS f, "
+                    f"sum(CASE WHEN {full} THEN 0 ELSE tokens * weight END) OVER (PARTITION BY {d}) AS part FROM {last}")
+            step = f"CASE WHEN part > 0 AND want_{d} > f THEN (want_{d} - f) / part WHEN want_{d} <= f AND f > 0 THEN want_{d} / (f + part) ELSE 1 END"
+            parts.append(f"x{k}_{d} AS MATERIALIZED (SELECT * EXCLUDE (f, part) REPLACE (least({mixing.MOST!r}::DOUBLE, greatest({mixing.LEAST!r}::DOUBLE, weight * {step})) AS weight) FROM ({sums}))")
+            last = f"x{k}_{d}"
+    parts.append("c0 AS MATERIALIZED (SELECT 1::DOUBLE AS c)")
     for k in range(mixing.CAP_ROUNDS):
-        full, rest = f"ratio * (SELECT c FROM c{k}) >= 1", f"({want} - coalesce(a, 0))"
+        full, rest = f"least(1, weight) * (SELECT c FROM c{k}) > {mixing.FULL!r}", f"({want} - coalesce(a, 0))"
         parts.append(f"c{k + 1} AS MATERIALIZED (SELECT CASE WHEN coalesce(b, 0) = 0 OR {rest} <= 0 THEN (SELECT c FROM c{k}) ELSE {rest} / b END AS c FROM "
-                     f"(SELECT sum(CASE WHEN {full} THEN tokens END) AS a, sum(CASE WHEN NOT {full} THEN tokens * ratio END) AS b FROM raked))")
-    parts.append(f"k AS MATERIALIZED (SELECT *, CASE WHEN tokens = 0 THEN 1 ELSE least(1, ratio * (SELECT c FROM c{mixing.CAP_ROUNDS})) END AS p FROM raked)")
+                     f"(SELECT sum(CASE WHEN {full} THEN tokens END) AS a, sum(CASE WHEN NOT ({full}) THEN tokens * least(1, weight) END) AS b FROM {last}))")
+    parts.append(f"k AS MATERIALIZED (SELECT *, CASE WHEN tokens = 0 THEN 1 ELSE least(1, least(1, weight) * (SELECT c FROM c{mixing.CAP_ROUNDS})) END AS p FROM {last})")
     same = " AND ".join(f"r.{d} IS NOT DISTINCT FROM k.{d}" for d in dims)
-    draw = f"('0x' || substr(md5({_text(mixing.SEED + ':')} || r.doc_id), 1, 12))::BIGINT / {1 << 48}.0"
-    return "WITH " + ",\n".join(parts) + f"\nSELECT r.doc_id, r.source, r.lang, r.topic, r.tokens::BIGINT AS tokens, round(ratio::DOUBLE, 6) AS ratio, round(p::DOUBLE, 6) AS p, {draw} < p AS sampled FROM r LEFT JOIN k ON {same}"
+    draw = f"('0x' || substr(md5({_text(mixing.SEED + ':')} || coalesce(r.doc_id::VARCHAR, '')), 1, 12))::BIGINT / {1 << 48}.0"
+    return "WITH " + ",\n".join(parts) + f"\nSELECT r.doc_id, r.source, r.lang, r.topic, r.tokens::BIGINT AS tokens, round((p / {mixing.BUDGET})::DOUBLE, 6) AS ratio, round(p::DOUBLE, 6) AS p, {draw} < p AS sampled FROM r LEFT JOIN k ON {same}"
 
 
 def _op4_sql() -> str:
@@ -186,9 +194,9 @@ last AS (SELECT pair_id, max(turn) AS last FROM own GROUP BY 1),
 m AS (SELECT * FROM own JOIN last USING (pair_id)),
 pairs AS (
  SELECT pair_id, 'chosen' AS side, turn, role, text FROM m
- UNION ALL SELECT pair_id, 'rejected', turn, role, text FROM m WHERE turn < last
+ UNION ALL SELECT pair_id, 'rejected', turn, role, text FROM m WHERE turn IS NULL OR turn < last
  UNION ALL SELECT last.pair_id, 'rejected', last.last, m.role, m.text FROM m JOIN last ON xor(m.pair_id, 1) = last.pair_id WHERE m.turn = m.last),
-sides AS (SELECT pair_id, side, list_sort(list_distinct(list({{'turn': turn, 'role': role, 'text': text}}))) AS turns FROM pairs GROUP BY ALL),
+sides AS (SELECT pair_id, side, list_sort(list_distinct(list({{'numbered': turn IS NOT NULL, 'turn': turn, 'role': role, 'text': text}}))) AS turns FROM pairs GROUP BY ALL),
 j AS (SELECT pair_id, coalesce(max(turns) FILTER (side = 'chosen'), []) AS c, coalesce(max(turns) FILTER (side = 'rejected'), []) AS r FROM sides GROUP BY 1),
 d AS (SELECT *, list_position(list_transform(range(1, greatest(len(c), len(r)) + 1), lambda i: coalesce(c[i].role = r[i].role AND c[i].text = r[i].text, false)), false) AS differs FROM j),
 n AS (SELECT *, CASE WHEN len(c) = 0 OR len(r) = 0 THEN greatest(len(c), len(r)) WHEN differs > 0 THEN differs - 1 ELSE len(c) END AS n FROM d),
