@@ -3,21 +3,27 @@
 Two strings are alike by the subsequences of characters that they share, each
 counted less the longer it stretches (``decay`` per character), so that gapped
 and inserted-character insults stay close to the plain ones.  Landmarks (stems
-that mark labelled toxic texts) give a Nyström map of the kernel; a sentence is the sum of its distinct words, and a text is as toxic as
-its worst sentence.  Labels are of whole texts: training alternates between
+that mark labelled toxic texts) give a Nyström map of the kernel; a sentence is
+the sum of its distinct words, and a text is as toxic as its worst sentence.  Labels are of whole texts: training alternates between
 picking the sentences that make a toxic text toxic and fitting the machine.
 
 Training uses a bounded sample of labelled rows (``MAX_TRAIN_PER_CLASS`` per
 label with the smallest id hashes, of texts up to ``MAX_TRAIN_CHARS``).  Scoring
 reads every whole text in the task that scans it, with no shuffle; a word's
 kernel values are computed once per batch, and only against landmarks all of
-whose letters it has (others count as unlike: zero).
+whose letters it has: the others count as unlike, zero.
+
+A word with signs between its letters, or whose letters are doubled, is taken
+without them (``plain_view``), however many there are.  Other words are
+compared as they stand, those longer than ``PIECE_CHARS`` piece by piece: a long
+word would contain most stems somehow, its letters far apart.  So one to three
+foreign letters inside an insult are tolerated, one after each letter is not.
 
 Defined results: a null or empty text has no sentence and gets the score of an
 empty sentence; repeated rows score alike; without labels of both kinds every
 score is the share of label 1 (0 without any label); an empty table gives an
-empty result; other columns are ignored; long words are cut into overlapping
-pieces and long runs without a sentence end into pieces, all of which count.
+empty result; other columns are ignored; a run of words without a sentence end
+counts as sentences of ``SENTENCE_WORDS`` words.
 """
 
 from __future__ import annotations
@@ -52,6 +58,8 @@ SENTENCE_WORDS = 25
 BLOCK_BYTES = 3_000_000
 #: Longer words are cut into pieces that overlap by a landmark's length.
 PIECE_CHARS, PIECE_STEP = 10, 4
+#: Share of a word's characters that stay if repeated ones count once, for it to be doubled.
+ONCE = 0.6
 ROUNDS = 8
 PUNCTUATION = ".,;:!?\"'()[]"
 
@@ -127,6 +135,22 @@ def _joined(text: str) -> str:
     return re.sub(r"(?<!\S)\S(?:\s\S){2,}(?!\S)", lambda m: re.sub(r"\s", "", m[0]), text)
 
 
+def plain_view(word: str) -> str:
+    """The word without signs, if these cut its letters into more than two runs,
+    and with repeated letters once, if most are repeated."""
+    runs = re.findall(r"[^\W\d_]+", word)
+    if len(runs) > 2:
+        word = "".join(runs)
+    once = re.sub(r"(.)\1+", r"\1", word)
+    return once if len(once) <= ONCE * len(word) else word
+
+
+def _pieces(word: str) -> list[str]:
+    if len(word) <= PIECE_CHARS:
+        return [word]
+    return [word[i : i + PIECE_CHARS] for i in range(0, len(word) - PIECE_CHARS + PIECE_STEP, PIECE_STEP)]
+
+
 class Sentences(NamedTuple):
     words: list[str]  # distinct, without punctuation, long ones in pieces
     word: np.ndarray  # entries: which of ``words``
@@ -150,7 +174,7 @@ def sentences(texts: list[str | None]) -> Sentences:
     parts: list[list[int]] = []
     for w in raw:
         w = (w or "").strip(PUNCTUATION)
-        cuts = [w] if len(w) <= PIECE_CHARS else [w[i : i + PIECE_CHARS] for i in range(0, len(w) - PIECE_CHARS + PIECE_STEP, PIECE_STEP)]
+        cuts = _pieces(plain_view(w))
         parts.append([pieces.setdefault(c, len(pieces)) for c in cuts])
     many = np.fromiter(map(len, parts), np.int64, len(parts))
     flat = np.fromiter((i for p in parts for i in p), np.int64, int(many.sum()))
