@@ -16,10 +16,11 @@ it does in ``rounds``; the budget is kept in any case (``calibrate``), and
 
 Documents are aggregated to cells once (map-side first, so a source with a
 third of all rows is one partial row per task) and read once more to sample
-them, with no shuffle of texts.  A round is one job over the cells: for each
-dimension in turn the sums of its values, joined back to the cells; its result is
-written to the shared folder.  Only sums over all cells reach the driver.
-Sums add the cells' doubles, in whatever order.
+them, with no shuffle of texts.  Up to ``FEW_CELLS`` cells are raked on the driver
+(``rake_few``), which spares it thirty jobs' plans; more are raked by Spark
+(``rake``): a round is one job over the cells, for each dimension in turn the
+sums of its values, joined back to the cells, its result written to the shared
+folder.  Both take the same steps.  Sums add the cells' doubles, in whatever order.
 
 Defined results: null source, language or topic is a value of its own; a null
 or empty text has no tokens and is sampled with its cell's probability; a cell
@@ -30,6 +31,7 @@ gives an empty result; extra columns pass ``sample_mix`` untouched.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,8 @@ CAP_ROUNDS = 8
 SEED = "mix-1"
 #: A cell is full if its weight is above 1 by this; one that a step has put at 1 is not.
 FULL = 1 + 1e-9
+#: So many cells, one row each, are raked on the driver.
+FEW_CELLS = 100_000
 #: Weights stay within these, where targets contradict each other.
 LEAST, MOST = 1e-9, 1e9
 
@@ -124,6 +128,29 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], want: float, rounds: i
     return out.select(*cells.columns, "weight")
 
 
+def rake_few(cells: DataFrame, targets: dict[str, DataFrame], want: float, rounds: int = ROUNDS) -> DataFrame:
+    """``rake`` of at most FEW_CELLS cells in memory."""
+    rows = cells.collect()
+    tokens = np.array([r["tokens"] for r in rows], float)
+    weight = np.ones(len(rows))
+    sides = []
+    for d, share in targets.items():
+        wanted = {r[d]: r["wanted"] for r in reachable(cells, d, share, want).collect()}  # no more than cells
+        at = {v: i for i, v in enumerate(wanted)}
+        sides.append((np.array([at[r[d]] for r in rows], np.int64), np.array(list(wanted.values()))))
+    for _ in range(rounds if rows else 0):
+        for value, wanted in sides:
+            full = weight > FULL
+            whole, part = (np.bincount(value, x, len(wanted)) for x in (np.where(full, tokens, 0), np.where(full, 0, tokens * weight)))
+            step = np.ones(len(wanted))
+            more, less = (part > 0) & (wanted > whole), (wanted <= whole) & (whole > 0)
+            step[more] = (wanted[more] - whole[more]) / part[more]
+            step[less] = wanted[less] / (whole[less] + part[less])
+            weight = np.clip(weight * step[value], LEAST, MOST)
+    out = [(*r, float(w)) for r, w in zip(rows, weight, strict=True)]
+    return cells.sparkSession.createDataFrame(out, cells.schema.add("weight", "double"))
+
+
 def calibrate(cells: DataFrame, want: float, rounds: int = CAP_ROUNDS) -> DataFrame:
     """``cells`` with ``p`` = least(1, c * least(1, weight)), c such that the
     expected tokens are ``want``; cells at 1 give what they lack to the rest."""
@@ -145,7 +172,7 @@ def draw(id_col: Column, seed: str = SEED) -> Column:
 
 
 def mix_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: float = BUDGET,
-                      powers: dict[str, float] = FLATTEN, targets: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+                      powers: dict[str, float] = FLATTEN, targets: dict[str, DataFrame] | None = None, few: int = FEW_CELLS) -> tuple[DataFrame, DataFrame]:
     """(rows, cells): rows has (doc_id, source, lang, topic, tokens) of each
     row of ``docs``; cells has (source, lang, topic, tokens, ratio, p), ``ratio``
     being the factor by which a cell's share of tokens grows."""
@@ -153,7 +180,7 @@ def mix_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = materialize(docs.select(F.col(id_col).alias("doc_id"), "source", "lang", topic_of(text).alias("topic"), tokens_of(text).alias("tokens")), "mix-rows")
     cells = materialize(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
     want = budget * float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    raked = rake(cells, targets or flattened_targets(cells, powers), want)
+    raked = (rake_few if cells.count() <= few else rake)(cells, targets or flattened_targets(cells, powers), want)
     return rows, materialize(calibrate(raked, want).withColumn("ratio", F.col("p") / budget).drop("weight"), "mix-p")
 
 

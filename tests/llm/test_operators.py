@@ -118,8 +118,10 @@ def plain_rake(cells, want, rounds):
     return weight
 
 
-def test_mixing(docs, empty):
-    rows = o2.mixed(docs).collect()
+@pytest.mark.parametrize("few", [o2.FEW_CELLS, 0])
+def test_mixing(docs, empty, few):
+    rows, cells = o2.mix_probabilities(docs, few=few)
+    rows = o2._with_p(rows, cells).select("r.*", "ratio", "p", (o2.draw(F.col("doc_id")) < F.col("p")).alias("sampled")).collect()
     assert len(rows) == len(TEXTS)
     cells = Counter()
     for r in rows:
@@ -169,10 +171,14 @@ def test_reachable_targets_are_met(spark):
     cells = [(f"s{a}", f"l{b}", f"t{c}", int(rng.integers(1, 2000)) if rng.random() < 0.9 else 0) for a in range(9) for b in range(4) for c in range(5)]
     df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
     want = 0.6 * sum(c[3] for c in cells)
-    raked = o2.calibrate(o2.rake(df, o2.flattened_targets(df), want), want)
-    for r in o2.shares(raked, 0.6).collect():
-        assert r.expected == pytest.approx(r.reachable, rel=1e-4), r
-    assert all(0 <= r.p <= 1 for r in raked.collect())
+    found = []
+    for rake in (o2.rake, o2.rake_few):
+        raked = o2.calibrate(rake(df, o2.flattened_targets(df), want), want)
+        for r in o2.shares(raked, 0.6).collect():
+            assert r.expected == pytest.approx(r.reachable, rel=1e-4), r
+        found.append({r[:3]: r.p for r in raked.collect()})
+        assert all(0 <= p <= 1 for p in found[-1].values())
+    assert found[0] == pytest.approx(found[1], rel=1e-9)
 
 
 # 3 -----------------------------------------------------------------------
@@ -399,9 +405,9 @@ def test_simhash_groups(docs, empty):
     assert o7.simhash_groups(empty).collect() == [] and o7.one_per_group(empty).collect() == []
     kept = o7.one_per_group(docs)
     assert kept.columns == docs.columns
-    first = {}
+    first, group = {}, plain_components([(k, f) for k, (_, f) in enumerate(rows)], 2)
     for (i, f), (_, t) in zip(rows, TEXTS, strict=True):
-        first.setdefault(want[f] if want[f] is not None else f, []).append((i is None, i or 0, t or ""))
+        first.setdefault(group[f], []).append((i is None, i or 0, t or ""))
     kept = bag((r.doc_id, r.text or "") for r in kept.collect())
     assert sum(kept.values()) == len(first)
     for members in first.values():  # of each group a row of its smallest id
