@@ -178,33 +178,35 @@ def isa_flags(class_bases: DataFrame, steps: int = 3) -> DataFrame:
 
     The masks of the ~35 rule ancestors are carried down the base edges, so a
     class is one row however many ancestors it has, and no closure is built.
-    A round is one job of ``steps`` edges' depth (``bit_or`` per class, partial
-    before the shuffle), written under the checkpoint directory; masks only
-    grow, and the loop ends when the last step of a round changed no class.
+    A round is one job of ``steps`` edges' depth and sends down a frontier only:
+    the bits that classes first got at the last depth of the round before.  The
+    bits that a round adds are written under the checkpoint directory; known
+    masks are joined once a round, to tell what is new, and never sent down
+    again.  The loop ends when a round's last depth adds nothing.
     """
     spark = class_bases.sparkSession
-    names = rule_ancestors()
     # the fixed names, each with its own bit
     seeds = spark.sql("SELECT inline(array(" + ", ".join(
-        f"named_struct('class_name', '{n}', 'isa_mask', {1 << i}L)" for i, n in enumerate(names)) + "))")
-    edges = (class_bases.select("class_name", "base_name")
-             .filter(F.col("class_name").isNotNull() & F.col("base_name").isNotNull()))
-    # an edge from each class to itself keeps what the class has already
-    edges = materialize(
-        edges.unionByName(edges.select("class_name", F.col("class_name").alias("base_name")))
-        .unionByName(seeds.select("class_name", F.col("class_name").alias("base_name"))).distinct(),
-        "isa-flag-edges")
-    masks = seeds
+        f"named_struct('class_name', '{n}', 'added', {1 << i}L, 'front', {1 << i}L)" for i, n in enumerate(rule_ancestors())) + "))")
+    edges = materialize(class_bases.select("class_name", "base_name")
+                        .filter(F.col("class_name").isNotNull() & F.col("base_name").isNotNull()).distinct(), "isa-flag-edges")
+    parts = [seeds]
     while True:
-        for _ in range(steps):
-            held = masks.select(F.col("class_name").alias("base_name"), "isa_mask")
-            masks = (edges.join(held, "base_name").groupBy("class_name").agg(
-                F.bit_or("isa_mask").alias("isa_mask"),
-                F.max(F.when(F.col("base_name") == F.col("class_name"), F.col("isa_mask"))).alias("before")))
-        masks = materialize(masks, "isa-flags")
-        grew = F.coalesce(F.col("before") != F.col("isa_mask"), F.lit(True))
-        if masks.filter(grew).isEmpty():
-            return masks.select("class_name", "isa_mask")
+        known = reduce(DataFrame.unionByName, parts).groupBy("class_name").agg(F.bit_or("added").alias("known"))
+        level, levels = parts[-1].filter("front <> 0").select("class_name", F.col("front").alias("mask")), []
+        for depth in range(steps):
+            level = (edges.join(level.withColumnRenamed("class_name", "base_name"), "base_name")
+                     .groupBy("class_name").agg(F.bit_or("mask").alias("mask")))
+            levels.append(level.withColumn("last", F.lit(depth == steps - 1)))
+        reached = reduce(DataFrame.unionByName, levels).groupBy("class_name").agg(
+            F.bit_or("mask").alias("mask"), F.coalesce(F.bit_or(F.when(~F.col("last"), F.col("mask"))), F.lit(0).cast("bigint")).alias("early"))
+        without = lambda mask, other: F.col(mask).bitwiseAND(F.bitwise_not(other))
+        grown = reached.join(known, "class_name", "left").withColumn("added", without("mask", F.coalesce("known", F.lit(0).cast("bigint"))))
+        part = materialize(grown.filter("added <> 0").select("class_name", "added", without("added", F.col("early")).alias("front")), "isa-flags")
+        parts.append(part)
+        if part.filter("front <> 0").isEmpty():
+            break
+    return reduce(DataFrame.unionByName, parts).groupBy("class_name").agg(F.bit_or("added").alias("isa_mask"))
 
 
 def _isa_any(ancestors) -> Column:
