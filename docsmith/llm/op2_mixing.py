@@ -17,7 +17,7 @@ it does in ``rounds``; the budget is kept in any case (``calibrate``), and
 Documents are aggregated to cells once (map-side first, so a source with a
 third of all rows is one partial row per task) and read once more to sample
 them, with no shuffle of texts.  Up to ``FEW_CELLS`` cells are raked on the driver
-(``rake_few``), which spares it thirty jobs' plans; more are raked by Spark
+(``few_probabilities``), which spares it thirty jobs' plans; more are raked by Spark
 (``rake``): a round is one job over the cells, for each dimension in turn the
 sums of its values, joined back to the cells, its result written to the shared
 folder.  Both take the same steps.  Sums add the cells' doubles, in whatever order.
@@ -32,7 +32,7 @@ gives an empty result; extra columns pass ``sample_mix`` untouched.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from docsmith.session import materialize
@@ -86,6 +86,14 @@ def flattened_targets(cells: DataFrame, powers: dict[str, float] = FLATTEN) -> d
     return out
 
 
+def _flattened(cells: list[Row], dim: str, power: float) -> dict:
+    sums: dict = {}
+    for r in cells:
+        sums[r[dim]] = sums.get(r[dim], 0) + r["tokens"]
+    total = sum(t**power for t in sums.values())
+    return {v: t**power / total if total else 0.0 for v, t in sums.items()}
+
+
 def reachable(cells: DataFrame, dim: str, targets: DataFrame, want: float) -> DataFrame:
     """(value, tokens, share, wanted): of ``want`` tokens, those that each value
     is to give: its share of them, but no more than it has; what such values lack
@@ -122,35 +130,12 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], want: float, rounds: i
             sums = out.groupBy(F.col(d).alias("_v")).agg(F.sum(F.when(full, tokens).otherwise(0.0)).alias("_full"), F.sum(F.when(full, 0.0).otherwise(tokens * weight)).alias("_part"))
             wanted = F.col(f"want_{d}")
             more = (F.col("_part") > 0) & (wanted > F.col("_full"))
-            step = F.when(more, (wanted - F.col("_full")) / F.col("_part")).when((wanted <= F.col("_full")) & (F.col("_full") > 0), wanted / (F.col("_full") + F.col("_part"))).otherwise(1.0)
+            step = F.when(more, (wanted - F.col("_full")) / F.col("_part")).when((wanted <= F.col("_full")) & (F.col("_full") + F.col("_part") > 0), wanted / (F.col("_full") + F.col("_part"))).otherwise(1.0)
             out = out.join(sums, F.col(d).eqNullSafe(F.col("_v"))).withColumn("weight", F.least(F.lit(MOST), F.greatest(F.lit(LEAST), weight * step))).drop("_v", "_full", "_part")
         out = materialize(out, "raked")
     return out.select(*cells.columns, "weight")
 
 
-def rake_few(cells: DataFrame, targets: dict[str, DataFrame], want: float, rounds: int = ROUNDS) -> DataFrame:
-    """``rake`` of at most FEW_CELLS cells in memory."""
-    rows = cells.collect()
-    tokens = np.array([r["tokens"] for r in rows], float)
-    weight = np.ones(len(rows))
-    sides = []
-    for d, share in targets.items():
-        wanted = {r[d]: r["wanted"] for r in reachable(cells, d, share, want).collect()}  # no more than cells
-        at = {v: i for i, v in enumerate(wanted)}
-        sides.append((np.array([at[r[d]] for r in rows], np.int64), np.array(list(wanted.values()))))
-    for _ in range(rounds if rows else 0):
-        for value, wanted in sides:
-            full = weight > FULL
-            whole, part = (np.bincount(value, x, len(wanted)) for x in (np.where(full, tokens, 0), np.where(full, 0, tokens * weight)))
-            step = np.ones(len(wanted))
-            more, less = (part > 0) & (wanted > whole), (wanted <= whole) & (whole > 0)
-            step[more] = (wanted[more] - whole[more]) / part[more]
-            step[less] = wanted[less] / (whole[less] + part[less])
-            weight = np.clip(weight * step[value], LEAST, MOST)
-    out = [(*r, float(w)) for r, w in zip(rows, weight, strict=True)]
-    return cells.sparkSession.createDataFrame(out, cells.schema.add("weight", "double"))
-
-
 def calibrate(cells: DataFrame, want: float, rounds: int = CAP_ROUNDS) -> DataFrame:
     """``cells`` with ``p`` = least(1, c * least(1, weight)), c such that the
     expected tokens are ``want``; cells at 1 give what they lack to the rest."""
@@ -165,6 +150,41 @@ def calibrate(cells: DataFrame, want: float, rounds: int = CAP_ROUNDS) -> DataFr
     return cells.withColumn("p", F.when(F.col("tokens") == 0, 1.0).otherwise(F.least(F.lit(1.0), own * c)))
 
 
+def few_probabilities(cells: list[Row], shares: dict[str, dict], want: float, rounds: int = ROUNDS) -> np.ndarray:
+    """p of each of few cells (dimensions, tokens): the steps of ``reachable``,
+    ``rake`` and ``calibrate`` in memory.  ``shares``: dimension -> value -> share."""
+    tokens = np.array([r["tokens"] for r in cells], float)
+    sides = []
+    for d, share in shares.items():
+        at = {v: i for i, v in enumerate(dict.fromkeys(r[d] for r in cells))}
+        value = np.array([at[r[d]] for r in cells], np.int64)
+        own, wants = np.bincount(value, tokens, len(at)), np.array([share.get(v, 0.0) for v in at])
+        scale = before = want
+        while (some := ~(whole := wants * scale >= own)).any() and wants[some].sum() > 0:
+            before, scale = scale, max(0.0, want - own[whole].sum()) / wants[some].sum()
+            if scale <= before * (1 + 1e-12):
+                break
+        sides.append((value, np.minimum(own, wants * scale)))
+    weight = np.ones(len(cells))
+    for _ in range(rounds):
+        for value, wanted in sides:
+            full = weight > FULL
+            whole, part = (np.bincount(value, x, len(wanted)) for x in (np.where(full, tokens, 0), np.where(full, 0, tokens * weight)))
+            step = np.ones(len(wanted))
+            more, less = (part > 0) & (wanted > whole), (wanted <= whole) & (whole + part > 0)
+            step[more] = (wanted[more] - whole[more]) / part[more]
+            step[less] = wanted[less] / (whole[less] + part[less])
+            weight = np.clip(weight * step[value], LEAST, MOST)
+    own, c = np.minimum(1.0, weight), 1.0
+    for _ in range(CAP_ROUNDS):
+        full = own * c > FULL
+        rest, part = want - tokens[full].sum(), (tokens * own)[~full].sum()
+        if not part or rest <= 0:
+            break
+        c = rest / part
+    return np.where(tokens == 0, 1.0, np.minimum(1.0, own * c))
+
+
 def draw(id_col: Column, seed: str = SEED) -> Column:
     """A uniform number in [0, 1) that depends on the id alone."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit(""))))
@@ -176,12 +196,19 @@ def mix_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(rows, cells): rows has (doc_id, source, lang, topic, tokens) of each
     row of ``docs``; cells has (source, lang, topic, tokens, ratio, p), ``ratio``
     being the factor by which a cell's share of tokens grows."""
-    text = F.col(text_col)
+    spark, text = docs.sparkSession, F.col(text_col)
     rows = materialize(docs.select(F.col(id_col).alias("doc_id"), "source", "lang", topic_of(text).alias("topic"), tokens_of(text).alias("tokens")), "mix-rows")
     cells = materialize(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
-    want = budget * float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    raked = (rake_few if cells.count() <= few else rake)(cells, targets or flattened_targets(cells, powers), want)
-    return rows, materialize(calibrate(raked, want).withColumn("ratio", F.col("p") / budget).drop("weight"), "mix-p")
+    held = cells.limit(few + 1).collect()
+    if len(held) <= few:
+        total = sum(r["tokens"] for r in held)
+        given = {d: {r[d]: r["share"] for r in t.join(cells.select(d).distinct(), d, "left_semi").collect()} for d, t in (targets or {}).items()}
+        p = few_probabilities(held, given or {d: _flattened(held, d, power) for d, power in powers.items()}, budget * total) if held else []
+        found = spark.createDataFrame([(*r, float(x)) for r, x in zip(held, p, strict=True)], cells.schema.add("p", "double"))
+    else:
+        want = budget * float(cells.agg(F.sum("tokens")).first()[0] or 0)
+        found = calibrate(rake(cells, targets or flattened_targets(cells, powers), want), want).drop("weight")
+    return rows, materialize(found.withColumn("ratio", F.col("p") / budget), "mix-p")
 
 
 def _with_p(rows: DataFrame, cells: DataFrame) -> DataFrame:

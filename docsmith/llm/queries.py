@@ -133,7 +133,7 @@ def _op2_sql() -> str:
             full = f"weight > {mixing.FULL!r}"
             sums = (f"SELECT *, sum(CASE WHEN {full} THEN tokens ELSE 0 END) OVER (PARTITION BY {d}) AS f, "
                     f"sum(CASE WHEN {full} THEN 0 ELSE tokens * weight END) OVER (PARTITION BY {d}) AS part FROM {last}")
-            step = f"CASE WHEN part > 0 AND want_{d} > f THEN (want_{d} - f) / part WHEN want_{d} <= f AND f > 0 THEN want_{d} / (f + part) ELSE 1 END"
+            step = f"CASE WHEN part > 0 AND want_{d} > f THEN (want_{d} - f) / part WHEN want_{d} <= f AND f + part > 0 THEN want_{d} / (f + part) ELSE 1 END"
             parts.append(f"x{k}_{d} AS MATERIALIZED (SELECT * EXCLUDE (f, part) REPLACE (least({mixing.MOST!r}::DOUBLE, greatest({mixing.LEAST!r}::DOUBLE, weight * {step})) AS weight) FROM ({sums}))")
             last = f"x{k}_{d}"
     parts.append("c0 AS MATERIALIZED (SELECT 1::DOUBLE AS c)")

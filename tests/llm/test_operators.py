@@ -114,7 +114,7 @@ def plain_rake(cells, want, rounds):
                 (full if weight[k] > o2.FULL else part)[k[d]] += t if weight[k] > o2.FULL else t * weight[k]
             for k in cells:
                 f, p, w = full[k[d]], part[k[d]], wanted[d][k[d]]
-                weight[k] = min(o2.MOST, max(o2.LEAST, weight[k] * ((w - f) / p if p > 0 and w > f else w / (f + p) if f > 0 and w <= f else 1.0)))
+                weight[k] = min(o2.MOST, max(o2.LEAST, weight[k] * ((w - f) / p if p > 0 and w > f else w / (f + p) if f + p > 0 and w <= f else 1.0)))
     return weight
 
 
@@ -171,14 +171,19 @@ def test_reachable_targets_are_met(spark):
     cells = [(f"s{a}", f"l{b}", f"t{c}", int(rng.integers(1, 2000)) if rng.random() < 0.9 else 0) for a in range(9) for b in range(4) for c in range(5)]
     df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
     want = 0.6 * sum(c[3] for c in cells)
-    found = []
-    for rake in (o2.rake, o2.rake_few):
-        raked = o2.calibrate(rake(df, o2.flattened_targets(df), want), want)
-        for r in o2.shares(raked, 0.6).collect():
-            assert r.expected == pytest.approx(r.reachable, rel=1e-4), r
-        found.append({r[:3]: r.p for r in raked.collect()})
-        assert all(0 <= p <= 1 for p in found[-1].values())
-    assert found[0] == pytest.approx(found[1], rel=1e-9)
+    raked = o2.calibrate(o2.rake(df, o2.flattened_targets(df), want), want)
+    for r in o2.shares(raked, 0.6).collect():
+        assert r.expected == pytest.approx(r.reachable, rel=1e-4), r
+    held = df.collect()
+    p = o2.few_probabilities(held, {d: o2._flattened(held, d, power) for d, power in o2.FLATTEN.items()}, want)
+    assert {r[:3]: r.p for r in raked.collect()} == pytest.approx({r[:3]: x for r, x in zip(held, p, strict=True)}, rel=1e-9)
+    assert (0 <= p).all() and (p <= 1).all()
+    # a value without a target is left out, a target without a value is too
+    some = {"source": df.select("source").distinct().filter("source <> 's0'").withColumn("share", F.lit(1 / 8))}
+    more = some["source"].unionByName(spark.createDataFrame([("none", 0.1)], "source string, share double"))
+    for t in (some, {"source": more}):
+        left = o2.rake(df, t, 1000.0).groupBy("source").agg(F.max("weight").alias("w")).collect()
+        assert {r["source"]: r.w < 1e-6 for r in left}["s0"]
 
 
 # 3 -----------------------------------------------------------------------
