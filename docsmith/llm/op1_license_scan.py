@@ -31,9 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docsmith.llm.common import ship_by_value
-
-#: Words stand between runs of these, after lower-casing A-Z.
-NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+from docsmith.llm.plain_words import words_of
 
 #: Phrase -> label.  Their words must stand consecutively.
 PHRASES = {
@@ -66,6 +64,9 @@ NOTICES = {
 GRAMS = (2, 5)
 #: Diagonals so near are one span.
 BAND = 3
+#: Share of a template's words by which the words it is aligned with reach beyond
+#: its diagonal: so many may have been inserted.
+REACH = 0.25
 #: Share of a span's grams that must vote for it to be verified.
 MIN_VOTES = 0.3
 MIN_SIMILARITY = 0.9
@@ -95,21 +96,18 @@ def template_table(spark: SparkSession, phrases: dict[str, str], notices: dict[s
     return df.withColumn("hash", hashed).drop("gram")
 
 
-def _words(text):
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD, -1), "")
-
-
 def hits(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Gram hits: (doc_id, text_hash, template, label, phrase, k, at, words,
     diagonal, lead, around): ``around`` is the document's words from ``lead``
-    words before the diagonal on."""
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.lit(1), F.col(text_col)).alias("text_hash"), _words(F.col(text_col)).alias("own"))
+    words before the diagonal on, to as many beyond the template's length."""
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.lit(1), F.col(text_col)).alias("text_hash"), words_of(F.col(text_col)).alias("own"))
     each = own.select("doc_id", "text_hash", "own", F.posexplode("own").alias("pos", "word"))
     grams = [F.xxhash64(F.lit(k), F.col("word"), *[F.get("own", F.col("pos") + i) for i in range(1, k)]) for k in GRAMS]
     found = each.select("doc_id", "text_hash", "own", "pos", F.explode(F.array(*grams)).alias("hash")).join(F.broadcast(templates), "hash")
     diagonal = F.col("pos") - F.col("at")
-    first = F.greatest(diagonal - BAND, F.lit(0))
-    around = F.slice("own", first + 1, diagonal - first + F.size("words") + BAND)
+    reach = F.greatest(F.lit(BAND), F.floor(F.size("words") * REACH).cast("int"))
+    first = F.greatest(diagonal - reach, F.lit(0))
+    around = F.slice("own", first + 1, diagonal - first + F.size("words") + reach)
     return found.select("doc_id", "text_hash", "template", "label", "phrase", "k", "at", "words", diagonal.alias("diagonal"), (diagonal - first).alias("lead"), around.alias("around"))
 
 
@@ -163,7 +161,7 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
         F.max("similarity").alias("score"))
     text = F.col(text_col)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.lit(1), text).alias("text_hash"),
-                      F.size(_words(text)).cast("long").alias("n_words"))
+                      F.size(words_of(text)).cast("long").alias("n_words"))
     same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_hash") == F.col("f.text_hash"))
     return own.alias("d").join(found.alias("f"), same, "left").select(
         "d.doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),

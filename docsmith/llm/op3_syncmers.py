@@ -4,16 +4,20 @@ A k-mer of characters is chosen if the smallest hash among its inner s-mers is
 at its first or its last place.  That depends on the k-mer alone, not on its
 neighbours, so that equal passages give equal anchors wherever they stand.  A
 fingerprint lists every anchor of a document, in the order of their places, each
-with its place; two fingerprints are alike as far as they share anchors whose
-places agree up to one common shift.  The number of anchors grows with the text
+with its place; two fingerprints are alike as far as they share anchors of
+passages: places that agree up to a shift which others have too, so that text
+inserted or cut between passages does not part them.  The number of anchors grows with the text
 (about 2 in 15 characters of prose).  Consecutive anchors overlap, so an edit
 changes the list wherever it stands, except in the up to 14 characters before
 the first anchor and after the last one.
 
 ``fingerprint`` works inside each text's own row.  ``with_next`` brings every
 document together with the one after it in descending id: documents are dealt
-into ranges of ids (cut points from a quantile sketch), and each range also
-gets the first document of the range below, so no task holds more than a range.
+into ranges of ids (cut points from a quantile sketch, as many as the texts'
+bytes need), and each range also gets the first document of the range below, so
+no task holds more than a range.  An id on a large share of the rows, and null
+ids, are cut further by the texts' hashes; only rows equal in id and text stay
+together.
 
 Defined results: a null text counts as empty and has the empty fingerprint; two
 empty fingerprints are alike (1), an empty and another are not (0); a text
@@ -27,11 +31,12 @@ columns are ignored; texts of any length are read whole.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,6 +45,11 @@ from docsmith.llm.common import ship_by_value
 K, S = 20, 6
 #: Places agree if their shifts differ by no more characters than this.
 SHIFT_BAND = 32
+#: Shared anchors whose shifts agree that make a passage, or half of the anchors
+#: of the shorter text, if these are fewer.
+PASSAGE = 8
+#: Bytes of texts of a range of ids, and ranges at most.
+RANGE_BYTES, MOST_RANGES = 64 << 20, 100_000
 #: Characters of fingerprints that a task gathers before it hands them on.
 BLOCK_CHARS = 1 << 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -120,37 +130,61 @@ def _shifts(a: Anchors, b: Anchors) -> np.ndarray:
 
 
 def likeness(a: Anchors, b: Anchors, band: int = SHIFT_BAND) -> float:
-    """0 to 1: of the anchors of either, those that both have at places that
-    agree, counted in both (Dice)."""
+    """0 to 1: of the anchors of either, those that both have in a passage,
+    counted in both (Dice)."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     shifts = _shifts(a, b)
     if not len(shifts):
         return 0.0
-    middle = shifts[len(shifts) // 2]
-    share = int((np.abs(shifts - middle) <= band).sum()) / (len(a) + len(b) - len(shifts))
+    alike = np.searchsorted(shifts, shifts + band, "right") - np.searchsorted(shifts, shifts - band)
+    both = int((alike >= min(PASSAGE, max(1, min(len(a), len(b)) // 2))).sum())
+    share = both / (len(a) + len(b) - len(shifts))
     return 2 * share / (1 + share)
 
 
+def _place(cuts: list[int], id_col: Column) -> Column:
+    """How many of the ascending ``cuts`` are below an id, by halving."""
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    at = lambda n: F.get(F.lit(cuts).cast("array<bigint>"), n - 1)
+    below = lambda n, step: F.when((n + step <= len(cuts)) & (at(n + step) < id_col), n + step).otherwise(n)
+    return F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), below) if cuts else F.lit(0)
+
+
+def range_of(rows: DataFrame, ranges: int) -> Column:
+    """The range of a row (doc_id, tie), ascending with id, null ids first, and
+    with the tie."""
+    row = rows.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)] or [0.5], max(10_000, 20 * ranges)), F.count("*"), F.count("doc_id")).first()
+    cuts = row[0] or []
+    times = Counter(cuts)
+    heavy = {v: n for v, n in times.items() if n > 1}  # an id on as many ranges' rows
+    nulls = -(-(row[1] - row[2]) * ranges // max(row[1], 1))
+    inside = F.col("tie").cast("double") / float(1 << 64) + 0.5  # of 0 to 1
+    pieces = F.when(F.col("doc_id").isNull(), F.lit(max(1, nulls)))
+    for v, n in heavy.items():  # at most half as many as ranges
+        pieces = pieces.when(F.col("doc_id") == v, F.lit(n))
+    own = F.floor(inside * pieces.otherwise(F.lit(1)))
+    first = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(_place(sorted({*cuts, *(v - 1 for v in heavy)}), F.col("doc_id")) + 1)
+    return first.cast("long") * (ranges + 1) + own
+
+
 def with_next(docs: DataFrame, ranges: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, next_text): the next row in descending id; after the
     last, the first."""
     spark = docs.sparkSession
-    ranges = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    shares = [i / ranges for i in range(1, ranges)] or [0.5]
-    cuts = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] or []))
-    # range 0 has the null ids, which come last; then ascending ranges of ids
-    below = F.aggregate(F.lit(cuts).cast("array<bigint>"), F.lit(1), lambda n, c: n + (F.col("doc_id") > c).cast("int"))
-    part = F.when(F.col("doc_id").isNull(), 0).otherwise(below)
-    rows = rows.withColumn("part", part)
+    if ranges is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        ranges = min(MOST_RANGES, max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // RANGE_BYTES))
     tie = F.xxhash64("text")
+    tied = rows.withColumn("tie", tie)
+    rows = tied.withColumn("part", range_of(tied.select("doc_id"), ranges)).drop("tie")
     heads = rows.select("part", "doc_id", tie.alias("tie")).groupBy("part").agg(F.max_by(F.struct("doc_id", "tie"), F.struct(F.coalesce("doc_id", F.lit(0)), "tie")).alias("head")).collect()  # one row per range
     if not heads:
         return rows.select("doc_id", "text", F.col("text").alias("next_text"))
     heads = sorted(((r["part"], r["head"]["doc_id"], r["head"]["tie"]) for r in heads), reverse=True)
     after = [(heads[(i + 1) % len(heads)][1:], h[0]) for i, h in enumerate(heads)]  # head of the next range -> range
-    wanted = spark.createDataFrame([(i, t, p) for (i, t), p in after], "head_id long, head_tie long, into int")
+    wanted = spark.createDataFrame([(i, t, p) for (i, t), p in after], "head_id long, head_tie long, into long")
     edge = rows.filter(F.col("doc_id").isNull() | F.col("doc_id").isin([h[1] for h in heads if h[1] is not None])).withColumn("tie", tie)
     edge = edge.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("tie") == F.col("head_tie")))
     edge = edge.dropDuplicates(["into"]).select("doc_id", "text", F.col("into").alias("part"), F.lit(True).alias("edge"))

@@ -91,6 +91,15 @@ def test_license_notice_with_edits(spark):
     assert got[2].labels == "" and got[2].score < 0.9
 
 
+@pytest.mark.parametrize("inserted", [3, 8, 12])
+def test_license_notice_with_words_in_the_middle(spark, inserted):
+    notice = next(t for t in o1.NOTICES if t.startswith("permission is hereby")).split()
+    for at in (10, len(notice) // 2, len(notice) - 10):
+        text = " ".join([*notice[:at], *["more"] * inserted, *notice[at:]])
+        got = o1.scan(spark.createDataFrame([(1, f"a text before it {text} and after")], "doc_id long, text string")).first()
+        assert got.labels == "mit" and got.score > 0.9, (at, got)
+
+
 # 2 -----------------------------------------------------------------------
 def plain_rake(cells, want, rounds):
     """cells: {(source, lang, topic): tokens} -> weights, by plain loops."""
@@ -222,6 +231,34 @@ def test_fingerprints(docs, empty):
     assert len(one) == 1 and one[0].near_next == 1
 
 
+def test_next_text_of_repeated_and_null_ids(spark):
+    """One id and null ids on most rows: every row still meets the next one,
+    and no range holds them all."""
+    rng = np.random.default_rng(33)
+    rows = [(int(i), f"text {k}") for k, i in enumerate(rng.integers(0, 400, 400))] + [(7, f"seven {k}") for k in range(900)] + [(None, f"none {k}") for k in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "text")
+    order = [r.text for r in df.orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text").desc()).collect()]
+    want = bag(zip(order, order[1:] + order[:1], strict=True))
+    for ranges in (1, 2, 16, 50):
+        assert bag((r.text, r.next_text) for r in o3.with_next(df, ranges).collect()) == want
+    tied = df.withColumn("tie", F.xxhash64("text"))
+    sizes = tied.groupBy(o3.range_of(df, 16)).count().collect()
+    assert max(r["count"] for r in sizes) < 2000 / 16 * 2.5
+
+
+def test_likeness_over_insertions():
+    rng = np.random.default_rng(4)
+    blocks = ["".join(rng.choice(list("abcdefghij "), 1500)) for _ in range(5)]
+    own = "".join(blocks[:3])
+    apart = blocks[0] + blocks[3][:100] + blocks[1] + blocks[4][:100] + blocks[2]
+    moved = blocks[2] + blocks[0] + blocks[1]
+    other = blocks[3] + blocks[4] + blocks[1][::-1]
+    like = lambda t: o3.likeness(o3.anchors(own), o3.anchors(t))
+    assert like(apart) > 0.93 and like(moved) > 0.95 and like(other) < 0.02
+    assert 0.6 < like(blocks[0] + blocks[1] + blocks[3]) < 0.75
+    assert o3.likeness(o3.anchors("a short text of one line, no more than that"), o3.anchors("a short text of one line, no more than that")) == 1
+
+
 def test_likeness():
     rng = np.random.default_rng(1)
     a, b = ("".join(rng.choice(list("abcdefghij "), 4000)) for _ in range(2))
