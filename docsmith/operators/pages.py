@@ -24,6 +24,19 @@ from docsmith.schema import KEY_METHODS_SHOWN, PAGE_DEFAULT_VISIBILITY
 MODULE_PATH_PREFIX = "vtkmodules."
 DEFAULT_TITLE = "VTK Python API Documentation"
 INDEX_FILE = "index.md"
+TABLE_HEAD = ("| | |", "|---|---|")
+ROLE_ROW = "| **Role** | "
+ACTION_ROW = "| **Action** | "
+VISIBILITY_ROW = "| **Visibility** | "
+INPUT_ROW = "| **Input Type** | "
+OUTPUT_ROW = "| **Output Type** | "
+ROW_END = " |"
+SYNOPSIS = "## Synopsis"
+DESCRIPTION = "## Description"
+KEY_METHODS = "## Key Methods"
+METHODS = "## Methods"
+CLASSES = "## Classes"
+MODULES = "## Modules"
 
 PAGE_ERROR = "visibility_score is null: "
 
@@ -47,13 +60,13 @@ def metadata_lines(role="role", action="action_phrase", score="visibility_score"
     role, action, in_type, out_type = (F.col(c) for c in (role, action, in_type, out_type))
     s = F.coalesce(F.col(score), F.lit(PAGE_DEFAULT_VISIBILITY))
     rows = F.filter(F.array(
-        F.when(_nonempty(role), F.concat(F.lit("| **Role** | "), role, F.lit(" |"))),
-        F.when(_nonempty(action), F.concat(F.lit("| **Action** | "), action, F.lit(" |"))),
-        F.when(s > 0, F.concat(F.lit("| **Visibility** | "), stars(s), F.lit(" ("), one_decimal(s), F.lit(") |"))),
-        F.when(_nonempty(in_type), F.concat(F.lit("| **Input Type** | "), in_type, F.lit(" |"))),
-        F.when(_nonempty(out_type), F.concat(F.lit("| **Output Type** | "), out_type, F.lit(" |"))),
+        F.when(_nonempty(role), F.concat(F.lit(ROLE_ROW), role, F.lit(ROW_END))),
+        F.when(_nonempty(action), F.concat(F.lit(ACTION_ROW), action, F.lit(ROW_END))),
+        F.when(s > 0, F.concat(F.lit(VISIBILITY_ROW), stars(s), F.lit(" ("), one_decimal(s), F.lit(")" + ROW_END))),
+        F.when(_nonempty(in_type), F.concat(F.lit(INPUT_ROW), in_type, F.lit(ROW_END))),
+        F.when(_nonempty(out_type), F.concat(F.lit(OUTPUT_ROW), out_type, F.lit(ROW_END))),
     ), lambda x: x.isNotNull())
-    return F.when(F.size(rows) > 0, F.concat(_lines("| | |", "|---|---|"), rows, _lines(""))).otherwise(_empty())
+    return F.when(F.size(rows) > 0, F.concat(_lines(*TABLE_HEAD), rows, _lines(""))).otherwise(_empty())
 
 
 def key_method_lines(sem: Column, shown_methods: int = KEY_METHODS_SHOWN) -> Column:
@@ -63,7 +76,7 @@ def key_method_lines(sem: Column, shown_methods: int = KEY_METHODS_SHOWN) -> Col
                                      lambda m: F.concat(F.lit("`"), m, F.lit("`"))), ", ")
     more = F.when(n > shown_methods, F.array(F.concat(
         F.lit("\n*...and "), (n - shown_methods).cast("string"), F.lit(" more*")))).otherwise(_empty())
-    return F.when(n > 0, F.concat(_lines("## Key Methods", ""), F.array(shown), more, _lines(""))).otherwise(_empty())
+    return F.when(n > 0, F.concat(_lines(KEY_METHODS, ""), F.array(shown), more, _lines(""))).otherwise(_empty())
 
 
 def method_section_lines(sections: Column, sem: Column) -> Column:
@@ -80,7 +93,7 @@ def method_section_lines(sections: Column, sem: Column) -> Column:
 
     secs = F.coalesce(sections, F.create_map().cast("map<string,struct<methods:map<string,string>,method_count:int>>"))
     has = (F.size(F.map_keys(secs)) > 0) & (F.size(sem) > 0)
-    return F.when(has, F.concat(_lines("## Methods", ""),
+    return F.when(has, F.concat(_lines(METHODS, ""),
                                 F.flatten(F.transform(F.map_entries(secs), one_section)))).otherwise(_empty())
 
 
@@ -103,8 +116,8 @@ def class_page(records: DataFrame, keep: tuple[str, ...] = (), shown_methods: in
         F.array(F.concat(F.lit("# "), name), F.lit(""),
                 F.concat(F.lit("**Module:** `" + MODULE_PATH_PREFIX), module, F.lit("`")), F.lit("")),
         metadata_lines(),
-        F.when(_nonempty(syn), F.array(F.lit("## Synopsis"), F.lit(""), syn, F.lit(""))).otherwise(_empty()),
-        F.when(_nonempty(doc), F.array(F.lit("## Description"), F.lit(""), doc, F.lit(""))).otherwise(_empty()),
+        F.when(_nonempty(syn), F.array(F.lit(SYNOPSIS), F.lit(""), syn, F.lit(""))).otherwise(_empty()),
+        F.when(_nonempty(doc), F.array(F.lit(DESCRIPTION), F.lit(""), doc, F.lit(""))).otherwise(_empty()),
         key_method_lines(sem, shown_methods),
         method_section_lines(sections, sem),
     )
@@ -181,7 +194,7 @@ def module_index_lines(records: DataFrame, order_col: str | None = None) -> Data
             for i, x in enumerate([
                 F.concat(F.lit("# "), F.col("module_name")), F.lit(""),
                 F.concat(F.lit("**"), F.col("n").cast("string"), F.lit(" classes**")), F.lit(""),
-                F.lit("## Classes"), F.lit(""),
+                F.lit(CLASSES), F.lit(""),
             ])
         ])),
     ).withColumn("kind", F.lit(0))
@@ -207,7 +220,7 @@ def main_index_lines(results: DataFrame, version: str = "VTK (version unknown)",
             F.lit("# " + title), F.lit(""), F.lit(f"**{version}**"), F.lit(""),
             F.concat(F.lit("This documentation covers "), F.col("m").cast("string"), F.lit(" modules with "),
                      thousands(F.col("c")), F.lit(" classes.")),
-            F.lit(""), F.lit("## Modules"), F.lit(""),
+            F.lit(""), F.lit(MODULES), F.lit(""),
         ])
     ]))).withColumn("kind", F.lit(0))
     bullets = ok.select(
