@@ -5,8 +5,8 @@ cluster) and the next stage reads it back, so a stage never recomputes the
 previous ones and a lost executor only repeats work of the running stage.
 Stages: ``catalog`` (parse, written; role flags and profile computed
 alongside), ``labels`` (cache + labeller over the parsed docs, written),
-``records`` (parsed docs + profile + labels, written as JSON), ``stubs`` (line
-rows, and one file a module), ``pages`` (class pages, module results, index line
+``records`` (parsed docs + profile + labels, written as JSON), ``stubs`` (one
+file a module), ``pages`` (class pages, module results, index line
 rows, and one file a page and index).
 
 Where the dump has an ingestion order (``seq``, see ``io.read_help_dump``), the
@@ -128,8 +128,8 @@ def _build(
 
         if stub_lines is not None:
             stage("stubs")
-            SB.write_stub_lines(SB.annotate_stub_lines(stub_lines, recs), f"{out}/stub_lines")
-            annotated = spark.read.parquet(f"{out}/stub_lines")
+            SB.annotate_stub_lines(stub_lines, recs).write.mode("overwrite").parquet(f"{out}/stage/stub_lines")
+            annotated = spark.read.parquet(f"{out}/stage/stub_lines")
             IO.write_stub_files(annotated, f"{out}/stubs")
             written = SB.write_outcomes(SB.stub_files(annotated), file_outcomes(spark, f"{out}/stubs"))
             res.summary["stubs"] = SB.stub_summary(written).first().asDict()
