@@ -642,10 +642,10 @@ def _stub_line_rows(stubs, lines_per_split: int = 7):
     """The line rows ``io.read_stub_lines`` gives for these texts, with each file
     cut into splits of ``lines_per_split`` lines (a line reader yields no
     empty last line after a final newline)."""
-    pieces = stubs.select(
-        "module_name", F.col("module_name").alias("file"), F.octet_length("content").cast("bigint").alias("file_size"),
-        F.posexplode(F.split(F.coalesce(F.col("content"), F.lit("")), "\n", -1)).alias("pos", "line"),
-        F.size(F.split(F.coalesce(F.col("content"), F.lit("")), "\n", -1)).alias("n"))
+    split = F.split(F.coalesce(F.col("content"), F.lit("")), "\n", -1)
+    # a file's facts stand below the explode: beside it they are worked out, from the whole text, for every line
+    files = stubs.select("module_name", F.octet_length("content").cast("bigint").alias("file_size"), split.alias("lines"), F.size(split).alias("n"))
+    pieces = files.select("module_name", F.col("module_name").alias("file"), "file_size", F.posexplode("lines").alias("pos", "line"), "n")
     lines = pieces.filter(~((F.col("pos") == F.col("n") - 1) & (F.col("line") == "")))
     return lines.select(
         "module_name", "file", F.floor(F.col("pos") / lines_per_split).cast("bigint").alias("block"),
