@@ -147,10 +147,12 @@ def text_line_rows(stubs: DataFrame, block_lines: int = BLOCK_LINES) -> DataFram
     file are one."""
     text = F.coalesce("content", F.lit(""))
     src = with_file_id(stubs.select("module_name", "content")).dropDuplicates(["module_name", FILE_ID])
-    lines = src.select(
+    # a file's facts stand below the explode: beside it they are worked out, from the whole text, for every line
+    files = src.select(
         "module_name", F.concat_ws("#", "module_name", F.hex(FILE_ID)).alias("file"), F.octet_length(text).cast("bigint").alias("file_size"),
-        F.length(text).alias("_chars"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"), F.size(F.split(text, "\n", -1)).alias("_n"))
-    after_newline = (F.col("pos") == F.col("_n") - 1) & (F.col("line") == "") & (F.col("_chars") > 0)
+        F.split(text, "\n", -1).alias("_lines"), F.size(F.split(text, "\n", -1)).alias("_n"))
+    lines = files.select("module_name", "file", "file_size", "_n", F.posexplode("_lines").alias("pos", "line"))
+    after_newline = (F.col("pos") == F.col("_n") - 1) & (F.col("line") == "") & (F.col("file_size") > 0)
     return lines.filter(~after_newline).select(
         "module_name", "file", F.floor(F.col("pos") / block_lines).cast("bigint").alias("block"), F.col("pos").cast("bigint").alias("row"), "line", "file_size")
 

@@ -2,6 +2,7 @@
 
 import pytest
 
+from docsmith.operators import stubs as SB
 from docsmith.plans import queries_jobs as QJ
 
 TEXTS = {"vtkNull": None, "vtkEmpty": "", "vtkNl": "\n", "vtkNoEnd": "class A:\n  x", "vtkEnd": "class A:\n\n  x\n", "vtkTwoEnds": "a\n\n"}
@@ -11,7 +12,7 @@ def _stubs(spark):
     return spark.createDataFrame(list(TEXTS.items()), "module_name string, content string")
 
 
-@pytest.mark.parametrize("line_rows", [QJ._stub_line_rows])
+@pytest.mark.parametrize("line_rows", [QJ._stub_line_rows, SB.text_line_rows])
 def test_lines_do_not_work_on_the_whole_text(spark, line_rows):
     """Nothing above the explode reads the file's text: it would be read for
     every line."""
