@@ -10,9 +10,8 @@ Plan: stubs are hash-partitioned by module once and exploded into lines.
 Declarations and their insertion points come from one descending running
 window over a module's lines (the next non-blank line below each line); only
 the declaration rows (one per class) are joined with the docstrings, by
-``(module, class)``.  Each file is rebuilt in its own row: the docstrings to
-insert are joined back by module and spliced in with ``transform`` over the
-file's lines, so the file text is not shuffled line by line.
+``(module, class)``.  A file is rebuilt from its lines and the docstrings among
+them in blocks of lines, so that no task orders a whole file's lines to join them.
 """
 
 from __future__ import annotations
@@ -33,6 +32,8 @@ DECL_RE = r"(?U)class (\w+)\b[^:]*:\s*$"
 # different files of one module are never mixed line by line; exact copies
 # of a file collapse into one.
 FILE_ID = "_file"
+#: Lines of a block of a file.
+BLOCK_LINES = 10_000
 
 
 def with_file_id(stubs: DataFrame) -> DataFrame:
@@ -90,31 +91,35 @@ def annotate_stubs(stubs: DataFrame, records: DataFrame, order_col: str | None =
     """JOB3: ``(module_name, path, content, inserted)`` per stub file.
 
     The declarations found in the exploded lines are joined with the
-    docstrings (one small row per inserted docstring), gathered per module
-    (bounded by what that file gains) and joined back to the file row, where a
-    higher-order function splices them in before their insertion lines.  The
-    file text itself is never regrouped line by line."""
+    docstrings: one small row per inserted docstring, which takes its place
+    among the lines.  Blocks of ``BLOCK_LINES`` lines are joined to text each,
+    wherever they are dealt, and a file's text from its blocks; a docstring is
+    never looked up for a line, so the work grows with the lines."""
     docs = stub_docs(records, order_col)
     src = with_file_id(stubs.select("module_name", "content")).dropDuplicates(["module_name", FILE_ID])
+    lines = stub_lines(src)
     inserts = (
-        declarations(stub_lines(src))
+        declarations(lines)
         .filter(~F.col("has_docstring"))
         .join(annotatable(docs).select("module_name", "class_name", "class_doc"),
               ["module_name", "class_name"])
-        .groupBy("module_name", FILE_ID)
-        .agg(F.map_from_entries(F.collect_list(F.struct(
-            F.col("insert_pos").cast("int"),
-            F.concat(F.lit('    """'), F.col("class_doc"), F.lit('"""'))))).alias("ins"))
+        .select("module_name", FILE_ID, F.col("insert_pos").alias("pos"),
+                F.concat(F.lit('    """'), F.col("class_doc"), F.lit('"""')).alias("line"), F.lit(0).alias("sub"))
+    )
+    blocks = (
+        lines.withColumn("sub", F.lit(1)).unionByName(inserts)
+        .withColumn("block", F.expr(f"pos div {BLOCK_LINES}"))
+        .repartition("module_name", FILE_ID, "block")
+        .groupBy("module_name", FILE_ID, "block")
+        .agg(F.expr("listagg(line, '\\n') within group (order by pos, sub)").alias("text"), F.count_if(F.col("sub") == 0).alias("n"))
     )
-    lines = F.split(F.coalesce(F.col("content"), F.lit("")), "\n", -1)
-    ins = F.col("ins")
-    rebuilt = F.array_join(F.transform(lines, lambda ln, i: F.when(
-        F.element_at(ins, i).isNotNull(), F.concat(F.element_at(ins, i), F.lit("\n"), ln)).otherwise(ln)), "\n")
-    return src.join(inserts, ["module_name", FILE_ID], "left").select(
+    rebuilt = blocks.groupBy("module_name", FILE_ID).agg(
+        F.expr("listagg(text, '\\n') within group (order by block)").alias("rebuilt"), F.sum("n").alias("n"))
+    return src.join(rebuilt.filter("n > 0"), ["module_name", FILE_ID], "left").select(
         "module_name",
         F.concat(F.col("module_name"), F.lit(".pyi")).alias("path"),
-        F.when(ins.isNull(), F.col("content")).otherwise(rebuilt).alias("content"),
-        F.coalesce(F.size(ins), F.lit(0)).cast("bigint").alias("inserted"),
+        F.when(F.col("n").isNull(), F.col("content")).otherwise(F.col("rebuilt")).alias("content"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("inserted"),
     )
 
 
@@ -134,8 +139,6 @@ def stub_summary(annotated: DataFrame) -> DataFrame:
 # Line-level path: the build's own, for stub files of any size
 # --------------------------------------------------------------------------
 
-#: Lines of a block of :func:`text_line_rows`.
-BLOCK_LINES = 10_000
 #: Why a stub file fails.
 NOT_UTF8 = "not UTF-8"
 _BOM = "\ufeff"

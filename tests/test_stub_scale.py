@@ -25,3 +25,31 @@ def test_lines_do_not_work_on_the_whole_text(spark, line_rows):
     assert got["vtkNoEnd"] == ["class A:", "  x"] and got["vtkEnd"] == ["class A:", "", "  x"] and got["vtkTwoEnds"] == ["a", ""] and got["vtkNl"] == [""]
     sizes = {r.module_name: r.file_size for r in out.collect()}
     assert sizes["vtkEnd"] == 14 and sizes["vtkNoEnd"] == 12
+
+
+def test_docstrings_are_not_looked_up_by_line(spark):
+    """Files of several blocks of lines get the text of the whole-file rule, and
+    no line searches a file's docstrings."""
+    n = SB.BLOCK_LINES
+    text = "\n" + "".join(f"class C{i}(B):\n" + "\n" * (i % 3) + ('    """there"""\n' if i % 5 == 0 else "    x\n") for i in range(n))
+    texts = {"m": text, "end": text.rstrip("\n"), "blank": "class C1:\n\n\n", "none": text, "empty": None}
+    stubs = spark.createDataFrame(list(texts.items()), "module_name string, content string")
+    docs = {f"C{i}": f"Doc\n  {i}" for i in range(1, n, 2)}
+    recs = spark.createDataFrame([(m, c, d) for m in ("m", "end", "blank", "empty") for c, d in docs.items()], "module_name string, class_name string, class_doc string")
+    out = SB.annotate_stubs(stubs, recs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "element_at" not in plan and "map_from_entries" not in plan
+    got = {r.module_name: (r.content, r.inserted) for r in out.collect()}
+
+    def want(lines):
+        for i, line in enumerate(lines):
+            name = line[6:].split("(")[0].split(":")[0] if line.startswith("class ") else None
+            after = next((k for k in range(i + 1, len(lines)) if lines[k].strip()), len(lines) - 1) if name in docs else None
+            if after is not None and "there" not in lines[after]:
+                yield after, f'    """{docs[name]}"""'
+
+    for m in ("m", "end", "blank"):
+        lines = texts[m].split("\n")
+        ins = dict(want(lines))
+        assert got[m] == ("\n".join(f"{ins[i]}\n{x}" if i in ins else x for i, x in enumerate(lines)), len(ins)) and ins
+    assert got["none"] == (text, 0) and got["empty"] == (None, 0)
