@@ -160,28 +160,37 @@ def text_line_rows(stubs: DataFrame, block_lines: int = BLOCK_LINES) -> DataFram
         "module_name", "file", F.floor(F.col("pos") / block_lines).cast("bigint").alias("block"), F.col("pos").cast("bigint").alias("row"), "line", "file_size")
 
 
+#: Piece of a block: a split of a file can have any number of lines.
+PIECE = "_piece"
+
+
+def with_piece(lines: DataFrame) -> DataFrame:
+    return lines if PIECE in lines.columns else lines.withColumn(PIECE, F.expr(f"row div {BLOCK_LINES}"))
+
+
 def stub_blocks(lines: DataFrame, modules: DataFrame) -> DataFrame:
     """What a file's lines must know of the rest of it, one row per ``(file,
-    block)``: ``next_nb``, the first line with text in a later block; ``last``,
+    block, _piece)``: ``next_nb``, the first line with text in a later one; ``last``,
     the file's last line; ``tail_nl``, 1 if a newline ends the file; ``bom_row``,
     the line before which the text source drops a byte order mark; ``error``.
-    The windows are over a file's blocks, not its lines.
+    The windows are over the pieces of a file's blocks, not its lines.
 
     The bytes that lines and the newlines between them leave of the file's size
     tell the final newline (1 byte) and the mark (3)."""
     first_line = F.min(F.when(~is_blank("line"), F.struct("row", "line")))
-    blocks = lines.groupBy("module_name", "file", "block").agg(
+    blocks = with_piece(lines).groupBy("module_name", "file", "block", PIECE).agg(
         first_line.alias("nb"), F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.first("file_size").alias("file_size"),
         F.sum(F.octet_length("line") + 1).alias("octets"), F.count_if(~F.is_valid_utf8("line")).alias("bad"))
-    whole = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    later = Window.partitionBy("file").orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("file").orderBy("block", PIECE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    later = Window.partitionBy("file").orderBy(F.col("block").desc(), F.col(PIECE).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.struct("block", "first_row")
     spare = F.max("file_size").over(whole) - (F.sum("octets").over(whole) - 1)
     known = modules.select("module_name").distinct().withColumn("known", F.lit(True))
     facts = blocks.select(
-        "module_name", "file", "block",
+        "module_name", "file", "block", PIECE,
         F.min(F.when(F.col("nb").isNotNull(), F.struct("block", F.col("nb.row").alias("row"), F.col("nb.line").alias("line")))).over(later).alias("next_nb"),
         F.max(F.struct("block", F.col("last_row").alias("row"))).over(whole).alias("last"),
-        (spare % 3).alias("tail_nl"), F.when((spare >= 3) & (F.col("block") == F.min("block").over(whole)), F.col("first_row")).alias("bom_row"), F.sum("bad").over(whole).alias("bad"))
+        (spare % 3).alias("tail_nl"), F.when((spare >= 3) & (start == F.min(start).over(whole)), F.col("first_row")).alias("bom_row"), F.sum("bad").over(whole).alias("bad"))
     # a file of a module without records is copied as it is, whatever its bytes
     return facts.join(known, "module_name", "left").withColumn("error", F.when((F.col("bad") > 0) & F.col("known"), F.lit(NOT_UTF8))).drop("bad", "known")
 
@@ -194,14 +203,16 @@ def annotate_stub_lines(lines: DataFrame, records: DataFrame, order_col: str | N
     ``nl``.  ``error`` is set on all lines of a file that fails: a file whose
     module has records must be UTF-8.
 
-    Nothing gathers a file: lines are distributed by ``(file, block)``.  The
+    Nothing gathers a file, or a large split of one: lines are distributed by
+    ``(file, block)`` and, within it, by pieces of ``BLOCK_LINES`` lines.  The
     next non-blank line after a declaration is found by a window within its
-    block, and for a declaration whose block ends in blank lines in the block
+    piece, and for a declaration whose piece ends in blank lines in the piece's
     facts (:func:`stub_blocks`), which are joined by the same key."""
     key = F.struct("block", "row")
-    in_block = Window.partitionBy("file", "block").orderBy(F.col("row").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    lines = with_piece(lines).repartition("file", "block", PIECE)  # once, for the facts and the lines
+    in_block = Window.partitionBy("file", "block", PIECE).orderBy(F.col("row").desc()).rowsBetween(Window.unboundedPreceding, -1)
     marked = (
-        lines.join(stub_blocks(lines, records).drop("module_name"), ["file", "block"])
+        lines.join(stub_blocks(lines, records).drop("module_name"), ["file", "block", PIECE])
         .withColumn("decl", F.when(F.col("error").isNull(), F.regexp_extract("line", DECL_RE, 1)))
         .withColumn("nb", F.min(F.when(~is_blank("line"), F.struct("row", "line"))).over(in_block))
     )

@@ -15,6 +15,11 @@ previous output stays as it was.  A write that stopped between the two renames
 is put right by the next one.  Every task lists its files' outcomes in
 ``_outcomes``.
 
+A file too large for one task to order its rows is written in pieces
+(:func:`write_files_in_pieces`): each is a file of its own in a folder beside the
+target, dealt out like any file, and the sink then copies the pieces of a path
+one after the other, in chunks, into its file.
+
 Files are written through Arrow's file systems (local and mounted folders,
 HDFS, S3, GCS, by URI) in Spark's Python data source API.  The renames are
 atomic where the file system's are; on object stores they copy.
@@ -37,6 +42,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 FORMAT = "docsmith_files"
 OUTCOMES = "_outcomes"
 OUTCOME = "path string, bytes long, error string"
+CHUNK = 1 << 20
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -58,8 +64,8 @@ class FilesWritten(WriterCommitMessage):
 
 
 class FilesWriter(DataSourceArrowWriter):
-    def __init__(self, out: str):
-        self.out = out.rstrip("/")
+    def __init__(self, out: str, pieces: str | None = None):
+        self.out, self.pieces = out.rstrip("/"), pieces
         self.staged, self.old = f"{self.out}.staged-{uuid.uuid4().hex}", f"{self.out}.old"
         fs, root = _open(self.out)
         if not _exists(fs, root) and _exists(fs, _open(self.old)[1]):  # a commit stopped half way
@@ -91,11 +97,17 @@ class FilesWriter(DataSourceArrowWriter):
                 return
             if stream is not None:
                 close(path, stream)
-            outcomes.append({"path": path, "bytes": size, "error": error})
+            outcomes.append({"path": path, "bytes": size, "error": error, "owner": owner})
+
+        def chunks(piece: str) -> Iterator[bytes]:
+            pieces, folder = _open(self.pieces)
+            with pieces.open_input_stream(f"{folder}/{piece}", compression=None) as given:
+                while chunk := given.read(CHUNK):
+                    yield chunk
 
         for batch in iterator:
-            for p, data, o, e in zip(*(batch.column(c) for c in ("path", "data", "owner", "error")), strict=True):
-                p, o, e = p.as_py(), o.as_py(), e.as_py()
+            for p, data, o, e, piece in zip(*(batch.column(c) for c in ("path", "data", "owner", "error", "piece")), strict=True):
+                p, o, e, piece = p.as_py(), o.as_py(), e.as_py(), piece.as_py()
                 if p is None or p != path:
                     finish()
                     if p is None or not _safe(p):
@@ -107,6 +119,10 @@ class FilesWriter(DataSourceArrowWriter):
                 if stream is not None and data.is_valid:
                     stream.write(data.as_buffer())
                     size += len(data.as_buffer())
+                elif stream is not None and piece is not None:
+                    for chunk in chunks(piece):
+                        stream.write(chunk)
+                        size += len(chunk)
         finish()
         if outcomes:
             listing = f"{OUTCOMES}/part-{part:06d}.json"
@@ -134,7 +150,8 @@ class FilesWriter(DataSourceArrowWriter):
 
 
 class FilesSource(DataSource):
-    """Write format ``docsmith_files``; option ``path``: the folder."""
+    """Write format ``docsmith_files``; option ``path``: the folder; option
+    ``pieces``: the folder of the files that rows with a ``piece`` name."""
 
     @classmethod
     def name(cls) -> str:
@@ -143,7 +160,7 @@ class FilesSource(DataSource):
     def writer(self, schema, overwrite: bool) -> FilesWriter:
         if not overwrite:
             raise ValueError("this sink replaces its folder: use mode('overwrite')")
-        return FilesWriter(self.options["path"])
+        return FilesWriter(self.options["path"], self.options.get("pieces"))
 
 
 def together(rows: DataFrame, *order: str | Column) -> DataFrame:
@@ -151,17 +168,39 @@ def together(rows: DataFrame, *order: str | Column) -> DataFrame:
     return rows.repartition("path").sortWithinPartitions("path", *order)
 
 
-def write_files(rows: DataFrame, path: str) -> None:
+def write_files(rows: DataFrame, path: str, pieces: str | None = None) -> None:
     """Replace the folder ``path`` by the files of ``rows``: ``path``, ``data``
-    (text or bytes) and, if they have them, ``owner`` and ``error``."""
+    (text or bytes) and, if they have them, ``owner`` and ``error``.  The data of
+    a row with a ``piece`` are those of this file below the folder ``pieces``."""
     from pyspark import cloudpickle
 
     import docsmith
 
     cloudpickle.register_pickle_by_value(docsmith)  # executors need no copy of this package
     rows.sparkSession.dataSource.register(FilesSource)
-    more = [(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(c) for c in ("owner", "error")]
-    rows.select("path", F.col("data").cast("binary").alias("data"), *more).write.format(FORMAT).mode("overwrite").option("path", path).save()
+    more = [(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(c) for c in ("owner", "error", "piece")]
+    out = rows.select("path", F.col("data").cast("binary").alias("data"), *more).write.format(FORMAT).mode("overwrite").option("path", path)
+    (out.option("pieces", pieces) if pieces else out).save()
+
+
+def write_files_in_pieces(rows: DataFrame, path: str, order: list[str], failed: DataFrame) -> None:
+    """:func:`write_files` of ``rows`` with a column ``piece``, for files of any
+    size: the rows of a ``(path, piece)`` are dealt out and sorted by ``order``
+    together, and a file is its pieces in the order of their names.  ``failed``
+    ``(path, error)``: files that are not written."""
+    spark, folder = rows.sparkSession, f"{path.rstrip('/')}.pieces-{uuid.uuid4().hex}"
+    dealt = rows.repartition("path", "piece").sortWithinPartitions("path", "piece", *order)
+    try:
+        write_files(dealt.select(F.concat("path", F.lit("/"), "piece").alias("path"), "data", "owner"), folder)
+        made = spark.read.schema("path string, owner string").json(f"{folder}/{OUTCOMES}").withColumnRenamed("path", "piece")
+        none = F.lit(None).cast("string")
+        whole = made.select(F.regexp_extract("piece", r"(?s)^(.*)/[^/]*$", 1).alias("path"), "owner", none.alias("error"), "piece")
+        bad = failed.select("path", none.alias("owner"), "error", none.alias("piece"))
+        write_files(together(whole, "owner", "piece").unionByName(bad).withColumn("data", F.lit(None).cast("binary")), path, folder)
+    finally:
+        fs, root = _open(folder)
+        if _exists(fs, root):
+            fs.delete_dir(root)
 
 
 def file_outcomes(spark: SparkSession, path: str) -> DataFrame:

@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 from docsmith.functions.text import bare_module
 from docsmith.operators.labelling import dedupe_label_cache
 from docsmith.operators.pages import INDEX_FILE
+from docsmith.operators.stubs import BLOCK_LINES
 from docsmith.schema import HELP_DUMP, LABEL, RECORD, STUB_LINES, STUBS
-from docsmith.sources.files import together, write_files
+from docsmith.sources.files import together, write_files, write_files_in_pieces
 
 
 def _missing(e: Exception) -> bool:
@@ -172,14 +173,14 @@ def write_stubs(annotated: DataFrame, path: str) -> None:
 def write_stub_files(annotated_lines: DataFrame, path: str) -> None:
     """SNK3 as files, one ``.pyi`` a module, from the line rows of
     ``stubs.annotate_stub_lines``: all files are replaced together, and a file
-    with an error is left out (its outcome says why)."""
-    rows = annotated_lines.withColumn("path", F.concat("module_name", F.lit(".pyi")))
-    good = together(rows.filter(F.col("error").isNull()), "file", "block", "row", "sub").select(
-        "path", F.concat(F.col("line").cast("binary"), F.when(F.col("nl"), F.lit("\n")).otherwise(F.lit("")).cast("binary")).alias("data"),
-        F.col("file").alias("owner"), "error")
-    failed = rows.filter(F.col("error").isNotNull()).groupBy("path").agg(F.min("error").alias("error")).select(
-        "path", F.lit(None).cast("binary").alias("data"), F.lit(None).cast("string").alias("owner"), "error")
-    write_files(good.unionByName(failed), path)
+    with an error is left out (its outcome says why).  A file is written in
+    pieces of lines, so that no task orders the lines of a whole one."""
+    piece = F.format_string("%020d-%020d", "block", F.expr(f"row div {BLOCK_LINES}"))
+    rows = annotated_lines.withColumn("path", F.concat("module_name", F.lit(".pyi"))).withColumn("piece", piece)
+    data = F.concat(F.col("line").cast("binary"), F.when(F.col("nl"), F.lit("\n")).otherwise(F.lit("")).cast("binary"))
+    good = rows.filter(F.col("error").isNull()).withColumn("data", data).withColumn("owner", F.col("file"))
+    failed = rows.filter(F.col("error").isNotNull()).groupBy("path").agg(F.min("error").alias("error"))
+    write_files_in_pieces(good, path, ["file", "block", "row", "sub"], failed)
 
 
 def page_files(pages: DataFrame, *indexes: DataFrame) -> DataFrame:
