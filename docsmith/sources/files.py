@@ -27,7 +27,9 @@ atomic where the file system's are; on object stores they copy.
 
 from __future__ import annotations
 
+import contextlib
 import json
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -145,8 +147,11 @@ class FilesWriter(DataSourceArrowWriter):
 
     def abort(self, messages: list[FilesWritten | None]) -> None:
         fs, staged = _open(self.staged)
-        if _exists(fs, staged):
-            fs.delete_dir(staged)
+        for _ in range(10):  # other tasks of the write are being stopped and may still make files
+            with contextlib.suppress(OSError):
+                if _exists(fs, staged):
+                    fs.delete_dir(staged)
+            time.sleep(0.1)
 
 
 class FilesSource(DataSource):
