@@ -113,14 +113,15 @@ def annotate_stubs(stubs: DataFrame, records: DataFrame, order_col: str | None =
         .groupBy("module_name", FILE_ID, "block")
         .agg(F.expr("listagg(line, '\\n') within group (order by pos, sub)").alias("text"), F.count_if(F.col("sub") == 0).alias("n"))
     )
-    rebuilt = blocks.groupBy("module_name", FILE_ID).agg(
-        F.expr("listagg(text, '\\n') within group (order by block)").alias("rebuilt"), F.sum("n").alias("n"))
-    return src.join(rebuilt.filter("n > 0"), ["module_name", FILE_ID], "left").select(
-        "module_name",
-        F.concat(F.col("module_name"), F.lit(".pyi")).alias("path"),
-        F.when(F.col("n").isNull(), F.col("content")).otherwise(F.col("rebuilt")).alias("content"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("inserted"),
-    )
+    # the text a file was given comes with its blocks, not by a join, and a file's text
+    # is made in the aggregation's own projection: either would copy the whole text again
+    files = blocks.select("module_name", FILE_ID, "n", F.struct("block", "text").alias("block")).unionByName(src, allowMissingColumns=True)
+    rebuilt = F.concat_ws("\n", F.array_sort(F.collect_list("block")).getField("text"))
+    return files.groupBy("module_name", FILE_ID).agg(
+        F.concat("module_name", F.lit(".pyi")).alias("path"),
+        F.when(F.sum("n") == 0, F.max("content")).otherwise(rebuilt).alias("content"),
+        F.sum("n").alias("inserted"),
+    ).drop(FILE_ID)
 
 
 def stub_summary(annotated: DataFrame) -> DataFrame:
