@@ -244,8 +244,9 @@ def annotate_stub_lines(lines: DataFrame, records: DataFrame, order_col: str | N
 
 def stub_files(annotated_lines: DataFrame) -> DataFrame:
     """One row per stub file of line rows: ``(module_name, path, inserted, error)``."""
-    files = annotated_lines.groupBy("module_name", "file").agg(
-        F.count_if(F.col("sub") != 1).alias("inserted"), F.max("error").alias("error"))
+    # a maximum of strings sorts its input: that of the lines is counted by error first
+    counts = annotated_lines.groupBy("module_name", "file", "error").agg(F.count_if(F.col("sub") != 1).alias("inserted"))
+    files = counts.groupBy("module_name", "file").agg(F.sum("inserted").alias("inserted"), F.max("error").alias("error"))
     return files.select("module_name", F.concat("module_name", F.lit(".pyi")).alias("path"), "inserted", "error")
 
 

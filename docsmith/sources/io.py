@@ -179,7 +179,7 @@ def write_stub_files(annotated_lines: DataFrame, path: str) -> None:
     rows = annotated_lines.withColumn("path", F.concat("module_name", F.lit(".pyi"))).withColumn("piece", piece)
     data = F.concat(F.col("line").cast("binary"), F.when(F.col("nl"), F.lit("\n")).otherwise(F.lit("")).cast("binary"))
     good = rows.filter(F.col("error").isNull()).withColumn("data", data).withColumn("owner", F.col("file"))
-    failed = rows.filter(F.col("error").isNotNull()).groupBy("path").agg(F.min("error").alias("error"))
+    failed = rows.filter(F.col("error").isNotNull()).select("path", "error").distinct().groupBy("path").agg(F.min("error").alias("error"))
     write_files_in_pieces(good, path, ["file", "block", "row", "sub"], failed)
 
 

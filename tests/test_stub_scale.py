@@ -120,3 +120,12 @@ def test_pieces_of_two_owners_or_a_bad_path_leave_the_old_files(spark, tmp_out):
             assert f.read() == text
         assert {r.path: r.error for r in FS.file_outcomes(spark, f"{tmp_out}/out").collect()} == {"a.gz": None, "bad": "why"}
         assert not [x for x in os.listdir(tmp_out) if "pieces-" in x and ".staged-" not in x]
+
+
+def test_files_are_summed_up_without_sorting_their_lines(spark, tmp_out):
+    annotated = SB.annotate_stub_lines(SB.text_line_rows(_stubs(spark)), spark.createDataFrame([("vtkEnd", "A", "Doc")], "module_name string, class_name string, class_doc string"))
+    SB.write_stub_lines(annotated, f"{tmp_out}/lines")
+    files = SB.stub_files(spark.read.parquet(f"{tmp_out}/lines"))
+    above, scan, _ = files._jdf.queryExecution().executedPlan().toString().partition("FileScan")
+    assert scan and "HashAggregate" in [x for x in above.splitlines() if "Aggregate" in x][-1]
+    assert {(r.module_name, r.inserted, r.error) for r in files.collect()} == {(m, int(m == "vtkEnd"), None) for m in TEXTS}
